@@ -1,0 +1,20 @@
+"""Broadcast only what is proven small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark ``df`` for broadcast only after checking its row count.
+
+    Above the bound the hint is left off and Spark (with AQE measuring the
+    real shuffle sizes) chooses a shuffled join instead.
+    """
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
