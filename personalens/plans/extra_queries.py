@@ -1,8 +1,335 @@
-"""Queries beyond the model tables: documented reports, data-quality checks,
-run summaries, snapshots and the CSV mapping-table load."""
+"""Queries beyond the model tables: documented reports (QRY-1..4),
+data-quality checks (DQ-1..3), run summaries (DQ-5, DQ-6), change-tracking
+snapshots (SCD-1) and the CSV mapping-table load (SRC-3).
+
+Each has a Spark builder over the driver tables and an independent SQL check.
+"""
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from personalens.operators import quality, snapshots
+from personalens.plans import duck_checks as D
+from personalens.plans.staging import STAGING
+from personalens.session import checkpoint_dir
+from personalens.sources import io
+from personalens.sources.tpch_binding import BINDINGS, DriverTables
+
+
+def _wh(spark, sf_dir):
+    from personalens.plans.warehouse import Warehouse
+    return Warehouse.from_driver_tables(spark, sf_dir)
+
+
+def _registry():
+    from personalens.plans import registry
+    return registry
+
+
+def _model(wh, name: str) -> DataFrame:
+    if name.startswith("stg_"):
+        return wh.stg[name]
+    return getattr(wh, _registry().MODEL_ATTR[name])
+
+
+def _model_columns(name: str) -> list[str]:
+    if name.startswith("stg_"):
+        raw = name[4:]
+        spec = STAGING[raw]
+        cols = [spec.renames.get(e.rsplit(" as ", 1)[1].strip(), e.rsplit(" as ", 1)[1].strip())
+                for e in BINDINGS[raw][1]]
+        return cols + (["source_system"] if spec.source_system else []) + \
+            (["loaded_at"] if spec.loaded_at else [])
+    return [c for c, _ in _registry()._spec(_registry().SPECS[name][0])]
+
+
+def _model_cte(name: str) -> str:
+    return name if name.startswith("stg_") else _registry().SPECS[name][1]
+
+
+def _q(build, spec_text, sql_body=None):
+    reg = _registry()
+    spec = reg._spec(spec_text)
+    if sql_body is None:
+        return reg.Query(build, spec)
+    return _SqlQuery(build, spec, sql_body)
+
+
+class _SqlQuery:
+    """A query whose check is a custom SELECT over the shared CTEs."""
+
+    def __init__(self, build, spec, body):
+        self.build, self.spec, self.body = build, spec, body
+
+    def run(self, spark, sf_dir):
+        return _registry().conform(self.build(spark, sf_dir), self.spec)
+
+    def sql(self):
+        return D.select_sql(f"({self.body}) q", self.spec)
+
+
+# ------------------------------------------------------------ documented reports
+
+def critical_gaps(spark, sf_dir):
+    """QRY-1: critical persona gaps, highest priority first."""
+    g = _wh(spark, sf_dir).gap_analysis
+    return (g.where(F.col("gap_priority") == "critical")
+            .select("ad_account_name", "persona_attribute", "gap_type", "review_count",
+                    "recommendation", "priority_score")
+            .orderBy(F.col("priority_score").desc_nulls_first()))
+
+
+def top_opportunities(spark, sf_dir):
+    """QRY-2: critical / high gaps with a high opportunity level."""
+    g = _wh(spark, sf_dir).gap_analysis
+    return (g.where(F.col("gap_priority").isin("critical", "high") &
+                    (F.col("opportunity_level") == "high_opportunity"))
+            .orderBy(F.col("priority_score").desc_nulls_first())
+            .select("persona_attribute", "gap_type", "review_count", "ad_count", "avg_roas",
+                    "opportunity_level", "recommendation"))
+
+
+def review_only_personas(spark, sf_dir):
+    """QRY-3: personas only reviews mention, at least three times."""
+    u = _wh(spark, sf_dir).unified_persona_attributes
+    return (u.where((F.col("coverage_type") == "review_only") &
+                    (F.col("total_review_mentions") >= 3))
+            .select("persona_attribute", "coverage_type", "total_review_mentions",
+                    "total_ad_mentions", "avg_review_confidence", "avg_ad_confidence")
+            .orderBy(F.col("total_review_mentions").desc_nulls_first()))
+
+
+def untargeted_review_personas(spark, sf_dir, min_roas: float = 2.0):
+    """QRY-4: review personas that no ad with ROAS above ``min_roas`` targets.
+
+    ``NOT IN (subquery)`` semantics: a left anti join on the persona, and no
+    rows at all when the subquery yields a NULL persona.
+    """
+    wh = _wh(spark, sf_dir)
+    targeted = (wh.ad_persona_attributes.join(
+        wh.insights.where(F.col("roas") > min_roas).select("ads_meta_id"), "ads_meta_id")
+        .select("persona_attribute").distinct())
+    no_null = targeted.select(F.count_if(F.col("persona_attribute").isNull()) == 0).scalar()
+    rp = wh.review_persona_attributes
+    return (rp.join(targeted, "persona_attribute", "left_anti")
+            .where(no_null & F.col("persona_attribute").isNotNull())
+            .groupBy("persona_attribute").agg(F.count("review_id").alias("review_count"))
+            .orderBy(F.col("review_count").desc_nulls_first()))
+
+
+# ------------------------------------------------------------ data quality
+
+def dq_unique(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    parts = [quality.unique_violations(_model(wh, m), c, m) for m, c in quality.UNIQUE_TESTS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def dq_not_null(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    by_model: dict[str, list[str]] = {}
+    for m, c in quality.NOT_NULL_TESTS:
+        by_model.setdefault(m, []).append(c)
+    parts = [quality.not_null_counts(_model(wh, m), cols, m) for m, cols in by_model.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def dq_accepted_values(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    parts = [quality.accepted_values_violations(_model(wh, m), c, v, m)
+             for m, c, v in quality.ACCEPTED_VALUES_TESTS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _dq_unique_sql() -> str:
+    parts = [f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+             f"count(*) AS n_rows FROM {_model_cte(m)} WHERE {c} IS NOT NULL GROUP BY {c} "
+             f"HAVING count(*) > 1" for m, c in quality.UNIQUE_TESTS]
+    return " UNION ALL ".join(parts)
+
+
+def _dq_not_null_sql() -> str:
+    parts = []
+    for m, c in quality.NOT_NULL_TESTS:
+        if c in _model_columns(m):
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, "
+                         f"count(*) FILTER (WHERE {c} IS NULL) AS null_rows FROM {_model_cte(m)}")
+        else:
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, "
+                         "CAST(NULL AS BIGINT) AS null_rows")
+    body = " UNION ALL ".join(parts)
+    return (f"SELECT *, CASE WHEN null_rows IS NULL THEN 'missing_column' WHEN null_rows = 0 "
+            f"THEN 'pass' ELSE 'fail' END AS status FROM ({body}) t")
+
+
+def _dq_accepted_sql() -> str:
+    parts = []
+    for m, c, values in quality.ACCEPTED_VALUES_TESTS:
+        vals = ", ".join(f"'{v}'" for v in values)
+        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
+                     f"count(*) AS n_rows FROM {_model_cte(m)} "
+                     f"WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}) GROUP BY {c}")
+    return " UNION ALL ".join(parts)
+
+
+# ------------------------------------------------------------ run results
+
+# One daily run per event date; each event is one model result.
+RUN_RESULTS = [
+    "cast(cast(ts as date) as string) as run_id",
+    "'model.' || event_type || '_' || cast(user_id % 20 as string) as unique_id",
+    "case when event_type = 'error' then 'error' when value < 1 then 'skipped' "
+    "else 'success' end as status",
+    "value as execution_time",
+    "event_type as message",
+    "case when event_type = 'error' then cast(1 as bigint) else cast(0 as bigint) end as failures",
+]
+_RUN_RESULTS_SQL = f"SELECT {', '.join(RUN_RESULTS)} FROM events"
+
+
+def _run_results(spark, sf_dir) -> DataFrame:
+    return DriverTables(spark, sf_dir).table("events").selectExpr(*RUN_RESULTS)
+
+
+def run_summary(spark, sf_dir):
+    return quality.run_summary(_run_results(spark, sf_dir))
+
+
+def slow_models(spark, sf_dir):
+    return quality.slowest_models(_run_results(spark, sf_dir), 5)
+
+
+_RUN_SUMMARY_SQL = f"""
+SELECT *, CAST(successful AS DOUBLE) / total_models AS success_rate,
+       CASE WHEN failed = 0 THEN 'all models succeeded'
+            ELSE CAST(failed AS VARCHAR) || ' model(s) failed' END AS run_status
+FROM (SELECT run_id, count(*) AS total_models,
+             count(*) FILTER (WHERE status = 'success') AS successful,
+             count(*) FILTER (WHERE status = 'error') AS failed,
+             sum(coalesce(failures, 0)) AS test_failures,
+             sum(execution_time) AS total_execution_time
+      FROM ({_RUN_RESULTS_SQL}) r GROUP BY run_id) s"""
+
+_SLOW_SQL = f"""
+SELECT * FROM (
+  SELECT run_id, unique_id, status, execution_time,
+         row_number() OVER (PARTITION BY run_id ORDER BY execution_time DESC NULLS LAST,
+                            unique_id ASC NULLS LAST) AS slow_rank
+  FROM ({_RUN_RESULTS_SQL}) r) t WHERE slow_rank <= 5"""
+
+
+# ------------------------------------------------------------ snapshots
+
+SCD_AS_OF = "2025-01-01"
+SCD_START = "2024-01-01"
+_SCD_PREVIOUS = ("c_custkey as customer_key", "c_mktsegment as segment",
+                 "cast(c_nationkey as bigint) as nation_key")
+_SCD_OPEN_ORDERS = "o_orderstatus = 'O'"
+
+
+def scd_versions(spark, sf_dir):
+    """SCD-1: customers as of the start, merged with a later snapshot in
+    which customers without open orders are gone, negative balances are
+    re-segmented and suppliers appear as new keys."""
+    t = DriverTables(spark, sf_dir)
+    customer = t.table("customer")
+    previous = snapshots.first_versions(customer.selectExpr(*_SCD_PREVIOUS), "customer_key",
+                                        ["segment", "nation_key"], SCD_START)
+    open_custs = t.table("orders").where(_SCD_OPEN_ORDERS).select(
+        F.col("o_custkey").alias("c_custkey"))
+    still = (customer.join(open_custs, "c_custkey", "left_semi")
+             .selectExpr("c_custkey as customer_key",
+                         "case when c_acctbal < 0 then 'DELINQUENT' else c_mktsegment end as segment",
+                         "cast(c_nationkey as bigint) as nation_key"))
+    new = t.table("supplier").selectExpr("s_suppkey + 1000000 as customer_key",
+                                         "'SUPPLIER' as segment",
+                                         "cast(s_nationkey as bigint) as nation_key")
+    return snapshots.scd2_merge(previous, still.unionByName(new), "customer_key",
+                                ["segment", "nation_key"], SCD_AS_OF)
+
+
+_SCD_SQL = f"""
+WITH prev AS (
+  SELECT {', '.join(_SCD_PREVIOUS)}, DATE '{SCD_START}' AS valid_from,
+         CAST(NULL AS DATE) AS valid_to, true AS is_current FROM customer),
+snap AS (
+  SELECT c_custkey AS customer_key,
+         CASE WHEN c_acctbal < 0 THEN 'DELINQUENT' ELSE c_mktsegment END AS segment,
+         CAST(c_nationkey AS BIGINT) AS nation_key
+  FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE {_SCD_OPEN_ORDERS})
+  UNION ALL
+  SELECT s_suppkey + 1000000, 'SUPPLIER', CAST(s_nationkey AS BIGINT) FROM supplier),
+j AS (
+  SELECT p.customer_key AS pk, p.segment AS pseg, p.nation_key AS pnat, p.valid_from AS pfrom,
+         p.valid_to AS pto, p.is_current AS pcur, s.customer_key AS sk, s.segment AS sseg,
+         s.nation_key AS snat,
+         (p.customer_key IS NOT NULL AND s.customer_key IS NOT NULL
+          AND p.segment IS NOT DISTINCT FROM s.segment
+          AND p.nation_key IS NOT DISTINCT FROM s.nation_key) AS same
+  FROM prev p FULL OUTER JOIN snap s ON p.customer_key = s.customer_key)
+SELECT pk AS customer_key, pseg AS segment, pnat AS nation_key, pfrom AS valid_from,
+       pto AS valid_to, pcur AS is_current FROM j WHERE same
+UNION ALL
+SELECT pk, pseg, pnat, pfrom, DATE '{SCD_AS_OF}', false FROM j WHERE pk IS NOT NULL AND NOT same
+UNION ALL
+SELECT sk, sseg, snat, DATE '{SCD_AS_OF}', CAST(NULL AS DATE), true FROM j
+WHERE sk IS NOT NULL AND NOT same"""
+
+
+# ------------------------------------------------------------ CSV mapping table
+
+def seed_csv_roundtrip(spark, sf_dir):
+    """SRC-3: the mapping table written as CSV (quoted JSON text, doubled
+    quotes, a literal backslash escape) and read back with declared types."""
+    seed = DriverTables(spark, sf_dir).raw("seed_mapping")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/seed_csv/{uuid.uuid4().hex}"
+    io.write_seed_csv(seed, path)
+    return io.read_seed_csv(spark, path)
+
+
+SEED_SPEC = ("ad_account_id:i ad_account_name product matched_review_product "
+             "review_account_name review_account_id:i")
+
 
-def queries():
-    return {}
+def queries() -> dict:
+    return {
+        "critical_gaps": _q(critical_gaps,
+                            "ad_account_name persona_attribute gap_type review_count:i "
+                            "recommendation priority_score:i",
+                            "SELECT * FROM gap_analysis WHERE gap_priority = 'critical'"),
+        "top_opportunities": _q(top_opportunities,
+                                "persona_attribute gap_type review_count:i ad_count:i avg_roas:d "
+                                "opportunity_level recommendation",
+                                "SELECT * FROM gap_analysis WHERE gap_priority IN "
+                                "('critical', 'high') AND opportunity_level = 'high_opportunity'"),
+        "review_only_personas": _q(review_only_personas,
+                                   "persona_attribute coverage_type total_review_mentions:i "
+                                   "total_ad_mentions:i avg_review_confidence:d avg_ad_confidence:d",
+                                   "SELECT * FROM unified_final WHERE coverage_type = 'review_only' "
+                                   "AND total_review_mentions >= 3"),
+        "untargeted_review_personas": _q(
+            untargeted_review_personas, "persona_attribute review_count:i",
+            "SELECT persona_attribute, count(review_id) AS review_count FROM rpa "
+            "WHERE persona_attribute NOT IN (SELECT DISTINCT apa.persona_attribute FROM apa "
+            "JOIN stg_cad_ads_insights_meta ai ON apa.ads_meta_id = ai.ads_meta_id "
+            "WHERE ai.roas > 2.0) GROUP BY persona_attribute"),
+        "dq_unique": _q(dq_unique, "model column_name value n_rows:i", _dq_unique_sql()),
+        "dq_not_null": _q(dq_not_null, "model column_name null_rows:i status", _dq_not_null_sql()),
+        "dq_accepted_values": _q(dq_accepted_values, "model column_name value n_rows:i",
+                                 _dq_accepted_sql()),
+        "run_summary": _q(run_summary,
+                          "run_id total_models:i successful:i failed:i test_failures:i "
+                          "total_execution_time:d success_rate:d run_status", _RUN_SUMMARY_SQL),
+        "slow_models": _q(slow_models, "run_id unique_id status execution_time:d slow_rank:i",
+                          _SLOW_SQL),
+        "scd_versions": _q(scd_versions,
+                           "customer_key:i segment nation_key:i valid_from valid_to is_current:b",
+                           _SCD_SQL),
+        "seed_csv_roundtrip": _q(seed_csv_roundtrip, SEED_SPEC,
+                                 "SELECT * FROM raw_seed_mapping"),
+    }
