@@ -13,40 +13,104 @@ ROAS_TIERS = [(3.0, "high_performer"), (1.5, "medium_performer"), (0.5, "low_per
 CTR_TIERS = [(2.0, "high_engagement"), (1.0, "medium_engagement"), (0.5, "low_engagement")]
 SPEND_TIERS = [(10000, "high_spend"), (5000, "medium_spend"), (1000, "low_spend")]
 # composite = 0.4 roas + 0.3 * (10 ctr) + 0.2 thumbstop + 0.1 retention
-COMPOSITE_WEIGHTS = (0.4, 10 * 0.3, 0.2, 0.1)
+COMPOSITE_WEIGHTS = (0.4, 0.3, 0.2, 0.1)
+CTR_SCALE = 10
 
 
-def _median(c: str, exact: bool):
-    col = F.col(c).cast("double")
-    return F.percentile(col, F.lit(0.5)) if exact else F.percentile_approx(col, 0.5, 100000)
+_AVG_METRICS = ["roas", "ctr", "cpc", "thumbstop", "retention", "frequency"]
+_SUM_METRICS = {"amount_spent": "total_spend", "impressions": "total_impressions",
+                "reach": "total_reach", "click": "total_clicks"}
+_MEDIAN_METRICS = ["roas", "ctr", "cpc"]
+_GROUP = ["ad_account_id", "persona_attribute", "persona_value"]
 
 
 def persona_performance_metrics(apa: DataFrame, insights: DataFrame,
                                 exact_median: bool = True) -> DataFrame:
     """Per (ad account, persona, value): counts, ROAS / CTR / CPC statistics,
-    volume sums, engagement averages, confidence, latest load.
+    volume sums, engagement averages, confidence and latest load.
 
-    Every ad persona row meets every insight row of its ads_meta (the
-    report's grain). Medians are exact by default (``percentile`` keeps a
-    value -> count map per group and merges partial maps); pass
-    ``exact_median=False`` for a bounded-memory sketch.
+    The report's grain is every ad persona row joined to every insight row
+    (with a ROAS) of its ads_meta. That product is never built:
+
+    * insights are summed per ads_meta (sums, non-NULL counts, max / min),
+      persona rows counted per (group, ads_meta, core persona), and each
+      joined pair contributes ``multiplicity x ad totals``;
+    * medians use the exact weighted percentile: insight values are counted
+      per (ads_meta, metric, value) and weighted by the persona multiplicity,
+      which is the same multiset the product would hold.
+
+    Only hash aggregates on pre-reduced rows remain; a hot account or persona
+    is split across map-side partial aggregates. ``exact_median=False``
+    switches to a bounded-memory sketch over the same weighted values.
     """
+    ins = insights.where(F.col("roas").isNotNull())
+    per_ad = ins.groupBy("ads_meta_id").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(m).alias(f"_s_{m}") for m in _AVG_METRICS],
+        *[F.count(m).alias(f"_c_{m}") for m in _AVG_METRICS],
+        *[F.sum(m).alias(f"_s_{m}") for m in _SUM_METRICS],
+        F.max("roas").alias("max_roas"), F.min("roas").alias("min_roas"),
+        F.max("ctr").alias("max_ctr"))
+    persona_ads = apa.groupBy(*_GROUP, "ads_meta_id", "core_persona").agg(
+        F.count(F.lit(1)).alias("_m"),
+        F.sum("confidence_score").alias("_conf_s"),
+        F.count("confidence_score").alias("_conf_c"),
+        F.max("loaded_at").alias("_latest"))
+    j = persona_ads.join(per_ad, "ads_meta_id")
+    m = F.col("_m")
+    metrics = j.groupBy(*_GROUP).agg(
+        F.countDistinct("ads_meta_id").alias("ad_count"),
+        F.countDistinct("core_persona").alias("core_persona_count"),
+        *[(F.sum(m * F.col(f"_s_{x}")).cast("double") / F.sum(m * F.col(f"_c_{x}")))
+          .alias(f"avg_{x}") for x in _AVG_METRICS],
+        *[F.sum(m * F.col(f"_s_{x}")).alias(out) for x, out in _SUM_METRICS.items()],
+        F.max("max_roas").alias("max_roas"), F.min("min_roas").alias("min_roas"),
+        F.max("max_ctr").alias("max_ctr"),
+        (F.sum(F.col("_conf_s") * F.col("_rows")).cast("double") /
+         F.sum(F.col("_conf_c") * F.col("_rows"))).alias("avg_confidence_score"),
+        F.max("_latest").alias("latest_data_date"))
+
+    # weighted medians of all three metrics in one pass (metric as a row key)
+    stacked = ins.select("ads_meta_id", F.explode(F.array(*[
+        F.struct(F.lit(x).alias("metric"), F.col(x).cast("double").alias("x"))
+        for x in _MEDIAN_METRICS])).alias("_mv")).select("ads_meta_id", "_mv.metric", "_mv.x")
+    value_counts = (stacked.where(F.col("x").isNotNull())
+                    .groupBy("ads_meta_id", "metric", "x").agg(F.count(F.lit(1)).alias("_cnt")))
+    multiplicity = persona_ads.groupBy(*_GROUP, "ads_meta_id").agg(F.sum("_m").alias("_m"))
+    weighted = multiplicity.join(value_counts, "ads_meta_id").select(
+        *_GROUP, "metric", "x", (F.col("_m") * F.col("_cnt")).alias("_w"))
+    if exact_median:
+        med = F.percentile(F.col("x"), F.lit(0.5), F.col("_w"))
+    else:
+        med = F.percentile_approx(F.col("x"), F.lit(0.5), F.lit(100000))
+    medians = (weighted.groupBy(*_GROUP, "metric").agg(med.alias("_med"))
+               .groupBy(*_GROUP).agg(*[F.max(F.when(F.col("metric") == x, F.col("_med")))
+                                      .alias(f"median_{x}") for x in _MEDIAN_METRICS]))
+    out = metrics.join(medians, _GROUP, "left")
+    return out.select(
+        *_GROUP, "ad_count", "core_persona_count", "avg_roas", "median_roas", "max_roas",
+        "min_roas", "avg_ctr", "median_ctr", "max_ctr", "avg_cpc", "median_cpc", "total_spend",
+        "total_impressions", "total_reach", "total_clicks", "avg_thumbstop", "avg_retention",
+        "avg_frequency", "avg_confidence_score", "latest_data_date")
+
+
+def persona_performance_metrics_direct(apa: DataFrame, insights: DataFrame) -> DataFrame:
+    """The same metrics over the explicit persona x insight product (for tests)."""
     ins = insights.where(F.col("roas").isNotNull()).select(
         "ads_meta_id", "roas", "ctr", "cpc", "amount_spent", "impressions", "reach", "click",
         "thumbstop", "retention", "frequency")
-    rows = apa.select("ad_account_id", "persona_attribute", "persona_value", "confidence_score",
-                      "ads_meta_id", "core_persona", "loaded_at").join(ins, "ads_meta_id")
-    return rows.groupBy("ad_account_id", "persona_attribute", "persona_value").agg(
+    rows = apa.select(*_GROUP, "confidence_score", "ads_meta_id", "core_persona",
+                      "loaded_at").join(ins, "ads_meta_id")
+    med = {x: F.percentile(F.col(x).cast("double"), F.lit(0.5)) for x in _MEDIAN_METRICS}
+    return rows.groupBy(*_GROUP).agg(
         F.countDistinct("ads_meta_id").alias("ad_count"),
         F.countDistinct("core_persona").alias("core_persona_count"),
-        F.avg("roas").alias("avg_roas"), _median("roas", exact_median).alias("median_roas"),
+        F.avg("roas").alias("avg_roas"), med["roas"].alias("median_roas"),
         F.max("roas").alias("max_roas"), F.min("roas").alias("min_roas"),
-        F.avg("ctr").alias("avg_ctr"), _median("ctr", exact_median).alias("median_ctr"),
+        F.avg("ctr").alias("avg_ctr"), med["ctr"].alias("median_ctr"),
         F.max("ctr").alias("max_ctr"),
-        F.avg("cpc").alias("avg_cpc"), _median("cpc", exact_median).alias("median_cpc"),
-        F.sum("amount_spent").alias("total_spend"),
-        F.sum("impressions").alias("total_impressions"),
-        F.sum("reach").alias("total_reach"), F.sum("click").alias("total_clicks"),
+        F.avg("cpc").alias("avg_cpc"), med["cpc"].alias("median_cpc"),
+        *[F.sum(x).alias(out) for x, out in _SUM_METRICS.items()],
         F.avg("thumbstop").alias("avg_thumbstop"), F.avg("retention").alias("avg_retention"),
         F.avg("frequency").alias("avg_frequency"),
         F.avg("confidence_score").alias("avg_confidence_score"),
@@ -72,7 +136,7 @@ def add_performance_tiers(metrics: DataFrame) -> DataFrame:
                .when(r == "low_performer", "weak_performer")
                .otherwise("poor_performer"))
     w_roas, w_ctr, w_thumb, w_ret = COMPOSITE_WEIGHTS
-    composite = (F.col("avg_roas") * w_roas + F.col("avg_ctr") * w_ctr +
+    composite = (F.col("avg_roas") * w_roas + F.col("avg_ctr") * CTR_SCALE * w_ctr +
                  F.col("avg_thumbstop") * w_thumb + F.col("avg_retention") * w_ret)
     return out.select("*", overall.alias("performance_tier"),
                       composite.cast("double").alias("composite_performance_score"))

@@ -15,17 +15,22 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from personalens.operators import gaps, mapping, normalize, reports, scorecard
-from personalens.plans.staging import DEFAULT_AS_OF, stage_all
+from personalens.plans.staging import DEFAULT_AS_OF, STAGING, stage
 from personalens.session import checkpoint_dir
-from personalens.sources.tpch_binding import DriverTables
+from personalens.sources.tpch_binding import DriverTables, LazyTables
 
 
 class Warehouse:
     def __init__(self, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF):
         self.raw = raw
         self.as_of = as_of
-        self.stg = stage_all({k: v for k, v in raw.items() if k != "seed_mapping"}, as_of)
-        self.seed = raw["seed_mapping"]
+        self.stg = LazyTables(
+            lambda name: stage(raw[name[4:]], STAGING[name[4:]], as_of),
+            [f"stg_{n}" for n in STAGING])
+
+    @property
+    def seed(self) -> DataFrame:
+        return self.raw["seed_mapping"]
 
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str,

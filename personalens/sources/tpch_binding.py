@@ -210,26 +210,33 @@ INSIGHT_METRICS = [
     "hit_rate_x", "hit_rate_y", "hit_rate_z", "hit_rate",
 ]
 
+# Metrics from integer arithmetic (exact and cheap in both engines): whole
+# quantities, and prices / rates as whole cents or hundredths first.
+_QTY = "cast(floor(l_quantity + 0.5) as bigint)"
+_CENTS = "cast(floor(l_extendedprice * 100 + 0.5) as bigint)"
+_DISC = "cast(floor(l_discount * 100 + 0.5) as bigint)"
+_TAX = "cast(floor(l_tax * 100 + 0.5) as bigint)"
+
 _INSIGHT_VALUES = {
-    "reach": "l_quantity * 800",
-    "impressions": "l_quantity * 1000",
-    "click": "l_quantity * 12",
-    "amount_spent": "l_quantity * 10",
-    "cpc": "l_discount * 10 + 0.5",
-    "ctr": "l_tax * 40",
+    "reach": f"{_QTY} * 800",
+    "impressions": f"{_QTY} * 1000",
+    "click": f"{_QTY} * 12",
+    "amount_spent": f"{_QTY} * 10",
+    "cpc": f"{_DISC} * 0.1 + 0.5",
+    "ctr": f"{_TAX} * 0.4",
     "frequency": "l_linenumber",
-    "thumbstop": "l_tax * 100",
-    "retention": "l_discount * 100",
-    "omni_purchase_value": "l_extendedprice * 0.01",
-    "omni_purchase_purchases": "cast(l_quantity as bigint) % 4",
-    "video_3_sec_watched_actions": "l_quantity * 150",
+    "thumbstop": f"{_TAX}",
+    "retention": f"{_DISC}",
+    "omni_purchase_value": f"{_CENTS} * 0.0001",
+    "omni_purchase_purchases": f"{_QTY} % 4",
+    "video_3_sec_watched_actions": f"{_QTY} * 150",
 }
 
 
 def _insight_expr(name: str) -> str:
     if name == "roas":
         return ("case when l_linenumber = 3 then cast(null as decimal(18,6)) "
-                f"else {_dec('l_discount * 40')} end as roas")
+                f"else {_dec(f'{_DISC} * 0.4')} end as roas")
     if name in _INSIGHT_VALUES:
         return f"{_dec(_INSIGHT_VALUES[name])} as {name}"
     return f"cast(null as decimal(18,6)) as {name}"
@@ -437,17 +444,58 @@ def binding_sql(name: str) -> str:
     return f"select {', '.join(exprs)} from {src}"
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give an input with fewer splits than cores one split per core.
+
+    A parquet file with a single row group is read by a single task, and so
+    would every narrow step after it (JSON parsing, explode). When the scan
+    has fewer partitions than the session's default parallelism it is
+    round-robin repartitioned to that parallelism; a large input, which has
+    far more splits than cores, is returned untouched (no shuffle).
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
+# Declared schemas of the driver's tables: read without a schema-inference job.
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                 "c_mktsegment string"),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+    "events": ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+               "value double, props string"),
+}
+
+
 class DriverTables:
     """Lazy reader of the driver's parquet tables in one directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        if spread is None:
+            spread = spark.conf.get("personalens.spreadSmallInputs", "true") == "true"
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read
+            if name in DRIVER_SCHEMAS:
+                reader = reader.schema(DRIVER_SCHEMAS[name])
+            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = spread_small_input(df) if self.spread else df
         return self._cache[name]
 
     def _source(self, source: str) -> DataFrame:
@@ -471,5 +519,30 @@ class DriverTables:
         source, exprs = BINDINGS[name]
         return self._source(source).selectExpr(*exprs)
 
-    def raw_tables(self) -> dict[str, DataFrame]:
-        return {name: self.raw(name) for name in BINDINGS}
+    def raw_tables(self) -> "LazyTables":
+        return LazyTables(self.raw, list(BINDINGS))
+
+
+class LazyTables(dict):
+    """A name -> DataFrame mapping that builds each entry on first use."""
+
+    def __init__(self, build, names):
+        super().__init__()
+        self._build = build
+        self._names = list(names)
+
+    def __missing__(self, key):
+        if key not in self._names:
+            raise KeyError(key)
+        value = self._build(key)
+        self[key] = value
+        return value
+
+    def __contains__(self, key):
+        return key in self._names
+
+    def keys(self):
+        return list(self._names)
+
+    def __iter__(self):
+        return iter(self._names)
