@@ -21,9 +21,10 @@ from personalens.sources import io
 from personalens.sources.tpch_binding import BINDINGS, DriverTables
 
 
-def _wh(spark, sf_dir):
+def _wh(spark, sf_dir, query: str = ""):
     from personalens.plans.warehouse import Warehouse
-    return Warehouse.from_driver_tables(spark, sf_dir)
+    return Warehouse.from_driver_tables(spark, sf_dir,
+                                        materialize=_registry().REUSE.get(query, ()))
 
 
 def _registry():
@@ -77,7 +78,7 @@ class _SqlQuery:
 
 def critical_gaps(spark, sf_dir):
     """QRY-1: critical persona gaps, highest priority first."""
-    g = _wh(spark, sf_dir).gap_analysis
+    g = _wh(spark, sf_dir, "critical_gaps").gap_analysis
     return (g.where(F.col("gap_priority") == "critical")
             .select("ad_account_name", "persona_attribute", "gap_type", "review_count",
                     "recommendation", "priority_score")
@@ -86,7 +87,7 @@ def critical_gaps(spark, sf_dir):
 
 def top_opportunities(spark, sf_dir):
     """QRY-2: critical / high gaps with a high opportunity level."""
-    g = _wh(spark, sf_dir).gap_analysis
+    g = _wh(spark, sf_dir, "top_opportunities").gap_analysis
     return (g.where(F.col("gap_priority").isin("critical", "high") &
                     (F.col("opportunity_level") == "high_opportunity"))
             .orderBy(F.col("priority_score").desc_nulls_first())
@@ -131,7 +132,7 @@ def dq_unique(spark, sf_dir):
 
 
 def dq_not_null(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
+    wh = _wh(spark, sf_dir, "dq_not_null")
     by_model: dict[str, list[str]] = {}
     for m, c in quality.NOT_NULL_TESTS:
         by_model.setdefault(m, []).append(c)

@@ -62,8 +62,24 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse.from_driver_tables(spark, sf_dir)
 
 
-def _model(attr: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(_wh(spark, sf_dir), attr)
+# Models each query reads more than once (written once per run, see Warehouse).
+SHARED = ("review_persona_attributes", "ad_persona_attributes")
+REUSE = {
+    "cross_account_mapping": SHARED,
+    "scorecard": SHARED,
+    "gap_analysis": SHARED,
+    "critical_gaps": SHARED,
+    "top_opportunities": SHARED,
+    "dq_not_null": SHARED + ("ad_personas_from_review_analysis", "cross_account_mapping",
+                             "scorecard"),
+}
+
+
+def _model(attr: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def build(spark, sf_dir):
+        wh = Warehouse.from_driver_tables(spark, sf_dir, materialize=REUSE.get(name, ()))
+        return getattr(wh, attr)
+    return build
 
 
 REVIEW_ITEM = "review_id:i ad_account_id:i review_date review_author"
@@ -195,6 +211,6 @@ def all_queries() -> dict[str, Query]:
     qs: dict[str, Query] = {}
     qs.update(_staging_queries())
     for name, (spec, source) in SPECS.items():
-        qs[name] = Query(_model(MODEL_ATTR[name]), _spec(spec), source)
+        qs[name] = Query(_model(MODEL_ATTR[name], name), _spec(spec), source)
     qs.update(extra_queries.queries())
     return qs

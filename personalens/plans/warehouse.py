@@ -10,6 +10,7 @@ mapping and the scorecard).
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,21 @@ from personalens.sources.tpch_binding import DriverTables, LazyTables
 
 
 class Warehouse:
-    def __init__(self, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF):
+    """Models over one set of raw tables.
+
+    ``materialize`` names models that a job reads more than once: each is
+    written as parquet under the shared checkpoint folder the first time it
+    is used and read back from there, so the JSON parsing and joins behind it
+    run once instead of once per use, and a lost executor re-reads files
+    instead of recomputing lineage.
+    """
+
+    def __init__(self, raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF,
+                 materialize: tuple[str, ...] = ()):
         self.raw = raw
         self.as_of = as_of
+        self.materialize = set(materialize)
+        self._run = uuid.uuid4().hex
         self.stg = LazyTables(
             lambda name: stage(raw[name[4:]], STAGING[name[4:]], as_of),
             [f"stg_{n}" for n in STAGING])
@@ -33,9 +46,17 @@ class Warehouse:
         return self.raw["seed_mapping"]
 
     @classmethod
-    def from_driver_tables(cls, spark: SparkSession, sf_dir: str,
-                           as_of: str = DEFAULT_AS_OF) -> "Warehouse":
-        return cls(DriverTables(spark, sf_dir).raw_tables(), as_of)
+    def from_driver_tables(cls, spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF,
+                           materialize: tuple[str, ...] = ()) -> "Warehouse":
+        return cls(DriverTables(spark, sf_dir).raw_tables(), as_of, materialize)
+
+    def _m(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self.materialize:
+            return df
+        spark = df.sparkSession
+        path = f"{checkpoint_dir(spark).rstrip('/')}/models/{self._run}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
     def _s(self, name: str) -> DataFrame:
         return self.stg[f"stg_{name}"]
@@ -79,96 +100,96 @@ class Warehouse:
     # ---------------------------------------------------------- normalized
     @cached_property
     def review_persona_attributes(self) -> DataFrame:
-        return normalize.review_persona_attributes(self.reviews, self.review_analysis)
+        return self._m("review_persona_attributes", normalize.review_persona_attributes(self.reviews, self.review_analysis))
 
     @cached_property
     def review_value_propositions(self) -> DataFrame:
-        return normalize.review_value_propositions(self.reviews)
+        return self._m("review_value_propositions", normalize.review_value_propositions(self.reviews))
 
     @cached_property
     def review_problems(self) -> DataFrame:
-        return normalize.review_problems(self.reviews)
+        return self._m("review_problems", normalize.review_problems(self.reviews))
 
     @cached_property
     def review_barriers(self) -> DataFrame:
-        return normalize.review_barriers(self.reviews)
+        return self._m("review_barriers", normalize.review_barriers(self.reviews))
 
     @cached_property
     def ad_persona_attributes(self) -> DataFrame:
-        return normalize.ad_persona_attributes(*self._ad_inputs())
+        return self._m("ad_persona_attributes", normalize.ad_persona_attributes(*self._ad_inputs()))
 
     @cached_property
     def ad_value_propositions(self) -> DataFrame:
-        return normalize.ad_value_propositions(*self._ad_inputs())
+        return self._m("ad_value_propositions", normalize.ad_value_propositions(*self._ad_inputs()))
 
     @cached_property
     def ad_problems(self) -> DataFrame:
-        return normalize.ad_problems(*self._ad_inputs())
+        return self._m("ad_problems", normalize.ad_problems(*self._ad_inputs()))
 
     @cached_property
     def ad_barriers(self) -> DataFrame:
-        return normalize.ad_barriers(*self._ad_inputs())
+        return self._m("ad_barriers", normalize.ad_barriers(*self._ad_inputs()))
 
     @cached_property
     def ad_personas_from_review_analysis(self) -> DataFrame:
-        return normalize.ad_persona_attributes_from_review_analysis(self.review_analysis)
+        return self._m("ad_personas_from_review_analysis", normalize.ad_persona_attributes_from_review_analysis(self.review_analysis))
 
     # ---------------------------------------------------------- reports
     @cached_property
     def unified_persona_attributes(self) -> DataFrame:
-        return reports.unified_persona_attributes(
-            self.review_persona_attributes, self.ad_persona_attributes, self.as_of)
+        return self._m("unified_persona_attributes", reports.unified_persona_attributes(
+            self.review_persona_attributes, self.ad_persona_attributes, self.as_of))
 
     @cached_property
     def review_ranking(self) -> DataFrame:
-        return reports.review_ranking(self.review_persona_attributes, self.ad_accounts)
+        return self._m("review_ranking", reports.review_ranking(self.review_persona_attributes, self.ad_accounts))
 
     @cached_property
     def ad_performance(self) -> DataFrame:
-        return reports.persona_ad_performance(
-            self.ad_personas_from_review_analysis, self.ads_meta, self.insights)
+        return self._m("ad_performance", reports.persona_ad_performance(
+            self.ad_personas_from_review_analysis, self.ads_meta, self.insights))
 
     @cached_property
     def opportunity_index(self) -> DataFrame:
-        return reports.opportunity_index(self.review_persona_attributes, self.ad_performance)
+        return self._m("opportunity_index", reports.opportunity_index(self.review_persona_attributes, self.ad_performance))
 
     @cached_property
     def cross_account_mapping(self) -> DataFrame:
-        return mapping.cross_account_persona_mapping(
-            self.ad_persona_attributes, self.review_persona_attributes, self.seed, self.as_of)
+        return self._m("cross_account_mapping", mapping.cross_account_persona_mapping(
+            self.ad_persona_attributes, self.review_persona_attributes, self.seed, self.as_of))
 
     @cached_property
     def scorecard(self) -> DataFrame:
-        return scorecard.persona_performance_scorecard(
+        return self._m("scorecard", scorecard.persona_performance_scorecard(
             self.ad_persona_attributes, self.insights, self.cross_account_mapping,
-            self.review_persona_attributes, self.as_of)
+            self.review_persona_attributes, self.as_of))
 
     @cached_property
     def gap_analysis(self) -> DataFrame:
-        return gaps.persona_gap_analysis(
-            self.review_persona_attributes, self.scorecard, self.ad_accounts, self.as_of)
+        return self._m("gap_analysis", gaps.persona_gap_analysis(
+            self.review_persona_attributes, self.scorecard, self.ad_accounts, self.as_of))
 
     @cached_property
     def gap_analysis_simple(self) -> DataFrame:
-        return gaps.persona_gap_analysis_simple(
+        return self._m("gap_analysis_simple", gaps.persona_gap_analysis_simple(
             self.review_persona_attributes, self.ad_persona_attributes, self.ad_accounts,
-            self.as_of)
+            self.as_of))
 
     @cached_property
     def cross_system_analysis(self) -> DataFrame:
-        return gaps.persona_cross_system_analysis(
+        return self._m("cross_system_analysis", gaps.persona_cross_system_analysis(
             self.seed, self.review_persona_attributes, self.ad_personas_from_review_analysis,
-            self.insights, self.ads_meta, self.ads)
+            self.insights, self.ads_meta, self.ads))
 
     @cached_property
     def account_opportunities(self) -> DataFrame:
-        return gaps.account_level_opportunities(
+        return self._m("account_opportunities", gaps.account_level_opportunities(
             self.seed, self.review_persona_attributes, self.ad_personas_from_review_analysis,
-            self.insights, self.ads_meta, self.ads, self.ad_accounts)
+            self.insights, self.ads_meta, self.ads, self.ad_accounts))
 
     @cached_property
     def review_account_summary(self) -> DataFrame:
-        return gaps.review_account_summary(self.review_persona_attributes)
+        return self._m("review_account_summary", gaps.review_account_summary(self.review_persona_attributes))
 
     # ---------------------------------------------------------- sinks
     def persist(self, name: str) -> DataFrame:
