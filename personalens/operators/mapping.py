@@ -165,7 +165,7 @@ def cross_account_persona_mapping_windows(apa: DataFrame, rpa: DataFrame, seed:
                    F.col("confidence_score").alias("avg_cad_confidence"),
                    F.count(F.lit(1)).over(by_ad).alias("cad_persona_mentions"),
                    F.count("ads_meta_id").over(by_ad).alias("cad_ads_with_persona")))
-    by_rev = Window.partitionBy("_orig", "persona_attribute")
+    by_rev = Window.partitionBy("ad_account_id", "persona_attribute")
     rev = (rpa.join(mt, F.col("ad_account_id") == mt.review_account_id)
            .select(F.col("ad_account_id").alias("_orig"), "persona_attribute",
                    "confidence_score", "review_date", "cad_account_id", "cad_account_name",
