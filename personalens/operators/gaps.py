@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from personalens.functions.numeric import NUMERIC, bucketize, safe_ratio
+from personalens.functions.numeric import NUMERIC, safe_ratio
 from personalens.operators.ranking import global_row_number
 from personalens.operators.reports import insight_totals_per_ad
 from personalens.plans.staging import DEFAULT_AS_OF, run_timestamp
@@ -184,7 +184,7 @@ def account_performance(insights: DataFrame, ads_meta: DataFrame, ads: DataFrame
         F.countDistinct("ad_id").alias("total_ads"))
 
 
-def _account_ratios(df: DataFrame) -> list[Column]:
+def _account_ratios() -> list[Column]:
     return [safe_ratio(F.col("total_purchase_value"), F.col("total_purchases")).alias("account_aov"),
             safe_ratio(F.col("total_purchase_value"), F.col("total_ad_spend")).alias("account_roas"),
             safe_ratio(F.col("total_video_watches"), F.col("total_impressions"))
@@ -223,7 +223,7 @@ def persona_cross_system_analysis(seed: DataFrame, rpa: DataFrame, apr: DataFram
         F.avg("confidence_score").alias("avg_ad_confidence"))
     perf = account_performance(insights, ads_meta, ads)
     aps = perf.select(F.col("ad_account_id").alias("_perf_account"), "total_ad_spend",
-                      *_account_ratios(perf), "total_ads")
+                      *_account_ratios(), "total_ads")
     mrp = (pm.select(F.col("ad_account_id").alias("cad_account_id"),
                      F.col("ad_account_name").alias("cad_account_name"),
                      F.col("product").alias("cad_product"), "review_account_id",
@@ -290,7 +290,7 @@ def account_level_opportunities(seed: DataFrame, rpa: DataFrame, apr: DataFrame,
         F.sum("impressions").alias("total_impressions"),
         F.countDistinct("ad_id").alias("total_ads"))
     cap = cap.select("ad_account_id", "ad_account_name", "total_ad_spend", "total_ads",
-                     *_account_ratios(cap))
+                     *_account_ratios())
     adp = apr.groupBy(F.col("ad_account_id").alias("_p_account")).agg(
         F.countDistinct("persona_attribute").alias("_unique_ad_personas"),
         F.count(F.lit(1)).alias("_ad_persona_mentions"))
@@ -307,8 +307,6 @@ def account_level_opportunities(seed: DataFrame, rpa: DataFrame, apr: DataFrame,
                           F.when(personas == 0, F.lit(100))
                           .otherwise(F.greatest(F.lit(0), 100 - F.col("_unique_ad_personas") * 10)))
                    .when(has_map, F.lit(90)).when(spend > 0, F.lit(20)).otherwise(F.lit(0)))
-    tier = bucketize(F.col("account_roas"), [(3, "High Performer"), (1.5, "Medium Performer")],
-                     "No Performance Data")
     tier = (F.when(F.col("account_roas") >= 3, "High Performer")
             .when(F.col("account_roas") >= 1.5, "Medium Performer")
             .when(F.col("account_roas") > 0, "Low Performer").otherwise("No Performance Data"))

@@ -1 +1,7 @@
+"""No streaming operators.
 
+The reference rebuilds every table in full on a schedule; it has no streams,
+watermarks or stateful operators, so this package holds none. Incremental
+runs are expressed as batch jobs over new input files (the operators are
+plain DataFrame functions and work unchanged on any batch).
+"""
