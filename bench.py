@@ -36,7 +36,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus,
                         extra={"spark.driver.memory": "8g"})
     qs = all_queries()
     names = [n for n in HEADLINE if n in qs]

@@ -453,10 +453,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     round-robin repartitioned to that parallelism; a large input, which has
     far more splits than cores, is returned untouched (no shuffle).
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD view
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 # Declared schemas of the driver's tables: read without a schema-inference job.
