@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from personalens.functions.numeric import NUMERIC
+from personalens.operators.expand import repeat_rows
 from personalens.plans.staging import DEFAULT_AS_OF, run_timestamp
 from personalens.sources.sizing import broadcast_if_small
 
@@ -137,17 +138,22 @@ def cross_account_persona_mapping(apa: DataFrame, rpa: DataFrame, seed: DataFram
     # rows are unique per (a, mapping attributes, p, confidence): no distinct needed
     cad_rows = _cad_rows(cad, review_side)
 
-    # --- review-only rows: every (mention, mapping row) whose (a, p) has no ads
+    # --- review-only rows: every (mention, mapping row) whose (a, p) has no ads.
+    # The rows carry no review id, so mentions equal in (r, p, confidence, date)
+    # are counted first; every join below runs on aggregates, and the copies
+    # are emitted at the end in bounded chunks (a hot key is spread, not joined).
     cad_keys = cad_counts.select("cad_account_id", "persona_attribute")
-    mentions = (rpa.select(F.col("ad_account_id").alias("review_account_id"), "persona_attribute",
-                           "confidence_score", "review_date")
-                .join(rev_counts.select("review_account_id", "persona_attribute",
-                                        (F.col("_n") * F.col("m_r")).alias("review_persona_mentions"),
-                                        (F.col("_nn") * F.col("m_r")).alias("review_count_with_persona")),
-                      ["review_account_id", "persona_attribute"])
-                .join(mt, "review_account_id")
-                .join(cad_keys, ["cad_account_id", "persona_attribute"], "left_anti"))
-    return _finish(cad_rows, _review_only_rows(mentions), as_of)
+    same_rows = rpa.groupBy(F.col("ad_account_id").alias("review_account_id"),
+                            "persona_attribute", "confidence_score", "review_date").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    only = (same_rows
+            .join(rev_counts.select("review_account_id", "persona_attribute",
+                                    (F.col("_n") * F.col("m_r")).alias("review_persona_mentions"),
+                                    (F.col("_nn") * F.col("m_r")).alias("review_count_with_persona")),
+                  ["review_account_id", "persona_attribute"])
+            .join(mt, "review_account_id")
+            .join(cad_keys, ["cad_account_id", "persona_attribute"], "left_anti"))
+    return _finish(cad_rows, _review_only_rows(repeat_rows(only, "_copies")), as_of)
 
 
 def cross_account_persona_mapping_windows(apa: DataFrame, rpa: DataFrame, seed: DataFrame,

@@ -106,3 +106,10 @@ def test_unaddressed_branch_is_empty(spark):
     sc = wh.scorecard
     assert sc.where(F.col("gap_analysis_category") == "unaddressed_persona").count() == 0
     assert sc.where(F.col("ad_count") == 0).count() == 0
+
+
+def test_repeat_rows_chunks(spark):
+    from personalens.operators.expand import repeat_rows
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 0)], "k string, n long")
+    out = repeat_rows(df, "n", chunk=3)
+    assert sorted(r.k for r in out.collect()) == ["a"] + ["b"] * 7
