@@ -129,6 +129,13 @@ SPECS = {
         "persona_attribute cad_persona_mentions:i cad_ads_with_persona:i avg_cad_confidence:d "
         "review_persona_mentions:i review_count_with_persona:i avg_review_confidence:d "
         "latest_review_mention persona_coverage cross_system_alignment_score:d loaded_at", "xmap"),
+    "scorecard_tiers": (
+        "ad_account_id:i persona_attribute persona_value ad_count:i core_persona_count:i "
+        "avg_roas:d median_roas:d max_roas:d min_roas:d avg_ctr:d median_ctr:d max_ctr:d "
+        "avg_cpc:d median_cpc:d total_spend:d total_impressions:d total_reach:d total_clicks:d "
+        "avg_thumbstop:d avg_retention:d avg_frequency:d avg_confidence_score:d latest_data_date "
+        "roas_tier ctr_tier spend_tier performance_tier composite_performance_score:d",
+        "sc_scoring"),
     "scorecard": (
         "ad_account_id:i persona_attribute persona_value ad_count:i core_persona_count:i "
         "avg_roas:d median_roas:d max_roas:d min_roas:d avg_ctr:d median_ctr:d max_ctr:d "
@@ -182,6 +189,7 @@ MODEL_ATTR = {
     "ad_performance": "ad_performance",
     "opportunity_index": "opportunity_index",
     "cross_account_mapping": "cross_account_mapping",
+    "scorecard_tiers": "scorecard_tiers",
     "scorecard": "scorecard",
     "gap_analysis": "gap_analysis",
     "gap_analysis_simple": "gap_analysis_simple",

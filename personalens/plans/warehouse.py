@@ -158,6 +158,11 @@ class Warehouse:
         return self._m("cross_account_mapping", mapping.cross_account_persona_mapping(
             self.ad_persona_attributes, self.review_persona_attributes, self.seed, self.as_of))
 
+    @cached_property
+    def scorecard_tiers(self) -> DataFrame:
+        return scorecard.add_performance_tiers(scorecard.persona_performance_metrics(
+            self.ad_persona_attributes, self.insights))
+
     @cached_property
     def scorecard(self) -> DataFrame:
         return self._m("scorecard", scorecard.persona_performance_scorecard(
@@ -192,13 +197,34 @@ class Warehouse:
         return self._m("review_account_summary", gaps.review_account_summary(self.review_persona_attributes))
 
     # ---------------------------------------------------------- sinks
-    def persist(self, name: str) -> DataFrame:
-        """Write one model as parquet under the checkpoint folder and use the
-        written copy from then on (cuts lineage; survives executor loss)."""
+    # Dependency order of the intermediate layer (each model after its inputs).
+    BUILD_ORDER = (
+        "review_persona_attributes", "review_value_propositions", "review_problems",
+        "review_barriers", "ad_persona_attributes", "ad_value_propositions", "ad_problems",
+        "ad_barriers", "ad_personas_from_review_analysis", "unified_persona_attributes",
+        "review_ranking", "ad_performance", "opportunity_index", "cross_account_mapping",
+        "scorecard", "gap_analysis", "gap_analysis_simple", "cross_system_analysis",
+        "account_opportunities",
+    )
+
+    def persist(self, name: str, target: str | None = None) -> DataFrame:
+        """Write one model as parquet (under ``target`` or the checkpoint
+        folder) and use the written copy from then on."""
         df = getattr(self, name)
         spark = df.sparkSession
-        path = f"{checkpoint_dir(spark).rstrip('/')}/models/{name}"
+        root = target or f"{checkpoint_dir(spark).rstrip('/')}/models/{self._run}"
+        path = f"{root.rstrip('/')}/{name}"
         df.write.mode("overwrite").parquet(path)
         written = spark.read.parquet(path)
         self.__dict__[name] = written
         return written
+
+    def build_all(self, target: str, models: tuple[str, ...] | None = None) -> dict[str, str]:
+        """Full rebuild of the intermediate layer (the reference's run): every
+        model is written under ``target/<model>`` in dependency order, and later
+        models read the written tables instead of recomputing their inputs."""
+        out = {}
+        for name in models or self.BUILD_ORDER:
+            self.persist(name, target)
+            out[name] = f"{target.rstrip('/')}/{name}"
+        return out

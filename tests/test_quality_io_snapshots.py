@@ -71,3 +71,16 @@ def test_scd2_merge(spark):
     again = snapshots.scd2_merge(out, snap, "k", ["v"], "2026-01-01")
     assert again.where(F.col("is_current")).count() == 3
     assert again.count() == out.count()
+
+
+def test_build_all_writes_every_model(spark):
+    from conftest import SF_SMALL
+    from personalens.plans.warehouse import Warehouse
+    target = tempfile.mkdtemp(prefix="build-")
+    wh = Warehouse.from_driver_tables(spark, SF_SMALL)
+    paths = wh.build_all(target, ("review_persona_attributes", "ad_persona_attributes",
+                                  "review_ranking", "gap_analysis_simple"))
+    assert sorted(os.listdir(target)) == sorted(paths)
+    again = spark.read.parquet(paths["review_ranking"])
+    fresh = Warehouse.from_driver_tables(spark, SF_SMALL).review_ranking
+    assert again.count() == fresh.count() > 0
