@@ -65,7 +65,6 @@ def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
 # Models each query reads more than once (written once per run, see Warehouse).
 SHARED = ("review_persona_attributes", "ad_persona_attributes")
 REUSE = {
-    "opportunity_index": ("review_persona_attributes", "ad_personas_from_review_analysis"),
     "cross_account_mapping": SHARED,
     "scorecard": SHARED,
     "gap_analysis": SHARED,
