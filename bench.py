@@ -22,7 +22,7 @@ HEADLINE = [
     "review_persona_attributes", "ad_persona_attributes", "ad_personas_from_review_analysis",
     "unified_persona_attributes", "review_ranking", "ad_performance", "opportunity_index",
     "cross_account_mapping", "scorecard", "gap_analysis", "gap_analysis_simple",
-    "cross_system_analysis", "account_opportunities", "dq_not_null",
+    "cross_system_analysis", "account_opportunities",
 ]
 
 
