@@ -7,6 +7,7 @@ Prints one line per query: ok / MISMATCH with row counts.
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -25,7 +26,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return repr(round(v, 6) + 0.0)
+        return repr(round(v, 6)) if os.environ.get("STRICT_FLOATS") else repr(round(v, 6) + 0.0)
     return repr(v)
 
 
