@@ -76,6 +76,8 @@ def main():
                 print("  spark-only", dict(zip(cols, r)))
             for r in only_d:
                 print("  duck-only ", dict(zip(cols, r)))
+            for a, b in zip(only_s, only_d):
+                print("  differs:", {c: (x, y) for c, x, y in zip(cols, a, b) if x != y})
     print(f"{bad} failing")
 
 
