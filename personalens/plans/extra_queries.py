@@ -143,7 +143,7 @@ def dq_not_null(spark, sf_dir):
 
 
 def dq_accepted_values(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
+    wh = _wh(spark, sf_dir, "dq_accepted_values")
     parts = [quality.accepted_values_violations(_model(wh, m), c, v, m)
              for m, c, v in quality.ACCEPTED_VALUES_TESTS]
     return reduce(DataFrame.unionByName, parts)

@@ -70,6 +70,7 @@ REUSE = {
     "gap_analysis": SHARED,
     "critical_gaps": SHARED,
     "top_opportunities": SHARED,
+    "dq_accepted_values": SHARED,
     "dq_not_null": SHARED + ("ad_personas_from_review_analysis", "cross_account_mapping",
                              "scorecard"),
 }
