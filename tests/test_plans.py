@@ -52,3 +52,20 @@ def test_global_rank_has_no_single_partition_window_over_data(spark):
     assert tree.count("Window") == 1
     assert tree.index("BroadcastExchange") < tree.index("Window")
     assert sorted(r.rn for r in out.collect()) == list(range(1, 201))
+
+
+def test_spread_only_when_fewer_splits_than_cores(spark):
+    from personalens.sources.tpch_binding import spread_small_input
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread_small_input(many) is many  # large input: untouched, no shuffle
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = spread_small_input(one)
+    assert spread.rdd.getNumPartitions() == cores
+    assert spread.count() == 1000
+
+
+def test_checkpoint_dir_comes_from_session(spark):
+    from personalens.session import checkpoint_dir
+    d = checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getCheckpointDir()
