@@ -23,7 +23,7 @@ from personalens.operators import quality
 from personalens.plans.warehouse import Warehouse
 from personalens.session import get_session
 from personalens.sources import io
-from personalens.sources.tpch_binding import BINDINGS, DriverTables, LazyTables
+from personalens.sources.tpch_binding import BINDINGS, LazyTables
 
 
 def _warehouse(spark, args, reuse=()) -> Warehouse:
