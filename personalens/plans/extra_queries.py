@@ -112,10 +112,10 @@ def untargeted_review_personas(spark, sf_dir, min_roas: float = 2.0):
     rows at all when the subquery yields a NULL persona.
     """
     wh = _wh(spark, sf_dir)
-    # semi join: a persona is targeted when any of its ads has such an insight row
-    targeted = (wh.ad_persona_attributes.join(
-        wh.insights.where(F.col("roas") > min_roas).select("ads_meta_id"), "ads_meta_id",
-        "left_semi")
+    # semi join: a persona is targeted when any of its ads has such an insight row;
+    # the insight side is reduced to distinct ads first (collapsed map-side)
+    strong_ads = wh.insights.where(F.col("roas") > min_roas).select("ads_meta_id").distinct()
+    targeted = (wh.ad_persona_attributes.join(strong_ads, "ads_meta_id", "left_semi")
         .select("persona_attribute").distinct())
     no_null = targeted.select(F.count_if(F.col("persona_attribute").isNull()) == 0).scalar()
     rp = wh.review_persona_attributes
