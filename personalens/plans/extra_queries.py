@@ -118,10 +118,11 @@ def untargeted_review_personas(spark, sf_dir, min_roas: float = 2.0):
     targeted = (wh.ad_persona_attributes.join(strong_ads, "ads_meta_id", "left_semi")
         .select("persona_attribute").distinct())
     no_null = targeted.select(F.count_if(F.col("persona_attribute").isNull()) == 0).scalar()
-    rp = wh.review_persona_attributes
-    return (rp.join(targeted, "persona_attribute", "left_anti")
+    # count per persona first, so the anti join runs on one row per persona
+    counts = (wh.review_persona_attributes.groupBy("persona_attribute")
+              .agg(F.count("review_id").alias("review_count")))
+    return (counts.join(targeted, "persona_attribute", "left_anti")
             .where(no_null & F.col("persona_attribute").isNotNull())
-            .groupBy("persona_attribute").agg(F.count("review_id").alias("review_count"))
             .orderBy(F.col("review_count").desc_nulls_first()))
 
 
