@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from personalens.operators import quality, snapshots
+from personalens.operators import documented, quality, snapshots
 from personalens.plans import duck_checks as D
 from personalens.plans.staging import STAGING
 from personalens.session import checkpoint_dir
@@ -106,24 +106,11 @@ def review_only_personas(spark, sf_dir):
 
 
 def untargeted_review_personas(spark, sf_dir, min_roas: float = 2.0):
-    """QRY-4: review personas that no ad with ROAS above ``min_roas`` targets.
-
-    ``NOT IN (subquery)`` semantics: a left anti join on the persona, and no
-    rows at all when the subquery yields a NULL persona.
-    """
+    """QRY-4: review personas not targeted by any ad with ROAS above ``min_roas``."""
     wh = _wh(spark, sf_dir)
-    # semi join: a persona is targeted when any of its ads has such an insight row;
-    # the insight side is reduced to distinct ads first (collapsed map-side)
-    strong_ads = wh.insights.where(F.col("roas") > min_roas).select("ads_meta_id").distinct()
-    targeted = (wh.ad_persona_attributes.join(strong_ads, "ads_meta_id", "left_semi")
-        .select("persona_attribute").distinct())
-    no_null = targeted.select(F.count_if(F.col("persona_attribute").isNull()) == 0).scalar()
-    # count per persona first, so the anti join runs on one row per persona
-    counts = (wh.review_persona_attributes.groupBy("persona_attribute")
-              .agg(F.count("review_id").alias("review_count")))
-    return (counts.join(targeted, "persona_attribute", "left_anti")
-            .where(no_null & F.col("persona_attribute").isNotNull())
-            .orderBy(F.col("review_count").desc_nulls_first()))
+    return (documented.untargeted_review_personas(
+        wh.review_persona_attributes, wh.ad_persona_attributes, wh.insights, min_roas)
+        .orderBy(F.col("review_count").desc_nulls_first()))
 
 
 # ------------------------------------------------------------ data quality

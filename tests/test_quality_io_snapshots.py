@@ -84,3 +84,18 @@ def test_build_all_writes_every_model(spark):
     again = spark.read.parquet(paths["review_ranking"])
     fresh = Warehouse.from_driver_tables(spark, SF_SMALL).review_ranking
     assert again.count() == fresh.count() > 0
+
+
+def test_untargeted_personas_not_in_semantics(spark):
+    from personalens.operators.documented import untargeted_review_personas
+    rpa = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None)],
+                                "review_id long, persona_attribute string")
+    ins = spark.createDataFrame([(10, 3.0), (10, 3.5), (11, 1.0)], "ads_meta_id long, roas double")
+    apa = spark.createDataFrame([(10, "a"), (11, "b")], "ads_meta_id long, persona_attribute string")
+    got = untargeted_review_personas(rpa, apa, ins)
+    assert rows(got) == [("b", 2)]                      # NULL persona dropped (NOT IN is NULL)
+    apa_null = spark.createDataFrame([(10, "a"), (10, None)],
+                                     "ads_meta_id long, persona_attribute string")
+    assert untargeted_review_personas(rpa, apa_null, ins).count() == 0   # NULL in subquery
+    none = untargeted_review_personas(rpa, apa, ins, min_roas=10.0)     # nothing targeted
+    assert rows(none) == sorted([("a", 1), ("b", 2), (None, 1)], key=repr)
