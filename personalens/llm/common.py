@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +22,29 @@ WORD_SPLIT = r"[\x20\x09-\x0D]+"
 WORD_SPACE = " \t\n\x0b\f\r"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this library's modules to the Python workers, once per application, wherever they are started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_personalens_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="personalens-")) / "personalens.zip"  # the driver's own copy; Spark serves it
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(target))
+    sc._personalens_shipped = True
+
+
+def with_package(query: Callable) -> Callable:
+    """The query or stage, run after its modules were sent to the workers."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship_package(spark)
+        return query(spark, *args)
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from personalens.llm import mixing, quality_rules
+from personalens.llm import fingerprints, mixing, qda, quality_rules, secrets, token_counts, toxicity
+from personalens.llm.common import with_package
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
+    "op2_fingerprints": fingerprints.op2,
+    "op3_toxicity": toxicity.op3,
+    "op5_token_counts": token_counts.op5,
+    "op7_quality_classifier": qda.op7,
+    "op8_secret_scan": secrets.op8,
     "op10_mixing": mixing.op10,
 }
+QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
 SQL = {
     "op1_quality_rules": quality_rules.SQL,
     "op10_mixing": mixing.SQL,
