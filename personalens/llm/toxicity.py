@@ -21,8 +21,8 @@ from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks,
 #: At most so many labelled documents of each class train the model: those with the least hash of their id.
 MAX_LABELLED = 20_000
 #: Words kept as features, by how far their log odds of a toxic document are from zero in standard errors.
-LEXICON, MIN_DOCUMENTS = 512, 5
-ROUNDS, RATE, DECAY = 300, 0.1, 1e-3
+LEXICON, MIN_DOCUMENTS = 256, 5
+ROUNDS, RATE, DECAY = 300, 0.1, 1e-5
 SENTENCE_SCORE = 0.5
 
 
