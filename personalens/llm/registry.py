@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from personalens.llm import fingerprints, mixing, qda, quality_rules, secrets, token_counts, toxicity
+from personalens.llm import fingerprints, mixing, ngram_join, qda, quality_rules, secrets, token_counts, toxicity
 from personalens.llm.common import with_package
 
 QUERIES = {
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_fingerprints": fingerprints.op2,
     "op3_toxicity": toxicity.op3,
     "op5_token_counts": token_counts.op5,
+    "op6_ngram_jaccard_join": ngram_join.op6,
     "op7_quality_classifier": qda.op7,
     "op8_secret_scan": secrets.op8,
     "op10_mixing": mixing.op10,
