@@ -6,6 +6,7 @@ import functools
 import tempfile
 import uuid
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -94,6 +95,34 @@ def in_chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+#: A fixed-size array is handed on in so many parts.
+PARTS = 64
+
+
+def split_parts(values: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
+    packed = [zlib.compress(x.tobytes(), 1) for x in np.split(values, PARTS)]
+    none = [pa.nulls(PARTS, pa.int64())] * (len(names) - 2)
+    yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(PARTS), pa.int32()), pa.array(packed, pa.binary())], names=names)
+
+
+def merged(parts: DataFrame, combine: Callable, dtype: str, size: int) -> np.ndarray:
+    """One array of that size from many tasks' (part, counts): a fixed size, whatever the number of tasks or rows.
+
+    Each task adds up the parts it gets as they come in; the driver receives PARTS of them.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, x in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                x = np.frombuffer(zlib.decompress(x), dtype)
+                held[part] = combine(held[part], x) if part in held else x
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())],
+                                         names=["part", "counts"])
+
+    rows = parts.select("part", "counts").repartition(PARTS, "part").mapInArrow(run, "part int, counts binary").collect()
+    return np.concatenate([np.frombuffer(r["counts"], dtype) for r in sorted(rows, key=lambda r: r["part"])] or [np.zeros(size, dtype)])
+
+
 class Words:
     """Words of a chunk of texts as arrays: byte start, byte end, index of the text."""
 

@@ -17,18 +17,17 @@ So no list gives all its pairs, and no link between components is lost.
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personalens.llm.common import Words, binary_texts, in_chunks, mix64, pick, read_table, stored
+from personalens.llm.common import Words, binary_texts, in_chunks, merged, mix64, pick, read_table, split_parts, stored
 
 SHINGLE, PERCENT = 5, 75
-SKETCH_BITS, BITMAP_BITS, PARTS = 20, 24, 64
+SKETCH_BITS, BITMAP_BITS = 20, 24
 #: Lists up to this length give all their pairs; longer ones go by pivots and components.
 SHORT_LIST = 16
 #: A key that the sketch expects in more sets than this is salted into runs of about this length.
@@ -139,31 +138,7 @@ def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             k = batch.num_rows
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(n)), pa.array(np.concatenate(cls)),
                                               pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=names)
-    yield from _parts(counts.astype(np.uint64), names)
-
-
-def _parts(values: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    packed = [zlib.compress(x.tobytes(), 1) for x in np.split(values, PARTS)]
-    none = [pa.nulls(PARTS, pa.int64())] * (len(names) - 2)
-    yield pa.RecordBatch.from_arrays([*none, pa.array(np.arange(PARTS), pa.int32()), pa.array(packed, pa.binary())], names=names)
-
-
-def merged(parts: DataFrame, combine: Callable, dtype: str, size: int) -> np.ndarray:
-    """One array of that size from many tasks' (part, counts): a fixed size, whatever the number of tasks or rows.
-
-    Each task adds up the parts it gets as they come in; the driver receives PARTS of them.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, x in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                x = np.frombuffer(zlib.decompress(x), dtype)
-                held[part] = combine(held[part], x) if part in held else x
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())],
-                                         names=["part", "counts"])
-
-    rows = parts.select("part", "counts").repartition(PARTS, "part").mapInArrow(run, "part int, counts binary").collect()
-    return np.concatenate([np.frombuffer(r["counts"], dtype) for r in sorted(rows, key=lambda r: r["part"])] or [np.zeros(size, dtype)])
+    yield from split_parts(counts.astype(np.uint64), names)
 
 
 def _posting_batches(counts, boundary: int):
@@ -266,7 +241,7 @@ def _bitmap_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     bits = np.zeros(1 << BITMAP_BITS, bool)
     for batch in batches:
         bits[_place(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))] = True
-    yield from _parts(np.packbits(bits), ["part", "counts"])
+    yield from split_parts(np.packbits(bits), ["part", "counts"])
 
 
 def _place(ids: np.ndarray) -> np.ndarray:

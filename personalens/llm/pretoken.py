@@ -94,7 +94,9 @@ class PieceCounter:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path).model
+        whole = Tokenizer.from_file(path)
+        self.model = whole.model
+        self.dtype = np.uint16 if whole.get_vocab_size() <= 1 << 16 else np.uint32
         with open(path) as f:
             self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         self.to_chars = {b: chr(c) for b, c in enumerate(_byte_chars())}
@@ -103,7 +105,7 @@ class PieceCounter:
     def forget(self) -> None:
         self.known: dict[int, int] = {}
         self.table, self.key = np.full(1 << 22, -1, np.int32), np.zeros(1 << 15, np.uint64)
-        self.ids, self.n_ids = np.zeros(1 << 16, np.uint16), 0
+        self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
         self.first, self.size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
 
     def pieces(self, pretoken: str) -> list[int]:
@@ -179,14 +181,24 @@ class PieceCounter:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin (one more than texts), then of every
-        pre-token its hash, its text's index and its number of ids)."""
+        pre-token its hash, its text's index and its length in code points)."""
         joined, start, end, hashes, doc = self.split(texts)
         slot = self.look_up(joined, start, end, hashes)
         size = self.size[slot].astype(np.int64)
         begin = np.cumsum(size) - size
         flat = self.ids[np.arange(size.sum()) + np.repeat(self.first[slot] - begin, size)]
         total = np.bincount(doc, size, len(texts)).astype(np.int64)
-        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, size
+        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start
+
+    def encode_ended(self, texts: list[str], end_id: int, long: int = 0):
+        """(ids of all texts in a row with end_id after each, where each text's begin, then of every
+        pre-token its hash, its text's index and whether it has at least `long` code points)."""
+        flat, begin, hashes, doc, length = self.encode(texts)
+        k = np.arange(len(texts))
+        out = np.empty(len(flat) + len(texts), self.ids.dtype)
+        out[np.arange(len(flat)) + np.repeat(k, np.diff(begin))] = flat
+        out[begin[1:] + k] = end_id
+        return out, begin + np.append(k, len(texts)), hashes, doc, length >= long
 
 
 @lru_cache(2)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from personalens.llm import fingerprints, mixing, ngram_join, qda, quality_rules, secrets, token_counts, toxicity
+from personalens.llm import fingerprints, mixing, ngram_join, packing, qda, quality_rules, secrets, token_counts, toxicity
 from personalens.llm.common import with_package
 
 QUERIES = {
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_ngram_jaccard_join": ngram_join.op6,
     "op7_quality_classifier": qda.op7,
     "op8_secret_scan": secrets.op8,
+    "op9_retrieval_packing": packing.op9,
     "op10_mixing": mixing.op10,
 }
 QUERIES = {name: with_package(query) for name, query in QUERIES.items()}
