@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from personalens.llm import fingerprints, mixing, ngram_join, packing, qda, quality_rules, secrets, token_counts, toxicity
+from personalens.llm import fingerprints, mixing, ngram_join, packing, qda, quality_rules, secrets, token_counts, token_shards, toxicity
 from personalens.llm.common import with_package
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1,
     "op2_fingerprints": fingerprints.op2,
     "op3_toxicity": toxicity.op3,
+    "op4_training_order": token_shards.op4,
     "op5_token_counts": token_counts.op5,
     "op6_ngram_jaccard_join": ngram_join.op6,
     "op7_quality_classifier": qda.op7,
