@@ -7,6 +7,7 @@ columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from personalens.llm import mixing, ngram_join, packing, secrets, toxicity
 from personalens.llm.common import read_table, stored, with_package
@@ -29,7 +30,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated by Poisson draws so that sources reach their target weights, in a shuffled order."""
-    return mixing.poisson_mix(docs, mixing.mixing_rates(docs)).select(docs.columns)
+    rows = docs.select("doc_id", "source", F.struct("*").alias("row"))  # whatever the other columns are called
+    return mixing.poisson_mix(rows, mixing.mixing_rates(docs)).select("row.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,9 @@
 
 Labels mark documents; sentences are the instances. A sentence's probability
 is the logistic of its lexicon words' weights, a document's is the noisy-or of
-its sentences and a small leak for labels that no sentence explains. Trained
-from document labels alone, the sentence scores then locate the offending sentences.
+its sentences and a small leak for labels that no sentence explains. Sentences
+without lexicon words carry no evidence, so length alone makes no text toxic.
+Trained from document labels alone, the sentence scores then locate the offending sentences.
 """
 
 from __future__ import annotations
@@ -20,10 +21,12 @@ from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks,
 
 #: At most so many labelled documents of each class train the model: those with the least hash of their id.
 MAX_LABELLED = 20_000
-#: Words kept as features, by how far their log odds of a toxic document are from zero in standard errors.
-LEXICON, MIN_DOCUMENTS = 256, 5
-ROUNDS, RATE, DECAY = 300, 0.1, 1e-5
+#: Words kept as features: those whose log odds of a toxic document are most standard errors above zero.
+LEXICON, MIN_DOCUMENTS = 128, 5
+ROUNDS, RATE, DECAY = 300, 0.1, 2e-5
 SENTENCE_SCORE = 0.5
+#: Log odds of a sentence before its words count; words of less weight than LEAST_WEIGHT are left out after training.
+BIAS, LEAST_WEIGHT = -7.0, 2.0
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +82,8 @@ class Model:
 
     def _chunk(self, texts: list[bytes]) -> tuple[np.ndarray, list[str]]:
         t = tokens(texts)
-        sent, lex, used = hits(t, self.lexicon)
+        sent, lex = hits(t, self.lexicon)
+        used = np.unique(sent)
         z = np.bincount(sent, self.weight[lex], len(t.sentence_doc)) + self.bias
         alive = -np.bincount(t.sentence_doc[used], np.logaddexp(0, z[used]), len(texts))
         score = -np.expm1(np.log1p(-self.leak) + alive)
@@ -93,15 +97,14 @@ class Model:
         return np.clip(score, 0, 1), spans
 
 
-def hits(t: Tokens, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sentence, lexicon word) pairs, each once, and the sentences that have any word (as a sorted array)."""
-    used = np.unique(t.sentence)
+def hits(t: Tokens, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sentence, lexicon word) pairs, each once, sorted."""
     if not len(lexicon):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), used
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.minimum(np.searchsorted(lexicon, t.hash), len(lexicon) - 1)
     found = lexicon[at] == t.hash
     pair = np.unique(t.sentence[found].astype(np.int64) * len(lexicon) + at[found])
-    return pair // len(lexicon), pair % len(lexicon), used
+    return pair // len(lexicon), pair % len(lexicon)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_fold: int,
@@ -143,7 +146,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose_lexicon(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of the LEXICON words that tell the labels apart best."""
+    """Sorted hashes of the LEXICON words that speak for the label most surely."""
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     counts = rows.mapInArrow(_word_counts, "word long, n0 long, n1 long").groupBy("word").agg(
@@ -151,37 +154,35 @@ def choose_lexicon(rows: DataFrame) -> np.ndarray:
     a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
     odds = F.log(a / (n1 + 1 - a + 0.5)) - F.log(b / (n0 + 1 - b + 0.5))
     error = F.sqrt(1 / a + 1 / b)
-    top = counts.orderBy(F.abs(odds / error).desc(), "word").limit(LEXICON).select("word").collect()
+    top = counts.orderBy((odds / error).desc(), "word").limit(LEXICON).select("word").collect()
     return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
 
 
 def _bags(lexicon: np.ndarray):
-    """Of each document: label, weight, number of sentences without lexicon words, and its (sentence, word) hits."""
+    """Of each document: label, weight and its (sentence, word) hits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, rows = binary_texts(batch.column("text")), []
             for a, b in in_chunks(texts):
                 t = tokens(texts[a:b])
-                sent, lex, used = hits(t, lexicon)
-                with_any = np.unique(sent)
-                neutral = np.bincount(t.sentence_doc[used], minlength=b - a) - np.bincount(t.sentence_doc[with_any], minlength=b - a)
+                sent, lex = hits(t, lexicon)
                 doc = t.sentence_doc[sent]
                 cut = np.searchsorted(doc, np.arange(b - a + 1))
                 for i in range(b - a):
                     s = sent[cut[i]:cut[i + 1]]
-                    rows.append((int(neutral[i]), (s - s[0]).tolist() if len(s) else [], lex[cut[i]:cut[i + 1]].tolist()))
-            n, s, k = zip(*rows, strict=True) if rows else ((), (), ())
+                    rows.append(((s - s[0]).tolist() if len(s) else [], lex[cut[i]:cut[i + 1]].tolist()))
+            s, k = zip(*rows, strict=True) if rows else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("weight"), pa.array(n, pa.int64()), pa.array(s, pa.list_(pa.int64())),
-                 pa.array(k, pa.list_(pa.int64()))], names=["label", "weight", "neutral", "sentence", "word"])
+                [batch.column("label"), batch.column("weight"), pa.array(s, pa.list_(pa.int64())),
+                 pa.array(k, pa.list_(pa.int64()))], names=["label", "weight", "sentence", "word"])
     return run
 
 
-def fit(lexicon: np.ndarray, label, weight, neutral, sentences, words) -> Model:
+def fit(lexicon: np.ndarray, label, weight, sentences, words) -> Model:
     """Noisy-or likelihood by Adam over all sampled documents; decay pulls weights to zero."""
-    y, wt, neutral = np.asarray(label), np.asarray(weight, float), np.asarray(neutral, float)
+    y, wt = np.asarray(label), np.asarray(weight, float)
     if not len(y) or not y.any():
-        return Model(lexicon, np.zeros(len(lexicon)), -12.0, 0.01)
+        return Model(lexicon[:0], np.zeros(0), BIAS, 0.01)
     doc = np.repeat(np.arange(len(y)), [len(s) for s in sentences])
     sent = np.array([x for s in sentences for x in s], np.int64)
     lex = np.array([x for w in words for x in w], np.int64)
@@ -191,31 +192,30 @@ def fit(lexicon: np.ndarray, label, weight, neutral, sentences, words) -> Model:
     inst_doc = np.zeros(n_inst, np.int64)
     inst_doc[inst] = doc
     k = len(lexicon)
-    p = np.concatenate([np.zeros(k), [-6.0, -3.0]])
-    m, v, total = np.zeros(k + 2), np.zeros(k + 2), wt.sum()
+    p = np.append(np.zeros(k), -3.0)  # weights, and the leak's log odds
+    m, v, total = np.zeros(k + 1), np.zeros(k + 1), wt.sum()
     sig = lambda z: 1 / (1 + np.exp(-z))
     for i in range(1, ROUNDS + 1):
-        z = np.bincount(inst, p[lex], n_inst) + p[k]
-        alive = -np.logaddexp(0, p[k + 1]) - np.bincount(inst_doc, np.logaddexp(0, z), len(y)) - neutral * np.logaddexp(0, p[k])
+        z = np.bincount(inst, p[lex], n_inst) + BIAS
+        alive = -np.logaddexp(0, p[k]) - np.bincount(inst_doc, np.logaddexp(0, z), len(y))
         gone = np.maximum(-np.expm1(alive), 1e-9)
         up = wt * np.where(y == 1, (1 - gone) / gone, -1.0)
         from_inst = -up[inst_doc] * sig(z)
-        g = np.concatenate([np.bincount(lex, from_inst[inst], k) if k else np.zeros(0),
-                            [from_inst.sum() - (up * neutral).sum() * sig(p[k]), -up.sum() * sig(p[k + 1])]])
-        g /= total
+        g = np.append(np.bincount(lex, from_inst[inst], k), -up.sum() * sig(p[k])) / total
         g[:k] += DECAY * p[:k]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p -= RATE * (m / (1 - 0.9 ** i)) / (np.sqrt(v / (1 - 0.999 ** i)) + 1e-8)
-        p[k:] = np.minimum(p[k:], [-2.0, -1.0])
-    return Model(lexicon, p[:k], float(p[k]), float(sig(p[k + 1])))
+        p[k] = min(p[k], -1.0)
+    used = p[:k] >= LEAST_WEIGHT
+    return Model(lexicon[used], p[:k][used], BIAS, float(sig(p[k])))
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: int = 5, held_fold: int = 0) -> Model:
     """The model of a bounded, weighted sample of labelled rows outside the held-out fold."""
     rows = training_rows(docs, labels, label_col, folds, held_fold)
     lexicon = choose_lexicon(rows)
-    bags = rows.mapInArrow(_bags(lexicon), "label int, weight double, neutral long, sentence array<long>, word array<long>").collect()
-    return fit(lexicon, *([b[c] for b in bags] for c in ("label", "weight", "neutral", "sentence", "word")))
+    bags = rows.mapInArrow(_bags(lexicon), "label int, weight double, sentence array<long>, word array<long>").collect()
+    return fit(lexicon, *([b[c] for b in bags] for c in ("label", "weight", "sentence", "word")))
 
 
 def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
