@@ -90,7 +90,8 @@ def main(argv=None):
                                                   "ad_persona_attributes")))
         if args.target:
             io.write_table(results, args.target)
-        results.where("status <> 'pass'").show(100, truncate=False)
+        failing = results.where("status <> 'pass'").cache()
+        failing.show(failing.count(), truncate=False)  # a row for each test of the fixed lists
     elif args.cmd == "report":
         _model(_warehouse(spark, args), args.name).show(args.limit, truncate=False)
 

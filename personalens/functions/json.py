@@ -9,12 +9,23 @@ expressions: no Python per row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # An array written as a JSON *string* (double-encoded), e.g. "\"[1,2]\"".
 _BRACKETED = r"(?s)^\[.*\]\z"
 
+# An object that repeats a key keeps its last value, as the reports' JSON type
+# does; without this setting Spark gives NULL for the whole array.
+JSON_CONF = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
+
+def keep_last_of_repeated_keys(df: DataFrame) -> DataFrame:
+    """df, its session set to JSON_CONF (a session the library didn't build lacks it)."""
+    for key, value in JSON_CONF.items():
+        df.sparkSession.conf.set(key, value)
+    return df
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col

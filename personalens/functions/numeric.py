@@ -7,22 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC = "decimal(18,6)"
+# Holds 26 digits before the point and 12 after it. More digits before the point
+# are an error (never a silent NULL); more after it are rounded to 12.
+NUMERIC = "decimal(38,12)"
 
-# Unsigned decimal text: digits, an optional dot, more digits ('12.' passes;
-# '-1', '1e3', '.5' do not). \z anchors at the very end (Java's $ would also
-# accept a trailing newline).
+# Fixed value: the text form the reports take as a number. Unsigned decimal
+# text: digits, an optional dot, more digits ('12.' passes; '-1', '1e3', '.5' do
+# not). \z anchors at the very end (Java's $ would also accept a trailing newline).
 _UNSIGNED_DECIMAL = r"^[0-9]+\.?[0-9]*\z"
 
 
 def guarded_number(text: Column) -> Column:
-    """Text to DECIMAL(18,6) when it looks like an unsigned decimal, else NULL."""
-    return F.when(text.rlike(_UNSIGNED_DECIMAL), text.try_cast(NUMERIC))
+    """Text to NUMERIC when it looks like an unsigned decimal, else NULL."""
+    return F.when(text.rlike(_UNSIGNED_DECIMAL), text.cast(NUMERIC))
 
 
 def loose_number(text: Column) -> Column:
-    """Unguarded text-to-number cast; bad text gives NULL instead of an error."""
-    return text.try_cast(NUMERIC)
+    """Unguarded text-to-number cast; text that is no number gives NULL instead of an error."""
+    return F.when(text.rlike(_UNSIGNED_DECIMAL), text.cast(NUMERIC)).otherwise(text.try_cast(NUMERIC))
 
 
 def safe_ratio(num: Column, den: Column, otherwise=0.0) -> Column:

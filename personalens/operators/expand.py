@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNK = 100_000
+DEFAULT_CHUNK = 1_000
 
 
 def repeat_rows(df: DataFrame, count_col: str, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Each row of ``df`` ``count_col`` times (the count column is dropped).
 
-    Rows are first cut into chunks of at most ``chunk`` copies; the chunk
-    rows are hash-distributed across partitions and expanded there, so a row
-    standing for a billion identical output rows is written by many tasks.
+    Rows are first cut into chunks of at most ``chunk`` copies; the chunk rows
+    are dealt round to the partitions, whatever their values, and expanded
+    there. So neither a row standing for a billion identical output rows nor a
+    hot key with many such rows is written by few tasks.
     """
     n = F.col(count_col)
     cols = [c for c in df.columns if c != count_col]
     pieces = df.where(n > 0).select("*", F.explode(
         F.sequence(F.lit(0).cast("long"), ((n - 1) / F.lit(chunk)).cast("long"))).alias("_chunk"))
-    spread = pieces.repartition(F.col("_chunk"), *[F.col(c) for c in cols[:3]])
+    spread = pieces.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     size = F.least(F.lit(chunk).cast("long"), n - F.col("_chunk") * chunk)
     return spread.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), size)).alias("_copy")) \
         .drop("_copy")

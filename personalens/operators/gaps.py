@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from personalens.functions.numeric import NUMERIC, safe_ratio
+from personalens.operators.expand import repeat_rows
 from personalens.operators.ranking import global_row_number
 from personalens.operators.reports import insight_totals_per_ad
 from personalens.plans.staging import DEFAULT_AS_OF, run_timestamp
-from personalens.sources.sizing import broadcast_if_small
 
 DEFAULT_AS_OF_DATE = DEFAULT_AS_OF[:10]
 
@@ -200,7 +200,6 @@ CROSS_SYSTEM_ORDER = [
 
 def persona_cross_system_analysis(seed: DataFrame, rpa: DataFrame, apr: DataFrame,
                                   insights: DataFrame, ads_meta: DataFrame, ads: DataFrame,
-                                  max_broadcast_rows: int = 1_000_000,
                                   sort: bool = False) -> DataFrame:
     """GAP-3: review demand per mapped product against ad supply and account
     performance, with a global opportunity rank.
@@ -209,10 +208,8 @@ def persona_cross_system_analysis(seed: DataFrame, rpa: DataFrame, apr: DataFram
     offsets), not a window over one partition. Ties in the priority score are
     broken by the other output columns so the order is total.
     """
-    pm = broadcast_if_small(
-        seed.where(F.col("matched_review_product").isNotNull() &
-                   F.col("review_account_id").isNotNull() & F.col("ad_account_id").isNotNull()),
-        max_broadcast_rows)
+    pm = seed.where(F.col("matched_review_product").isNotNull() &
+                    F.col("review_account_id").isNotNull() & F.col("ad_account_id").isNotNull())
     rp = rpa.groupBy(F.col("ad_account_id").alias("review_account_id"), "persona_attribute").agg(
         F.count(F.lit(1)).alias("review_mentions"),
         F.avg("confidence_score").alias("avg_review_confidence"),
@@ -235,9 +232,11 @@ def persona_cross_system_analysis(seed: DataFrame, rpa: DataFrame, apr: DataFram
         F.when(F.col("total_ad_spend") > 0,
                F.col("review_mentions").cast("double") / F.col("total_ad_spend").cast("double"))
         .otherwise(F.lit(999999.0)))
-    mapped_ads = (pm.select(F.col("ad_account_id").alias("_map_account"))
-                  .join(ap, F.col("_map_account") == F.col("_ap_account"))
-                  .select("_map_account", F.lower(F.trim("_ap_persona")).alias("_map_key"),
+    # An ad persona stands once for each product of its account: the number is
+    # carried along and the copies are made last, when the ranks are due.
+    products = pm.groupBy(F.col("ad_account_id").alias("_map_account")).agg(F.count(F.lit(1)).alias("_products"))
+    mapped_ads = (products.join(ap, F.col("_map_account") == F.col("_ap_account"))
+                  .select("_map_account", "_products", F.lower(F.trim("_ap_persona")).alias("_map_key"),
                           "ad_mentions", "avg_ad_confidence"))
     pa = mrp.join(mapped_ads, (F.col("cad_account_id") == F.col("_map_account")) &
                   (F.lower(F.trim("persona_attribute")) == F.col("_map_key")), "left")
@@ -254,7 +253,9 @@ def persona_cross_system_analysis(seed: DataFrame, rpa: DataFrame, apr: DataFram
         F.coalesce(F.col("avg_ad_confidence"), F.lit(0).cast(NUMERIC)).alias("avg_ad_confidence"),
         "total_ad_spend", "account_aov", "account_roas", "account_thumbstop_rate", "total_ads",
         "raw_opportunity_ratio", status.alias("gap_status"),
-        priority.cast("double").alias("priority_score"))
+        priority.cast("double").alias("priority_score"),
+        F.coalesce(F.col("_products"), F.lit(1)).alias("_products"))
+    analysis = repeat_rows(analysis, "_products")
     order = [F.col(c).desc_nulls_first() if d == "desc" else F.col(c).asc_nulls_last()
              for c, d in CROSS_SYSTEM_ORDER]
     out = global_row_number(analysis, order, "opportunity_rank")

@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from personalens.functions.numeric import NUMERIC
 from personalens.operators.expand import repeat_rows
 from personalens.plans.staging import DEFAULT_AS_OF, run_timestamp
-from personalens.sources.sizing import broadcast_if_small
 
 OUTPUT_COLUMNS = [
     "cad_account_id", "cad_account_name", "review_account_id", "review_account_name",
@@ -96,10 +95,13 @@ def _review_only_rows(rows: DataFrame) -> DataFrame:
 
 
 def cross_account_persona_mapping(apa: DataFrame, rpa: DataFrame, seed: DataFrame,
-                                  as_of: str = DEFAULT_AS_OF,
-                                  max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """MAP-1 from per-key counts (no window over the fan-out)."""
-    mt = broadcast_if_small(mapped_accounts(seed), max_broadcast_rows)
+                                  as_of: str = DEFAULT_AS_OF, review_only: bool = True) -> DataFrame:
+    """MAP-1 from per-key counts (no window over the fan-out).
+
+    Without ``review_only`` the rows of personas that have no ads are left out:
+    readers that start from ads can't match them, and need not expand them.
+    """
+    mt = mapped_accounts(seed)
     m_a = mt.groupBy("cad_account_id").agg(F.count(F.lit(1)).alias("m_a"))
     m_r = mt.groupBy("review_account_id").agg(F.count(F.lit(1)).alias("m_r"))
     m_ra = mt.groupBy("review_account_id", "cad_account_id").agg(F.count(F.lit(1)).alias("m_ra"))
@@ -137,6 +139,8 @@ def cross_account_persona_mapping(apa: DataFrame, rpa: DataFrame, seed: DataFram
         F.lit(1).alias("_matched"))
     # rows are unique per (a, mapping attributes, p, confidence): no distinct needed
     cad_rows = _cad_rows(cad, review_side)
+    if not review_only:
+        return cad_rows.withColumn("loaded_at", run_timestamp(as_of)).select(*OUTPUT_COLUMNS)
 
     # --- review-only rows: every (mention, mapping row) whose (a, p) has no ads.
     # The rows carry no review id, so mentions equal in (r, p, confidence, date)

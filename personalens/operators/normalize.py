@@ -149,7 +149,7 @@ def explode_ad_elements(with_account: DataFrame, json_col: str,
     """
     key, out_key, fields = AD_ELEMENT_KINDS[json_col]
     e = F.col("_e")
-    exploded = with_account.select(
+    exploded = J.keep_last_of_repeated_keys(with_account).select(
         "*", F.explode(J.variant_elements(json_col, double_encoded=True)).alias("_e"))
     key_text = F.trim(J.field_text(e, key))
     projected = exploded.select(
@@ -205,7 +205,7 @@ def ad_persona_attributes_from_review_analysis(
     default confidence. Text elements of ``hook_persona_attributes`` are
     added (union all), then rows are made distinct.
     """
-    base = (review_analysis.where(F.col("persona_attributes").isNotNull())
+    base = (J.keep_last_of_repeated_keys(review_analysis).where(F.col("persona_attributes").isNotNull())
             .select("review_creative_analysis_id", "ad_account_id", "ad_id",
                     "persona_attributes", "hook_persona_attributes", "loaded_at"))
     e = F.col("_e")

@@ -6,7 +6,7 @@ one task. Instead:
 1. range-partition on the (total) sort order and sort inside partitions;
 2. tag each row with its partition id and its position in the partition
    (``monotonically_increasing_id`` counts rows per partition in order);
-3. checkpoint to the shared checkpoint folder, so the ids above are fixed
+3. write parquet into the shared checkpoint folder, so the ids above are fixed
    even if a task is retried or an executor is lost;
 4. count rows per partition (one row per partition), turn the counts into
    start offsets, broadcast them, and add.
@@ -18,6 +18,8 @@ tie-breaking columns) so that equal keys can still be split across ranges.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,15 +31,16 @@ _POSITION_BITS = 33  # monotonically_increasing_id = partition id << 33 | row po
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = df.columns
-    tagged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_rid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright(F.col("_rid"), _POSITION_BITS))
-              .withColumn("_pos", F.col("_rid") - F.shiftleft(F.col("_pid"), _POSITION_BITS))
-              .checkpoint(eager=True))
+    # Without a number, adaptive execution sizes the ranges from the shuffled bytes.
+    spread = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranked/{uuid.uuid4().hex}"
+    (spread.sortWithinPartitions(*order)
+     .withColumn("_rid", F.monotonically_increasing_id())
+     .withColumn("_pid", F.shiftright(F.col("_rid"), _POSITION_BITS))
+     .withColumn("_pos", F.col("_rid") - F.shiftleft(F.col("_pid"), _POSITION_BITS))
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0))

@@ -66,19 +66,26 @@ def review_ranking(rpa: DataFrame, ad_accounts: DataFrame, sort: bool = False) -
 
     ``total_unique_reviews`` is the account's mention count (the name is kept
     from the report). Account names come from a left join on the platform id
-    cast to a number. Share and rank are windows over the per-(account,
-    persona) counts, never over raw mentions.
+    cast to a number, which may match several accounts; the rank is over the
+    joined rows. It is taken from the number of personas per (account, review
+    count): no window or task holds an account's personas.
     """
     counts = (rpa.where(F.col("ad_account_id").isNotNull())
               .groupBy("persona_attribute", "ad_account_id")
               .agg(F.count(F.lit(1)).alias("review_count")))
-    by_account = Window.partitionBy("ad_account_id")
-    ranked = counts.select(
-        "*",
-        F.sum("review_count").over(by_account).alias("total_unique_reviews"),
-        F.rank().over(by_account.orderBy(F.col("review_count").desc())).alias("review_rank"))
     names = ad_accounts.select(
         F.col("meta_ad_account_id").try_cast("long").alias("_platform_id"), "ad_account_name")
+    matches = names.where(F.col("_platform_id").isNotNull()).groupBy("_platform_id").agg(F.count(F.lit(1)).alias("_names"))
+    levels = counts.groupBy("ad_account_id", "review_count").agg(F.count(F.lit(1)).alias("_personas"))
+    levels = levels.join(matches, F.col("ad_account_id") == F.col("_platform_id"), "left").drop("_platform_id")
+    account = Window.partitionBy("ad_account_id")
+    above = account.orderBy(F.col("review_count").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select(
+        "ad_account_id", "review_count",
+        F.sum(F.col("_personas") * F.col("review_count")).over(account).alias("total_unique_reviews"),
+        (1 + F.coalesce(F.col("_names"), F.lit(1)) * F.coalesce(F.sum("_personas").over(above), F.lit(0)))
+        .alias("review_rank"))
+    ranked = counts.join(levels, ["ad_account_id", "review_count"])
     pct = F.col("review_count") * 100.0 / F.col("total_unique_reviews")
     out = (ranked.join(names, F.col("ad_account_id") == F.col("_platform_id"), "left")
            .select(F.col("persona_attribute").alias("persona_name"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from personalens.functions.numeric import bucketize
@@ -24,8 +26,7 @@ _MEDIAN_METRICS = ["roas", "ctr", "cpc"]
 _GROUP = ["ad_account_id", "persona_attribute", "persona_value"]
 
 
-def persona_performance_metrics(apa: DataFrame, insights: DataFrame,
-                                exact_median: bool = True) -> DataFrame:
+def persona_performance_metrics(apa: DataFrame, insights: DataFrame) -> DataFrame:
     """Per (ad account, persona, value): counts, ROAS / CTR / CPC statistics,
     volume sums, engagement averages, confidence and latest load.
 
@@ -35,13 +36,11 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame,
     * insights are summed per ads_meta (sums, non-NULL counts, max / min),
       persona rows counted per (group, ads_meta, core persona), and each
       joined pair contributes ``multiplicity x ad totals``;
-    * medians use the exact weighted percentile: insight values are counted
-      per (ads_meta, metric, value) and weighted by the persona multiplicity,
-      which is the same multiset the product would hold.
+    * medians are selected in two passes (:func:`group_medians`).
 
     Only hash aggregates on pre-reduced rows remain; a hot account or persona
-    is split across map-side partial aggregates. ``exact_median=False``
-    switches to a bounded-memory sketch over the same weighted values.
+    is split across map-side partial aggregates. Groups with a NULL value or
+    account keep their medians (null-safe join).
     """
     ins = insights.where(F.col("roas").isNotNull())
     per_ad = ins.groupBy("ads_meta_id").agg(
@@ -70,23 +69,10 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame,
          F.sum(F.col("_conf_c") * F.col("_rows"))).alias("avg_confidence_score"),
         F.max("_latest").alias("latest_data_date"))
 
-    # weighted medians of all three metrics in one pass (metric as a row key)
-    stacked = ins.select("ads_meta_id", F.explode(F.array(*[
-        F.struct(F.lit(x).alias("metric"), F.col(x).cast("double").alias("x"))
-        for x in _MEDIAN_METRICS])).alias("_mv")).select("ads_meta_id", "_mv.metric", "_mv.x")
-    value_counts = (stacked.where(F.col("x").isNotNull())
-                    .groupBy("ads_meta_id", "metric", "x").agg(F.count(F.lit(1)).alias("_cnt")))
     multiplicity = persona_ads.groupBy(*_GROUP, "ads_meta_id").agg(F.sum("_m").alias("_m"))
-    weighted = multiplicity.join(value_counts, "ads_meta_id").select(
-        *_GROUP, "metric", "x", (F.col("_m") * F.col("_cnt")).alias("_w"))
-    if exact_median:
-        med = F.percentile(F.col("x"), F.lit(0.5), F.col("_w"))
-    else:
-        med = F.percentile_approx(F.col("x"), F.lit(0.5), F.lit(100000))
-    medians = (weighted.groupBy(*_GROUP, "metric").agg(med.alias("_med"))
-               .groupBy(*_GROUP).agg(*[F.max(F.when(F.col("metric") == x, F.col("_med")))
-                                      .alias(f"median_{x}") for x in _MEDIAN_METRICS]))
-    out = metrics.join(medians, _GROUP, "left")
+    medians = group_medians(multiplicity, ins)
+    on = [metrics[c].eqNullSafe(medians[f"_g_{c}"]) for c in _GROUP]
+    out = metrics.join(medians, functools.reduce(Column.__and__, on), "left")
     return out.select(
         *_GROUP, "ad_count", "core_persona_count", "avg_roas", "median_roas", "max_roas",
         "min_roas", "avg_ctr", "median_ctr", "max_ctr", "avg_cpc", "median_cpc", "total_spend",
@@ -94,6 +80,55 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame,
         "avg_frequency", "avg_confidence_score", "latest_data_date")
 
 
+# Bins of a metric's values in the first pass of the median selection.
+MEDIAN_BINS = 64
+
+
+def group_medians(multiplicity: DataFrame, ins: DataFrame) -> DataFrame:
+    """Exact medians per group, ``_g_*`` and ``median_*``, without the persona x insight product.
+
+    Pass 1 counts values per (ads_meta, metric, bin), at most MEDIAN_BINS bins
+    cut at approximate quantiles, and weighs them by persona multiplicity:
+    cumulative weights give the bins that hold each group's two middle values.
+    Pass 2 joins only the values in those bins and selects by cumulative
+    weight. Group state is bounded by the bins in pass 1 and spills as a sort in pass 2.
+    """
+    cuts = ins.agg(*[F.percentile_approx(F.col(x).cast("double"), [i / MEDIAN_BINS for i in range(1, MEDIAN_BINS)], 1000)
+                     .alias(x) for x in _MEDIAN_METRICS]).first()
+    stacked = ins.select("ads_meta_id", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x"), _bin(F.col(m).cast("double"), sorted(set(cuts[m] or []))).alias("bin"))
+        for m in _MEDIAN_METRICS])).alias("_v")).select("ads_meta_id", "_v.*").where(F.col("x").isNotNull())
+    values = stacked.groupBy("ads_meta_id", "metric", "bin", "x").agg(F.count(F.lit(1)).alias("_cnt"))
+    ads = multiplicity
+    bins = values.groupBy("ads_meta_id", "metric", "bin").agg(F.sum("_cnt").alias("_cnt"))
+    weight = F.sum(F.col("_m") * F.col("_cnt"))
+    per_bin = ads.join(bins, "ads_meta_id").groupBy(*_GROUP, "metric", "bin").agg(weight.alias("_w"))
+    group = Window.partitionBy(*_GROUP, "metric")
+    before = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    per_bin = per_bin.select("*", F.sum("_w").over(group).alias("_n"), F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"))
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)  # ranks of the two middle values, from 0
+    holds = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_w")) for r in (low, high)]
+    wanted = per_bin.where(holds[0] | holds[1]).select(*[F.col(c).alias(f"_g_{c}") for c in _GROUP], "metric", "bin", "_n", "_before")
+    same = functools.reduce(Column.__and__, [ads[c].eqNullSafe(wanted[f"_g_{c}"]) for c in _GROUP])
+    rows = ads.join(wanted, same).select("ads_meta_id", "_m", *[f"_g_{c}" for c in _GROUP], "metric", "bin", "_n", "_before")
+    weighed = rows.join(values, ["ads_meta_id", "metric", "bin"]).groupBy(
+        *[f"_g_{c}" for c in _GROUP], "metric", "bin", "_n", "_before", "x").agg(weight.alias("_w"))
+    inside = Window.partitionBy(*[f"_g_{c}" for c in _GROUP], "metric", "bin").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = weighed.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    pick = [F.max(F.when((r >= F.col("_from")) & (r < F.col("_from") + F.col("_w")), F.col("x"))) for r in (low, high)]
+    medians = weighed.groupBy(*[f"_g_{c}" for c in _GROUP], "metric").agg(((pick[0] + pick[1]) / 2).alias("_med"))
+    return medians.groupBy(*[f"_g_{c}" for c in _GROUP]).agg(*[
+        F.max(F.when(F.col("metric") == x, F.col("_med"))).alias(f"median_{x}") for x in _MEDIAN_METRICS])
+
+
+def _bin(x: Column, cuts: list[float], first: int = 0) -> Column:
+    """Number of cuts at or below x, as a tree of comparisons."""
+    if not cuts:
+        return F.lit(first)
+    mid = len(cuts) // 2
+    return F.when(x < cuts[mid], _bin(x, cuts[:mid], first)).otherwise(_bin(x, cuts[mid + 1:], first + mid + 1))
+
+
 def persona_performance_metrics_direct(apa: DataFrame, insights: DataFrame) -> DataFrame:
     """The same metrics over the explicit persona x insight product (for tests)."""
     ins = insights.where(F.col("roas").isNotNull()).select(
@@ -150,12 +185,11 @@ def direct_review_context(rpa: DataFrame) -> DataFrame:
 
 
 def persona_performance_scorecard(apa: DataFrame, insights: DataFrame, mapping: DataFrame,
-                                  rpa: DataFrame, as_of: str = DEFAULT_AS_OF,
-                                  exact_median: bool = True) -> DataFrame:
+                                  rpa: DataFrame, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """SCORE-1: metrics and tiers per (account, persona, value), with review
     context from the cross-account mapping, or from the account's own reviews
     when the mapping has nothing for that (account, persona)."""
-    ps = add_performance_tiers(persona_performance_metrics(apa, insights, exact_median))
+    ps = add_performance_tiers(persona_performance_metrics(apa, insights))
     carc = mapping.select(
         F.col("cad_account_id").alias("_carc_account"),
         F.col("persona_attribute").alias("_carc_persona"),

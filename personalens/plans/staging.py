@@ -82,8 +82,3 @@ def stage(df: DataFrame, spec: StageSpec, as_of: str = DEFAULT_AS_OF) -> DataFra
         cols.append(run_timestamp(as_of).alias("loaded_at"))
     return df.select(*cols)
 
-
-def stage_all(raw: dict[str, DataFrame], as_of: str = DEFAULT_AS_OF) -> dict[str, DataFrame]:
-    """Stage every raw table that has a spec; keys become ``stg_<name>``."""
-    return {f"stg_{name}": stage(df, STAGING[name], as_of)
-            for name, df in raw.items() if name in STAGING}

@@ -166,9 +166,14 @@ class Warehouse:
     @cached_property
     def scorecard(self) -> DataFrame:
         return self._m("scorecard", scorecard.persona_performance_scorecard(
-            self.ad_persona_attributes, self.insights, self.cross_account_mapping,
+            self.ad_persona_attributes, self.insights, self._mapped_ads(),
             self.review_persona_attributes, self.as_of))
 
+    def _mapped_ads(self) -> DataFrame:
+        """The ad side of the cross-account mapping, which is all a reader of ads can match."""
+        return mapping.cross_account_persona_mapping(
+            self.ad_persona_attributes, self.review_persona_attributes, self.seed, self.as_of, review_only=False)
+
     @cached_property
     def gap_analysis(self) -> DataFrame:
         return self._m("gap_analysis", gaps.persona_gap_analysis(

@@ -444,23 +444,6 @@ def binding_sql(name: str) -> str:
     return f"select {', '.join(exprs)} from {src}"
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Give an input with fewer splits than cores one split per core.
-
-    A parquet file with a single row group is read by a single task, and so
-    would every narrow step after it (JSON parsing, explode). When the scan
-    has fewer partitions than the session's default parallelism it is
-    round-robin repartitioned to that parallelism; a large input, which has
-    far more splits than cores, is returned untouched (no shuffle).
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 - e.g. a Connect session has no RDD view
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 # Declared schemas of the driver's tables: read without a schema-inference job.
 DRIVER_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -480,20 +463,12 @@ DRIVER_SCHEMAS = {
 }
 
 
-# Tables whose rows grow with the scale factor fastest; only these are worth
-# spreading when they arrive as fewer splits than cores.
-FACT_TABLES = {"lineitem", "orders", "events", "customer"}
-
-
 class DriverTables:
     """Lazy reader of the driver's parquet tables in one directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        if spread is None:
-            spread = spark.conf.get("personalens.spreadSmallInputs", "true") == "true"
-        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -501,9 +476,7 @@ class DriverTables:
             reader = self.spark.read
             if name in DRIVER_SCHEMAS:
                 reader = reader.schema(DRIVER_SCHEMAS[name])
-            df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
-            spread = self.spread and name in FACT_TABLES
-            self._cache[name] = spread_small_input(df) if spread else df
+            self._cache[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
     def _source(self, source: str) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from personalens.operators import mapping, ranking
 from personalens.plans.warehouse import Warehouse
-from personalens.sources.sizing import broadcast_if_small
 
 
 def _plan(df) -> str:
@@ -28,43 +27,18 @@ def test_fast_mapping_has_no_window(spark):
     assert "Window" in _plan(plain)
 
 
-def test_broadcast_only_under_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(5000).withColumnRenamed("id", "k")
-    j_small = probe.join(broadcast_if_small(small, 100), probe.k == F.col("id"))
-    j_big = probe.join(broadcast_if_small(big, 100), probe.k == F.col("id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in _plan(j_small)
-        assert "BroadcastHashJoin" not in _plan(j_big)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_global_rank_has_no_single_partition_window_over_data(spark):
     df = spark.range(200).withColumn("v", F.col("id") % 7)
     out = ranking.global_row_number(df, [F.col("v").desc(), F.col("id").asc()], "rn", 4)
     tree = _plan(out).split("\n\n")[0]
-    # the data is a scan of the checkpointed rows joined to broadcast offsets;
+    # the data is a scan of the written rows joined to broadcast offsets;
     # the only window runs over the per-partition counts, under the broadcast
-    assert "Scan ExistingRDD" in tree
+    assert "Scan parquet" in tree
     assert tree.count("Window") == 1
     assert tree.index("BroadcastExchange") < tree.index("Window")
     assert sorted(r.rn for r in out.collect()) == list(range(1, 201))
 
 
-def test_spread_only_when_fewer_splits_than_cores(spark):
-    from personalens.sources.tpch_binding import spread_small_input
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread_small_input(many) is many  # large input: untouched, no shuffle
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_small_input(one)
-    assert spread.rdd.getNumPartitions() == cores
-    assert spread.count() == 1000
-
-
 def test_checkpoint_dir_comes_from_session(spark):
     from personalens.session import checkpoint_dir
     d = checkpoint_dir(spark)
