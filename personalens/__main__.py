@@ -23,14 +23,14 @@ from personalens.operators import quality
 from personalens.plans.warehouse import Warehouse
 from personalens.session import get_session
 from personalens.sources import io
-from personalens.sources.tpch_binding import BINDINGS, LazyTables
+from personalens.sources.tpch_binding import BINDINGS, LazyTables, raw_schema
 
 
 def _warehouse(spark, args, reuse=()) -> Warehouse:
     if args.tpch_dir:
         return Warehouse.from_driver_tables(spark, args.tpch_dir, materialize=reuse)
     root = args.raw_dir.rstrip("/")
-    raw = LazyTables(lambda name: spark.read.parquet(f"{root}/{name}"), list(BINDINGS))
+    raw = LazyTables(lambda name: io.read_table(spark, f"{root}/{name}", raw_schema(spark, name)), list(BINDINGS))
     return Warehouse(raw, materialize=reuse)
 
 

@@ -103,6 +103,14 @@ def accepted_values_violations(df: DataFrame, column: str, values: list[str],
                     F.col(column).cast("string").alias("value"), "n_rows"))
 
 
+def accepted_values_counts(df: DataFrame, column: str, values: list[str], model: str) -> DataFrame:
+    """DQ-3 as one row: how many values were looked at and how many fail (never an empty result)."""
+    bad = F.col(column).isNotNull() & ~F.col(column).isin(values)
+    return df.agg(F.count(column).alias("checked_rows"), F.count_if(bad).alias("failing_rows")).select(
+        F.lit(model).alias("model"), F.lit(column).alias("column_name"), "checked_rows", "failing_rows",
+        F.when(F.col("failing_rows") == 0, "pass").otherwise("fail").alias("status"))
+
+
 def column_contract(spark: SparkSession, df: DataFrame, documented: list[str],
                     model: str) -> DataFrame:
     """DQ-4: documented columns the model lacks and produced columns the

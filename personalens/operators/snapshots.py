@@ -4,7 +4,8 @@ A versions table holds every state of each key with ``valid_from``,
 ``valid_to`` and ``is_current``. Merging a new snapshot closes versions whose
 tracked values changed or whose key disappeared, opens versions for changed
 and new keys, and keeps everything else. One full outer join on the key
-(unique on both sides, so nothing fans out) plus unions; no per-key loop.
+(unique on both sides, so nothing fans out) is read once: each joined row is
+exploded into its one or two versions.
 """
 
 from __future__ import annotations
@@ -30,16 +31,14 @@ def scd2_merge(versions: DataFrame, snapshot: DataFrame, key: str, tracked: list
     j = current.join(snap, F.col(f"p.{key}") == F.col(f"s.{key}"), "full")
     in_p, in_s = F.col(f"p.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     unchanged = in_p & in_s & _same(tracked)
-    kept = j.where(unchanged).select(*[F.col(f"p.{c}") for c in cols], "p.valid_from",
-                                     "p.valid_to", "p.is_current")
-    closed = j.where(in_p & ~unchanged).select(
-        *[F.col(f"p.{c}") for c in cols], "p.valid_from", day.alias("valid_to"),
-        F.lit(False).alias("is_current"))
-    opened = j.where(in_s & ~unchanged).select(
-        *[F.col(f"s.{c}") for c in cols], day.alias("valid_from"),
-        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
-    out = [history.select(*cols, "valid_from", "valid_to", "is_current"), kept, closed, opened]
-    return reduce(DataFrame.unionByName, out)
+    # The one or two versions that a joined row stands for.
+    kept = F.struct(*[F.col(f"p.{c}").alias(c) for c in cols], F.col("p.valid_from").alias("valid_from"),
+                    F.when(unchanged, F.col("p.valid_to")).otherwise(day).alias("valid_to"), unchanged.alias("is_current"))
+    opened = F.struct(*[F.col(f"s.{c}").alias(c) for c in cols], day.alias("valid_from"),
+                      F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
+    one, other = F.when(in_p, kept), F.when(in_s & ~unchanged, opened)
+    versions = j.select(F.explode(F.filter(F.array(one, other), lambda v: v.isNotNull())).alias("v")).select("v.*")
+    return history.select(*cols, "valid_from", "valid_to", "is_current").unionByName(versions)
 
 
 def first_versions(snapshot: DataFrame, key: str, tracked: list[str], as_of: str) -> DataFrame:

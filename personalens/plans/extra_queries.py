@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from personalens.operators import documented, quality, snapshots
 from personalens.plans import duck_checks as D
 from personalens.plans.staging import STAGING
+from personalens.plans.warehouse import Warehouse
 from personalens.session import checkpoint_dir
 from personalens.sources import io
 from personalens.sources.tpch_binding import BINDINGS, DriverTables
@@ -132,7 +133,7 @@ def dq_not_null(spark, sf_dir):
 
 def dq_accepted_values(spark, sf_dir):
     wh = _wh(spark, sf_dir, "dq_accepted_values")
-    parts = [quality.accepted_values_violations(_model(wh, m), c, v, m)
+    parts = [quality.accepted_values_counts(_model(wh, m), c, v, m)
              for m, c, v in quality.ACCEPTED_VALUES_TESTS]
     return reduce(DataFrame.unionByName, parts)
 
@@ -162,10 +163,10 @@ def _dq_accepted_sql() -> str:
     parts = []
     for m, c, values in quality.ACCEPTED_VALUES_TESTS:
         vals = ", ".join(f"'{v}'" for v in values)
-        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
-                     f"count(*) AS n_rows FROM {_model_cte(m)} "
-                     f"WHERE {c} IS NOT NULL AND {c} NOT IN ({vals}) GROUP BY {c}")
-    return " UNION ALL ".join(parts)
+        parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, count({c}) AS checked_rows, "
+                     f"count(*) FILTER (WHERE {c} NOT IN ({vals})) AS failing_rows FROM {_model_cte(m)}")
+    body = " UNION ALL ".join(parts)
+    return f"SELECT *, CASE WHEN failing_rows = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({body}) t"
 
 
 # ------------------------------------------------------------ run results
@@ -191,6 +192,10 @@ def run_summary(spark, sf_dir):
     return quality.run_summary(_run_results(spark, sf_dir))
 
 
+def failed_models(spark, sf_dir):
+    return quality.failed_models(_run_results(spark, sf_dir))
+
+
 def slow_models(spark, sf_dir):
     return quality.slowest_models(_run_results(spark, sf_dir), 5)
 
@@ -283,6 +288,17 @@ def seed_csv_roundtrip(spark, sf_dir):
     return io.read_seed_csv(spark, path)
 
 
+# ------------------------------------------------------------ view, table, namespace
+
+def table_round_trip(spark, sf_dir):
+    """SNK-1..3: a model written as a table in a namespace and read through a view of it."""
+    namespace, name = "personalens_models", f"review_ranking_{uuid.uuid4().hex}"
+    io.ensure_namespace(spark, namespace)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+    io.write_table(Warehouse.from_driver_tables(spark, sf_dir).review_ranking, f"{namespace}.{name}", path=path)
+    return io.as_view(spark.table(f"{namespace}.{name}"), name)
+
+
 SEED_SPEC = ("ad_account_id:i ad_account_name product matched_review_product "
              "review_account_name review_account_id:i")
 
@@ -311,11 +327,16 @@ def queries() -> dict:
             "WHERE ai.roas > 2.0) GROUP BY persona_attribute"),
         "dq_unique": _q(dq_unique, "model column_name value n_rows:i", _dq_unique_sql()),
         "dq_not_null": _q(dq_not_null, "model column_name null_rows:i status", _dq_not_null_sql()),
-        "dq_accepted_values": _q(dq_accepted_values, "model column_name value n_rows:i",
+        "dq_accepted_values": _q(dq_accepted_values, "model column_name checked_rows:i failing_rows:i status",
                                  _dq_accepted_sql()),
         "run_summary": _q(run_summary,
                           "run_id total_models:i successful:i failed:i test_failures:i "
                           "total_execution_time:d success_rate:d run_status", _RUN_SUMMARY_SQL),
+        "failed_models": _q(failed_models, "run_id unique_id message",
+                            f"SELECT run_id, unique_id, message FROM ({_RUN_RESULTS_SQL}) r WHERE status = 'error'"),
+        "table_round_trip": _q(table_round_trip, "persona_name account_name ad_account_id:i review_count:i "
+                               "percentage:d total_unique_reviews:i volume_category review_rank:i",
+                               "SELECT * FROM review_ranking"),
         "slow_models": _q(slow_models, "run_id unique_id status execution_time:d slow_rank:i",
                           _SLOW_SQL),
         "scd_versions": _q(scd_versions,

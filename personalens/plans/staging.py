@@ -73,9 +73,13 @@ def run_timestamp(as_of: str = DEFAULT_AS_OF) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def stage(df: DataFrame, spec: StageSpec, as_of: str = DEFAULT_AS_OF) -> DataFrame:
-    """Project a raw table into its staging shape (a lazy view, no shuffle)."""
-    cols = [F.col(c).alias(spec.renames.get(c, c)) for c in df.columns]
+def stage(df: DataFrame, spec: StageSpec, as_of: str = DEFAULT_AS_OF,
+          keep: list[str] | None = None) -> DataFrame:
+    """Project a raw table into its staging shape (a lazy view, no shuffle).
+
+    ``keep`` names the raw columns that a model has; others an ingestion tool may add are left out.
+    """
+    cols = [F.col(c).alias(spec.renames.get(c, c)) for c in keep or df.columns]
     if spec.source_system is not None:
         cols.append(F.lit(spec.source_system).alias("source_system"))
     if spec.loaded_at:

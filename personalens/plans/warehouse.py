@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from personalens.operators import gaps, mapping, normalize, reports, scorecard
 from personalens.plans.staging import DEFAULT_AS_OF, STAGING, stage
 from personalens.session import checkpoint_dir
-from personalens.sources.tpch_binding import DriverTables, LazyTables
+from personalens.sources.tpch_binding import DriverTables, LazyTables, raw_columns
 
 
 class Warehouse:
@@ -38,7 +38,7 @@ class Warehouse:
         self.materialize = set(materialize)
         self._run = uuid.uuid4().hex
         self.stg = LazyTables(
-            lambda name: stage(raw[name[4:]], STAGING[name[4:]], as_of),
+            lambda name: stage(raw[name[4:]], STAGING[name[4:]], as_of, raw_columns(name[4:])),
             [f"stg_{n}" for n in STAGING])
 
     @property

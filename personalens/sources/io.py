@@ -38,9 +38,11 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def write_table(df: DataFrame, name_or_path: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> None:
-    """SNK-2: full rebuild of a model, as a catalog table or a path."""
+                partition_by: list[str] | None = None, path: str | None = None) -> None:
+    """SNK-2: full rebuild of a model, as a catalog table (at ``path``, if given) or a path."""
     w = df.write.mode("overwrite").format(fmt)
+    if path:
+        w = w.option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if "/" in name_or_path:

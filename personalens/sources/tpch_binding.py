@@ -527,3 +527,20 @@ class LazyTables(dict):
 
     def __iter__(self):
         return iter(self._names)
+
+
+class EmptyTables(DriverTables):
+    """The driver's tables without rows or files: for the types of what is projected from them."""
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.createDataFrame([], DRIVER_SCHEMAS[name])
+
+
+def raw_schema(spark: SparkSession, name: str) -> str:
+    """Declared columns and types of a raw table."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in EmptyTables(spark, "").raw(name).schema)
+
+
+def raw_columns(name: str) -> list[str]:
+    """Names of a raw table's columns, in order."""
+    return [e.rsplit(" as ", 1)[1].strip() for e in BINDINGS[name][1]]
