@@ -8,10 +8,11 @@ therefore list their prefix for c = 1 in an inverted index; small sets
 enumerate the 2-subsets of their prefix for c = 2. The boundary between
 them comes from the estimated cost of both ways.
 
-Short lists give all their pairs. A long list links each member to a pivot and
-to the member before it; once the components of the verified links are known,
-only members of long lists that lie in different components are paired.
-So no list gives all its pairs, and no link between components is lost.
+Short lists give all their pairs. A long list pairs each member with a pivot.
+Once the components of the verified links are known, only members of long
+lists that lie in different components are paired: first neighbours by size,
+at last all that are left. So no list gives all its pairs, and no link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from personalens.llm.common import Words, binary_texts, in_chunks, merged, mix64, pick, read_table, split_parts, stored
@@ -109,7 +110,7 @@ def prefix_keys(s: Sets, counts: np.ndarray, boundary: int, rows: np.ndarray):
     take[rows] = True
     single = take[doc] & (rank <= n - least_overlap(n)) & (100 * n > PERCENT * boundary) & (n > 2)
     excess = of[order][single].astype(np.int64) - 2 * int(counts.mean(dtype=float))  # over what mere clashes make
-    salt = np.where(excess > RUN, excess // RUN + 1, 0)
+    salt = np.where(excess > RUN, np.minimum(excess // RUN + 1, 1000), 0)
     keys, docs, at = [mix64(h[single])], [doc[single]], [rank[single]]
     salts = [np.where(salt > 0, 1 + s.cls[doc[single]] % np.maximum(salt, 1), 0)]  # 0: an unsalted key
     for d in rows[(s.n[rows] <= boundary) & (s.n[rows] > 2)]:
@@ -141,6 +142,11 @@ def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from split_parts(counts.astype(np.uint64), names)
 
 
+def packed(salt: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(salt, n, position) in one number that sorts in this order: 10, 28 and 25 bits."""
+    return np.minimum(salt, 1023).astype(np.int64) << 53 | n.astype(np.int64) << 25 | np.minimum(at, (1 << 25) - 1)
+
+
 def _posting_batches(counts, boundary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,9 +155,8 @@ def _posting_batches(counts, boundary: int):
                 s = Sets(texts[a:b])
                 rows = np.unique(s.cls, return_index=True)[1]  # copies in one chunk list their keys once
                 key, doc, at, salt = prefix_keys(s, counts.value, boundary, rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(salt, pa.int32()), pa.array(s.cls[doc]), pa.array(s.n[doc], pa.int32()),
-                     pa.array(at, pa.int32())], names=["key", "salt", "cls", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(packed(salt, s.n[doc], at)), pa.array(s.cls[doc])],
+                                                 names=["key", "place", "cls"])
     return run
 
 
@@ -166,11 +171,13 @@ PAIR_SCHEMA = "a long, b long, key long, n int, at int"
 
 
 def _pair_batches(batches: Iterator[pa.RecordBatch], short: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a, b) of lists sorted by (key, salt, n, cls); of long lists also their rows (a = cls, b null)."""
+    """Candidate pairs (a, b) of lists sorted by (key, place, cls); of long lists also their rows (a = cls, b null)."""
     held: dict[str, np.ndarray] | None = None
     cut = None  # the last list if its beginning was given out already
     for batch in batches:
-        now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "salt", "cls", "n", "at")}
+        now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "cls")}
+        place = batch.column("place").to_numpy(zero_copy_only=False)
+        now |= {"salt": place >> 53, "n": (place >> 25 & (1 << 28) - 1).astype(np.int32), "at": (place & (1 << 25) - 1).astype(np.int32)}
         if held is not None:
             now = {c: np.concatenate([held[c], now[c]]) for c in now}
         same = (now["key"] == now["key"][-1]) & (now["salt"] == now["salt"][-1]) if len(now["key"]) else np.zeros(0, bool)
@@ -207,10 +214,9 @@ def _pairs_of(x: dict[str, np.ndarray], marked: set, short: int) -> Iterator[pa.
         right.append(j)
     long = i[length > short]
     if len(long):
-        chain = long[long > first[long]]
         pivot = _pivots(x["n"], first, long)
-        left += [chain - 1, pivot[long > pivot]]
-        right += [chain, long[long > pivot]]
+        left.append(pivot[long > pivot])
+        right.append(long[long > pivot])
     a = np.concatenate(left) if left else np.zeros(0, np.int64)
     b = np.concatenate(right) if right else np.zeros(0, np.int64)
     ok = may_link(x["n"][a].astype(np.int64), x["at"][a], x["n"][b].astype(np.int64), x["at"][b])
@@ -296,7 +302,8 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls").join(reps, "cls").select("doc_id")
     bitmap = spark.sparkContext.broadcast(merged(wanted.mapInArrow(_bitmap_batches, "part int, counts binary"), np.bitwise_or, "u1", 1 << BITMAP_BITS - 3))
-    sets = stored(docs.mapInArrow(_set_batches(bitmap), "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
+    # Both joins read one shuffle of the sets.
+    sets = docs.mapInArrow(_set_batches(bitmap), "cls long, shingles binary").dropDuplicates(["cls"])
     x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
     return stored(pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verified, "a long, b long"), "links")
@@ -328,21 +335,35 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def bridges(heavy: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of members of one long list that lie in different components so far and may link."""
+def open_rows(heavy: DataFrame, roots: DataFrame) -> DataFrame:
+    """Rows (key, cls, n, at, root) of the long lists whose members lie in several components so far."""
     rows = heavy.join(roots.select(F.col("cls").alias("a"), "root"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     rows = rows.select("key", F.col("a").alias("cls"), "n", "at", "root").distinct()
     open_ = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rows = stored(rows.join(open_, "key"), "open")
+    return stored(rows.join(open_, "key"), "open")
+
+
+def _may_link(p: str, q: str) -> Column:
+    need = F.ceil((F.col(f"{p}n") + F.col(f"{q}n")) * F.lit(PERCENT) / F.lit(100 + PERCENT))
+    rest = F.least(F.col(f"{p}n") - F.col(f"{p}at"), F.col(f"{q}n") - F.col(f"{q}at")) + F.least(F.col(f"{p}at"), F.col(f"{q}at"), F.lit(1))
+    return (100 * F.least(f"{p}n", f"{q}n") >= PERCENT * F.greatest(f"{p}n", f"{q}n")) & (rest >= need)
+
+
+def steps(rows: DataFrame) -> DataFrame:
+    """Pairs of neighbours by size in a list that lie in different components: at most as many as rows."""
+    by = Window.partitionBy("key").orderBy("n", "cls")
+    rows = rows.select("cls", "n", "at", "root", *[F.lag(c).over(by).alias(f"q_{c}") for c in ("cls", "n", "at", "root")])
+    pairs = rows.where((F.col("root") != F.col("q_root")) & _may_link("", "q_"))
+    return pairs.select(F.least("cls", "q_cls").alias("a"), F.greatest("cls", "q_cls").alias("b")).distinct()
+
+
+def bridges(rows: DataFrame) -> DataFrame:
+    """All pairs of members of one long list that lie in different components and may link."""
     band = F.floor(F.log("n") / F.lit(math.log(100 / PERCENT))).cast("int")  # sets that link lie in one band or in adjacent ones
     x = rows.withColumn("band", band)
-    y = x.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-    p, q = x.alias("p"), y.alias("q")
-    need = F.ceil((F.col("p.n") + F.col("q.n")) * F.lit(PERCENT) / F.lit(100 + PERCENT))
-    rest = F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at")) + F.least(F.col("p.at"), F.col("q.at"), F.lit(1))
+    p, q = x.alias("p"), x.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("q")
     on = (F.col("p.key") == F.col("q.key")) & (F.col("p.band") == F.col("q.band")) & (F.col("p.root") != F.col("q.root"))
-    size = 100 * F.least("p.n", "q.n") >= PERCENT * F.greatest("p.n", "q.n")
-    pairs = p.join(q, on & size & (rest >= need))
+    pairs = p.join(q, on & _may_link("p.", "q."))
     return pairs.select(F.least("p.cls", "q.cls").alias("a"), F.greatest("p.cls", "q.cls").alias("b")).distinct()
 
 
@@ -366,16 +387,18 @@ def jaccard_components(docs: DataFrame, short_list: int = SHORT_LIST) -> DataFra
     repeats = max(0.0, float((counts.astype(float) ** 2).sum()) / total - total / len(counts)) if total else 0.0
     boundary = small_boundary(sizes, repeats)
     shared = spark.sparkContext.broadcast(np.minimum(counts, (1 << 32) - 1).astype(np.uint32))
-    postings = docs.mapInArrow(_posting_batches(shared, boundary), "key long, salt int, cls long, n int, at int")
-    lists = postings.repartition("key", "salt").sortWithinPartitions("key", "salt", "n", "cls")
+    postings = docs.mapInArrow(_posting_batches(shared, boundary), "key long, place long, cls long")
+    lists = postings.repartition(F.col("key"), F.shiftright("place", 53)).sortWithinPartitions("key", "place", "cls")
     found = stored(lists.mapInArrow(lambda batches: _pair_batches(batches, short_list), PAIR_SCHEMA), "pairs")
     pairs = stored(found.where("b IS NOT NULL").select("a", "b").distinct(), "candidates")
     links = verify(pairs, docs, reps)
     roots = stored(components(links), "roots")
-    more = stored(bridges(found.where("b IS NULL"), roots).join(pairs, ["a", "b"], "left_anti"), "bridges")
-    if more.head(1):
-        links = links.union(verify(more, docs, reps))
-        roots = stored(components(links), "roots")
+    heavy, seen = found.where("b IS NULL"), pairs
+    for way in (steps, steps, bridges):  # the first two leave few components for the last, which is complete
+        more = stored(way(open_rows(heavy, roots)).join(seen, ["a", "b"], "left_anti"), "more")
+        if more.head(1):
+            links, seen = links.union(verify(more, docs, reps)), seen.union(more)
+            roots = stored(components(links), "roots")
     smallest = roots.join(reps, "cls").groupBy("root").agg(F.min("doc_id").alias("least"))
     least = roots.join(smallest, "root").select("cls", "least")
     ids = classes.join(least, "cls", "left").select("cls", F.coalesce("least", "doc_id").alias("least"))

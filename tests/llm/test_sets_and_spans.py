@@ -77,9 +77,8 @@ def test_long_runs_are_cut_and_marked(spark, monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(ngram_join, "RUN", 2)
     n = 40
-    cols = {"key": [5] * n, "salt": [0] * n, "cls": list(range(n)), "n": [10] * n, "at": [0] * n}
-    table = pa.table({"key": pa.array(cols["key"], pa.int64()), "salt": pa.array(cols["salt"], pa.int32()), "cls": pa.array(cols["cls"], pa.int64()),
-                      "n": pa.array(cols["n"], pa.int32()), "at": pa.array(cols["at"], pa.int32())})
+    place = ngram_join.packed(np.zeros(n), np.full(n, 10), np.zeros(n, int))
+    table = pa.table({"key": pa.array([5] * n, pa.int64()), "place": pa.array(place), "cls": pa.array(range(n), pa.int64())})
     out = pa.Table.from_batches(list(ngram_join._pair_batches(iter(table.to_batches(max_chunksize=12)), 16)))
     heavy = out.filter(pa.compute.is_null(out["b"]))["a"].to_pylist()
     assert sorted(set(heavy)) == list(range(n))
