@@ -46,7 +46,8 @@ def _double_encoded(json_sql: str) -> str:
 AD_ACCOUNTS = [
     "cast(n_nationkey as bigint) as id",
     "cast(n_regionkey as bigint) as company_id",
-    f"{_s('n_nationkey + 10')} as ad_account_id",
+    # nations 23 and 24 share one platform id
+    f"{_s('least(n_nationkey, 23) + 10')} as ad_account_id",
     "'acct ' || n_name as ad_account_name",
     "n_name as account_name",
     "lower(n_name) || '@example.test' as account_email",
@@ -135,13 +136,14 @@ ADS_ANALYSIS = [
 ]
 
 _CONF_TEXT = ("case p_partkey % 7 when 0 then '-1' when 1 then '1e3' when 2 then '.5' "
-              "when 3 then 'high' when 4 then '12.' when 5 then '3' else '0.9' end")
+              "when 3 then 'high' when 4 then '12.' when 5 then '0.1234567' else '0.9' end")
 
 _CAD_PERSONAS_ARRAY = (
     f"'[{{\"attribute\":\"' || upper({_NOUN}) || '\",\"value\":\"' || p_brand || "
     f"'\",\"confidence\":\"' || {_CONF_TEXT} || '\"}},"
     f"{{\"attribute\":\" ' || {_ADJ} || ' \",\"value\":\"' || lower(p_type) || "
-    f"'\",\"confidence\":0.75}}]'")
+    f"'\",\"confidence\":0.75}},"
+    f"{{\"attribute\":\"' || {_NOUN} || '\",\"confidence\":0.5}}]'")
 
 _CAD_PERSONAS_PLAIN = (
     f"'[{{\"attribute\":\"' || {_NOUN} || '\",\"value\":\"' || p_brand || "
@@ -222,8 +224,8 @@ _INSIGHT_VALUES = {
     "impressions": f"{_QTY} * 1000",
     "click": f"{_QTY} * 12",
     "amount_spent": f"{_QTY} * 10",
-    "cpc": f"{_DISC} * 0.1 + 0.5",
-    "ctr": f"{_TAX} * 0.4",
+    "cpc": f"{_DISC} * 0.1 + 0.5 + (l_orderkey % 89) * 0.01",
+    "ctr": f"{_TAX} * 0.4 + (l_orderkey % 101) * 0.001",
     "frequency": "l_linenumber",
     "thumbstop": f"{_TAX}",
     "retention": f"{_DISC}",
@@ -236,7 +238,7 @@ _INSIGHT_VALUES = {
 def _insight_expr(name: str) -> str:
     if name == "roas":
         return ("case when l_linenumber = 3 then cast(null as decimal(18,6)) "
-                f"else {_dec(f'{_DISC} * 0.4')} end as roas")
+                f"else {_dec(f'{_DISC} * 0.4 + (l_orderkey % 997) * 0.001')} end as roas")
     if name in _INSIGHT_VALUES:
         return f"{_dec(_INSIGHT_VALUES[name])} as {name}"
     return f"cast(null as decimal(18,6)) as {name}"
