@@ -17,6 +17,7 @@ components is lost.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -34,6 +35,8 @@ SHORT_LIST = 16
 #: A key that the sketch expects in more sets than this is salted into runs of about this length.
 RUN = 4096
 LARGEST_SMALL = 64
+#: Words of 64 bits in a set's signature.
+SIGNATURE = 16
 _K = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 # Verification compares 48 bits of each shingle's hash.
@@ -101,7 +104,8 @@ def small_boundary(sizes: dict[int, int], list_length: float) -> int:
 
 
 def prefix_keys(s: Sets, counts: np.ndarray, boundary: int, rows: np.ndarray):
-    """(key, doc, position) of every key of the sets `rows`; position: of the key's last shingle in its set's order."""
+    """(key, doc, position, salt) of every key of the sets `rows`. Position p: if the key is the first that two sets
+    share, n - p is the most they can share, so a 2-subset stands one before its second shingle."""
     of = np.minimum(counts[(s.hash >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], (1 << 24) - 1).astype(np.uint64)
     order = np.lexsort((of << np.uint64(40) | s.hash >> np.uint64(24), s.doc))  # stable: equal ranks stay in order of the hash
     h, doc, rank = s.hash[order], s.doc[order], np.arange(len(s.doc)) - s.first[s.doc]
@@ -119,7 +123,7 @@ def prefix_keys(s: Sets, counts: np.ndarray, boundary: int, rows: np.ndarray):
         i, j = np.triu_indices(len(x), 1)
         keys.append(mix64(mix64(x[i]) * _K[3] + x[j]))
         docs.append(np.full(len(i), d))
-        at.append(j)
+        at.append(j - 1)
         salts.append(np.zeros(len(i), np.int64))
     return np.concatenate(keys), np.concatenate(docs), np.concatenate(at), np.concatenate(salts)
 
@@ -142,9 +146,9 @@ def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield from split_parts(counts.astype(np.uint64), names)
 
 
-def packed(salt: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(salt, n, position) in one number that sorts in this order: 10, 28 and 25 bits."""
-    return np.minimum(salt, 1023).astype(np.int64) << 53 | n.astype(np.int64) << 25 | np.minimum(at, (1 << 25) - 1)
+def packed(salt: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """(salt, position, n) in one number that sorts in this order: 10, 25 and 28 bits."""
+    return np.minimum(salt, 1023).astype(np.int64) << 53 | np.minimum(at, (1 << 25) - 1).astype(np.int64) << 28 | n.astype(np.int64)
 
 
 def _posting_batches(counts, boundary: int):
@@ -155,7 +159,7 @@ def _posting_batches(counts, boundary: int):
                 s = Sets(texts[a:b])
                 rows = np.unique(s.cls, return_index=True)[1]  # copies in one chunk list their keys once
                 key, doc, at, salt = prefix_keys(s, counts.value, boundary, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(packed(salt, s.n[doc], at)), pa.array(s.cls[doc])],
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(packed(salt, at, s.n[doc])), pa.array(s.cls[doc])],
                                                  names=["key", "place", "cls"])
     return run
 
@@ -163,7 +167,7 @@ def _posting_batches(counts, boundary: int):
 def may_link(n_a, at_a, n_b, at_b):
     """Whether sets may link whose first common key stands at these positions, from sizes and what can follow."""
     need = -(-PERCENT * (n_a + n_b) // (100 + PERCENT))
-    rest = np.minimum(n_a - at_a, n_b - at_b) + np.minimum(np.minimum(at_a, at_b), 1)
+    rest = np.minimum(n_a - at_a, n_b - at_b)
     return (100 * np.minimum(n_a, n_b) >= PERCENT * np.maximum(n_a, n_b)) & (rest >= need)
 
 
@@ -171,13 +175,13 @@ PAIR_SCHEMA = "a long, b long, key long, n int, at int"
 
 
 def _pair_batches(batches: Iterator[pa.RecordBatch], short: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs (a, b) of lists sorted by (key, place, cls); of long lists also their rows (a = cls, b null)."""
+    """Candidate pairs (a, b) of lists sorted by (key, salt, position, n, cls); of long lists also their rows (a = cls, b null)."""
     held: dict[str, np.ndarray] | None = None
     cut = None  # the last list if its beginning was given out already
     for batch in batches:
         now = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "cls")}
         place = batch.column("place").to_numpy(zero_copy_only=False)
-        now |= {"salt": place >> 53, "n": (place >> 25 & (1 << 28) - 1).astype(np.int32), "at": (place & (1 << 25) - 1).astype(np.int32)}
+        now |= {"salt": place >> 53, "at": (place >> 28 & (1 << 25) - 1).astype(np.int32), "n": (place & (1 << 28) - 1).astype(np.int32)}
         if held is not None:
             now = {c: np.concatenate([held[c], now[c]]) for c in now}
         same = (now["key"] == now["key"][-1]) & (now["salt"] == now["salt"][-1]) if len(now["key"]) else np.zeros(0, bool)
@@ -214,9 +218,9 @@ def _pairs_of(x: dict[str, np.ndarray], marked: set, short: int) -> Iterator[pa.
         right.append(j)
     long = i[length > short]
     if len(long):
-        pivot = _pivots(x["n"], first, long)
-        left.append(pivot[long > pivot])
-        right.append(long[long > pivot])
+        for pivot, row in _pivots(x["n"], first, long):
+            left.append(pivot)
+            right.append(row)
     a = np.concatenate(left) if left else np.zeros(0, np.int64)
     b = np.concatenate(right) if right else np.zeros(0, np.int64)
     ok = may_link(x["n"][a].astype(np.int64), x["at"][a], x["n"][b].astype(np.int64), x["at"][b])
@@ -233,13 +237,21 @@ def _pairs_of(x: dict[str, np.ndarray], marked: set, short: int) -> Iterator[pa.
         pa.concat_arrays([none.cast(pa.int32()), pa.array(x["at"][heavy])])], names=["a", "b", "key", "n", "at"])
 
 
-def _pivots(n: np.ndarray, first: np.ndarray, long: np.ndarray) -> np.ndarray:
-    """Of each row of long lists (sorted by n): the first row of its list's band of sizes that may link to one another."""
-    out, pivot = np.empty(len(long), np.int64), -1
-    for k, (i, f, size) in enumerate(zip(long.tolist(), first[long].tolist(), n[long].tolist(), strict=True)):
-        if pivot < f or 100 * n[pivot] < PERCENT * size:
-            pivot = i
-        out[k] = pivot
+def _pivots(n: np.ndarray, first: np.ndarray, long: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each row of long lists: the first row of its list in its band of sizes and in the two next to it.
+
+    Lists are sorted by position: a first row has the fewest shingles of its own before the
+    shared one, so it is the nearest to what its list has in common.
+    """
+    band = np.floor(np.log(n[long]) / math.log(100 / PERCENT)).astype(np.int64)
+    code = first[long] * 64 + band
+    bands, start = np.unique(code, return_index=True)  # rows are in order, so the first of a band comes first
+    out = []
+    for step in (-1, 0, 1):
+        at = np.minimum(np.searchsorted(bands, code + step), len(bands) - 1)
+        pivot = long[start[at]]
+        ok = (bands[at] == code + step) & (pivot < long)
+        out.append((pivot[ok], long[ok]))
     return out
 
 
@@ -254,13 +266,17 @@ def _place(ids: np.ndarray) -> np.ndarray:
     return (mix64(ids.astype(np.int64).view(np.uint64)) >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
 
 
+def _held(batch: pa.RecordBatch, bitmap) -> pa.RecordBatch:
+    """The rows whose id the bitmap may hold."""
+    place = _place(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
+    return batch.filter(pa.array(bitmap.value[place >> 3] >> (7 - (place & 7)) & 1 == 1))
+
+
 def _set_batches(bitmap):
     """(cls, shingles) of the documents whose id the bitmap may hold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-            place = _place(ids)
-            batch = batch.filter(pa.array(bitmap.value[place >> 3] >> (7 - (place & 7)) & 1 == 1))
+            batch = _held(batch, bitmap)
             texts = binary_texts(batch.column("text"))
             for a, b in in_chunks(texts):
                 s = Sets(texts[a:b])
@@ -299,9 +315,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs of classes (a, b) that link, from their representatives' whole sets."""
-    spark = docs.sparkSession
-    wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls").join(reps, "cls").select("doc_id")
-    bitmap = spark.sparkContext.broadcast(merged(wanted.mapInArrow(_bitmap_batches, "part int, counts binary"), np.bitwise_or, "u1", 1 << BITMAP_BITS - 3))
+    bitmap = _wanted(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")), docs, reps)
     # Both joins read one shuffle of the sets.
     sets = docs.mapInArrow(_set_batches(bitmap), "cls long, shingles binary").dropDuplicates(["cls"])
     x = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
@@ -345,7 +359,7 @@ def open_rows(heavy: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _may_link(p: str, q: str) -> Column:
     need = F.ceil((F.col(f"{p}n") + F.col(f"{q}n")) * F.lit(PERCENT) / F.lit(100 + PERCENT))
-    rest = F.least(F.col(f"{p}n") - F.col(f"{p}at"), F.col(f"{q}n") - F.col(f"{q}at")) + F.least(F.col(f"{p}at"), F.col(f"{q}at"), F.lit(1))
+    rest = F.least(F.col(f"{p}n") - F.col(f"{p}at"), F.col(f"{q}n") - F.col(f"{q}at"))
     return (100 * F.least(f"{p}n", f"{q}n") >= PERCENT * F.greatest(f"{p}n", f"{q}n")) & (rest >= need)
 
 
@@ -357,13 +371,47 @@ def steps(rows: DataFrame) -> DataFrame:
     return pairs.select(F.least("cls", "q_cls").alias("a"), F.greatest("cls", "q_cls").alias("b")).distinct()
 
 
-def bridges(rows: DataFrame) -> DataFrame:
-    """All pairs of members of one long list that lie in different components and may link."""
+def _signature_batches(bitmap):
+    """(cls, s0...) of the documents whose id the bitmap may hold: bit i is the parity of the shingles that hash to i."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = _held(batch, bitmap)
+            texts = binary_texts(batch.column("text"))
+            for a, b in in_chunks(texts):
+                s = Sets(texts[a:b])
+                rows = np.unique(s.cls, return_index=True)[1]
+                bits = (s.hash & np.uint64(64 * SIGNATURE - 1)).astype(np.int64)
+                words = np.array([np.packbits(np.bincount(bits[s.first[d]:s.first[d + 1]], minlength=64 * SIGNATURE) & 1).view(np.int64)
+                                  for d in rows]).reshape(-1, SIGNATURE)
+                yield pa.RecordBatch.from_arrays([pa.array(s.cls[rows]), *(pa.array(w) for w in words.T)],
+                                                 names=["cls", *(f"s{i}" for i in range(SIGNATURE))])
+    return run
+
+
+def _wanted(classes: DataFrame, docs: DataFrame, reps: DataFrame):
+    """Broadcast bitmap of the ids of the classes' representatives."""
+    ids = classes.distinct().join(reps, "cls").select("doc_id")
+    bits = merged(ids.mapInArrow(_bitmap_batches, "part int, counts binary"), np.bitwise_or, "u1", 1 << BITMAP_BITS - 3)
+    return docs.sparkSession.sparkContext.broadcast(bits)
+
+
+def bridges(rows: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """All pairs of members of one long list that lie in different components and may link.
+
+    Two sets differ in at least as many shingles as their signatures do in bits, so a pair
+    whose signatures differ in more than linked sets can is left out; that loses no link.
+    """
+    words = [f"s{i}" for i in range(SIGNATURE)]
+    signatures = docs.mapInArrow(_signature_batches(_wanted(rows.select("cls"), docs, reps)),
+                                 "cls long, " + ", ".join(f"{w} long" for w in words)).dropDuplicates(["cls"])
+    rows = stored(rows.join(signatures, "cls"), "signed")
+    apart = functools.reduce(Column.__add__, [F.bit_count(F.col(f"p.{w}").bitwiseXOR(F.col(f"q.{w}"))) for w in words])
+    near = apart * (100 + PERCENT) <= (100 - PERCENT) * (F.col("p.n") + F.col("q.n"))
     band = F.floor(F.log("n") / F.lit(math.log(100 / PERCENT))).cast("int")  # sets that link lie in one band or in adjacent ones
     x = rows.withColumn("band", band)
     p, q = x.alias("p"), x.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("q")
     on = (F.col("p.key") == F.col("q.key")) & (F.col("p.band") == F.col("q.band")) & (F.col("p.root") != F.col("q.root"))
-    pairs = p.join(q, on & _may_link("p.", "q."))
+    pairs = p.join(q, on & _may_link("p.", "q.") & near)
     return pairs.select(F.least("p.cls", "q.cls").alias("a"), F.greatest("p.cls", "q.cls").alias("b")).distinct()
 
 
@@ -395,7 +443,8 @@ def jaccard_components(docs: DataFrame, short_list: int = SHORT_LIST) -> DataFra
     roots = stored(components(links), "roots")
     heavy, seen = found.where("b IS NULL"), pairs
     for way in (steps, steps, bridges):  # the first two leave few components for the last, which is complete
-        more = stored(way(open_rows(heavy, roots)).join(seen, ["a", "b"], "left_anti"), "more")
+        rows = open_rows(heavy, roots)
+        more = stored((way(rows) if way is steps else way(rows, docs, reps)).join(seen, ["a", "b"], "left_anti"), "more")
         if more.head(1):
             links, seen = links.union(verify(more, docs, reps)), seen.union(more)
             roots = stored(components(links), "roots")

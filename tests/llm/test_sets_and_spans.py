@@ -77,7 +77,7 @@ def test_long_runs_are_cut_and_marked(spark, monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(ngram_join, "RUN", 2)
     n = 40
-    place = ngram_join.packed(np.zeros(n), np.full(n, 10), np.zeros(n, int))
+    place = ngram_join.packed(np.zeros(n), np.zeros(n, int), np.full(n, 10))
     table = pa.table({"key": pa.array([5] * n, pa.int64()), "place": pa.array(place), "cls": pa.array(range(n), pa.int64())})
     out = pa.Table.from_batches(list(ngram_join._pair_batches(iter(table.to_batches(max_chunksize=12)), 16)))
     heavy = out.filter(pa.compute.is_null(out["b"]))["a"].to_pylist()
