@@ -106,7 +106,8 @@ def _tokenized(path: str, shared, mean_words: float, n_docs: int):
                 d, term, tf = doc_terms(hashes, doc, b - a)
                 words = np.bincount(doc, minlength=b - a)
                 weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[d] / max(mean_words, 1.0)))
-                order = np.lexsort((term, -weight, d))
+                # By document, then by falling weight; ties in order of the term.
+                order = np.argsort(d + (1 - weight / (weight.max(initial=0) + 1)), kind="stable")
                 rank = np.arange(len(d)) - np.searchsorted(d, d)
                 order = order[rank < PROFILE]
                 cut = np.searchsorted(d[order], np.arange(b - a + 1)).astype(np.int32)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -157,27 +158,32 @@ class PieceCounter:
         if len(self.known) + len(distinct) > REMEMBERED and self.known:
             self.forget()
             return self.look_up(joined, start, end, hashes)
-        found = np.empty(len(distinct), np.int64)
-        known, where = self.known, miss[at]
-        for i, (h, a, b) in enumerate(zip(distinct.tolist(), start[where].tolist(), end[where].tolist(), strict=True)):
-            k = known.get(h)
-            if k is None:
-                known[h] = k = len(known)
-                self._remember(k, h, self.pieces(joined[a:b]))
-            found[i] = k
+        where, known = miss[at], self.known
+        found = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            places = zip(start[where[missing]].tolist(), end[where[missing]].tolist(), strict=True)
+            new = [self.pieces(joined[a:b]) for a, b in places]
+            found[missing] = len(known) + np.arange(len(missing))
+            self._remember(distinct[missing], new)
         slot[miss] = found[which]
         free = self.table[place[where]] < 0
         self.table[place[where[free]]] = found[free]
         return slot
 
-    def _remember(self, k: int, h: int, ids: list[int]) -> None:
-        if k >= len(self.first):
+    def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+        """Add distinct pre-tokens and their ids to the memory, all at once."""
+        k, size = len(self.known), np.fromiter(map(len, ids), np.int32, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(size.sum()))
+        self.known.update(zip(hashes.tolist(), range(k, k + len(ids)), strict=True))
+        while k + len(ids) > len(self.first):
             self.key, self.first, self.size = (np.resize(x, 2 * len(x)) for x in (self.key, self.first, self.size))
-        while self.n_ids + len(ids) > len(self.ids):
+        while self.n_ids + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.key[k], self.first[k], self.size[k] = h, self.n_ids, len(ids)
-        self.ids[self.n_ids:self.n_ids + len(ids)] = ids
-        self.n_ids += len(ids)
+        self.key[k:k + len(ids)], self.size[k:k + len(ids)] = hashes, size
+        self.first[k:k + len(ids)] = self.n_ids + np.cumsum(size) - size
+        self.ids[self.n_ids:self.n_ids + len(flat)] = flat
+        self.n_ids += len(flat)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin (one more than texts), then of every
