@@ -70,7 +70,7 @@ def frequent(pieces: DataFrame, limit: int = HEAVY) -> tuple[list[str], list[int
     while k > 0 and total + sizes.get(k - 1, 0) <= limit:
         k -= 1
         total += sizes.get(k, 0)
-    rows = pieces.where(F.col("occurrences") >= (1 << k)).orderBy(F.desc("occurrences")).select("pretoken", "pieces").collect() if total else []
+    rows = pieces.where(F.col("occurrences") >= (1 << k)).select("pretoken", "pieces").collect() if total else []
     return [r["pretoken"] for r in rows], [r["pieces"] for r in rows]
 
 
