@@ -47,7 +47,7 @@ def mapped_accounts(seed: DataFrame) -> DataFrame:
 
 def _score_both(cad_m, rev_m, cad_c, rev_c):
     return ((cad_m + F.coalesce(rev_m, F.lit(0))) *
-            (F.coalesce(cad_c, F.lit(0)) + F.coalesce(rev_c, F.lit(0))) / 2)
+            (F.coalesce(cad_c.cast("double"), F.lit(0.0)) + F.coalesce(rev_c.cast("double"), F.lit(0.0))) / 2)
 
 
 def _finish(cad_rows: DataFrame, review_only: DataFrame, as_of: str) -> DataFrame:
@@ -63,7 +63,7 @@ def _cad_rows(cad: DataFrame, review_side: DataFrame) -> DataFrame:
                                         F.col("_rev_mentions"), F.col("avg_cad_confidence"),
                                         F.col("avg_review_confidence")))
     score = score.otherwise(F.col("cad_persona_mentions") *
-                            F.coalesce(F.col("avg_cad_confidence"), F.lit(0)) * 0.5)
+                            F.coalesce(F.col("avg_cad_confidence").cast("double"), F.lit(0.0)) * 0.5)
     return (cad.join(review_side, ["cad_account_id", "persona_attribute"], "left")
             .select("cad_account_id", "cad_account_name", "review_account_id",
                     "review_account_name", "persona_attribute",
@@ -90,7 +90,7 @@ def _review_only_rows(rows: DataFrame) -> DataFrame:
         F.col("confidence_score").cast("double").alias("avg_review_confidence"),
         F.col("review_date").cast("date").alias("latest_review_mention"),
         F.lit("review_only").alias("persona_coverage"),
-        (F.col("review_persona_mentions") * F.col("confidence_score") * 0.3)
+        (F.col("review_persona_mentions") * F.col("confidence_score").cast("double") * 0.3)
         .cast("double").alias("cross_system_alignment_score"))
 
 
