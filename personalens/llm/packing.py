@@ -1,9 +1,11 @@
 """Packing by lexical retrieval (operator 9).
 
-Documents are dealt to shards so that documents with a rare word in common
-tend to meet. Each shard holds a BM25 inverted index over its documents' most
-telling words; a seed document's unused neighbours, best first, fill its window
-up to the last token, and the neighbour that is cut becomes the next seed.
+Documents are dealt to shards so that documents with a long word in common
+tend to meet. A document first looks for its best neighbour in LOOKS shards and
+is packed in the one that held it. Each block has a BM25 inverted index over
+all words of its documents; a seed document's unused neighbours, best first,
+fill its window up to the last token, and the neighbour that is cut becomes
+the next seed.
 """
 
 from __future__ import annotations
@@ -21,13 +23,15 @@ from personalens.llm.common import merged, mix64, pick, read_table, split_parts
 from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, text_chunks, tokenizer_path
 
 WINDOW, END_ID = 2048, 1
-# Words are hashed to this many bits for document frequencies; documents to bins of their shard key.
-TERM_BITS, BIN_BITS = 18, 16
+# Words are told apart by this many bits of their hash, counted for document frequencies by fewer; documents by bins of their shard keys.
+TERM_BITS, DF_BITS, BIN_BITS = 24, 18, 16
 K1, B = 1.2, 0.75
-#: Words of a document in the index and in queries: those of highest weight.
-PROFILE = 32
-#: Code points of text in a shard, and tokens under one index.
-SHARD_CHARS, BLOCK_TOKENS = 4 << 20, 1 << 21
+#: Shards in which a document looks for neighbours: one for each of so many least hashes of its words.
+LOOKS = 4
+#: Code points of text in a shard, tokens under one index that packs, and words under one that only looks.
+SHARD_CHARS, BLOCK_TOKENS, LOOK_WORDS = 4 << 20, 1 << 21, 1 << 20
+#: Words in at least one of so many documents of a block have dense postings.
+DENSE = 8
 KEY_LENGTH = 6
 
 
@@ -39,33 +43,42 @@ def doc_terms(hashes: np.ndarray, doc: np.ndarray, n_docs: int):
 
 
 def shard_keys(hashes: np.ndarray, doc: np.ndarray, long: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Of each document the least mixed hash of its long words; of its id if it has none."""
-    key = np.full(len(ids), np.iinfo(np.uint64).max)
-    np.minimum.at(key, doc[long], mix64(hashes[long]))
-    none = key == np.iinfo(np.uint64).max
-    key[none] = mix64(ids[none].view(np.uint64))
+    """LOOKS rows of keys. Of each document the least mixed hash of its long words, by another mix in each row; of its id if it has none."""
+    key = np.full((LOOKS, len(ids)), np.iinfo(np.uint64).max)
+    for k in range(LOOKS):
+        salt = mix64(np.array([k], np.uint64))
+        np.minimum.at(key[k], doc[long], mix64(hashes[long] ^ salt))
+        none = key[k] == np.iinfo(np.uint64).max
+        key[k, none] = mix64(ids[none].view(np.uint64) ^ salt)
     return key
 
 
+def shards_of(key: np.ndarray, ids: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    place = (key >> np.uint64(64 - BIN_BITS)).astype(np.int64)
+    return first[place] + (mix64(ids.view(np.uint64)) % many[place].astype(np.uint64)).astype(np.int64)
+
+
 def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
     return (batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64),
             [t or "" for t in batch.column("text").to_pylist()])
 
 
 def _statistics(path: str):
-    """Parts of: documents by term, then code points by bin of the shard key, then documents and words."""
+    """Parts of: documents by term, then code points by bin of the shard keys, then documents and words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
-        df, bins, total = np.zeros(1 << TERM_BITS, np.uint64), np.zeros(1 << BIN_BITS, np.uint64), np.zeros(64, np.uint64)
+        df, bins, total = np.zeros(1 << DF_BITS, np.uint64), np.zeros(1 << BIN_BITS, np.uint64), np.zeros(64, np.uint64)
         for batch in batches:
             ids, texts = _texts(batch)
             for a, b in text_chunks(texts):
                 _, start, end, hashes, doc = c.split(texts[a:b])
-                _, term, _ = doc_terms(hashes, doc, b - a)
-                df += np.bincount(term, minlength=len(df)).astype(np.uint64)
+                d, term, _ = doc_terms(hashes, doc, b - a)
+                counted = np.unique(d << DF_BITS | term >> TERM_BITS - DF_BITS)  # words of one count are one word of a document
+                df += np.bincount(counted & (1 << DF_BITS) - 1, minlength=len(df)).astype(np.uint64)
                 key = shard_keys(hashes, doc, end - start >= KEY_LENGTH, ids[a:b])
                 size = np.fromiter((len(t) + 1 for t in texts[a:b]), np.int64, b - a)
-                bins += np.bincount((key >> np.uint64(64 - BIN_BITS)).astype(np.int64), size, len(bins)).astype(np.uint64)
+                for row in key:
+                    bins += np.bincount((row >> np.uint64(64 - BIN_BITS)).astype(np.int64), size, len(bins)).astype(np.uint64)
                 total[0] += np.uint64(b - a)
                 total[1] += np.uint64(len(hashes))
         yield from split_parts(np.concatenate([df, bins, total]).reshape(-1, 64).T.ravel(), ["part", "counts"])
@@ -74,9 +87,9 @@ def _statistics(path: str):
 
 def corpus_statistics(docs: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray, int, float]:
     """Document frequency of every term, code points by bin, number of documents, words a document; over all texts."""
-    size = (1 << TERM_BITS) + (1 << BIN_BITS) + 64
+    size = (1 << DF_BITS) + (1 << BIN_BITS) + 64
     x = merged(docs.mapInArrow(_statistics(path), "part int, counts binary"), np.add, "u8", size).reshape(64, -1).T.ravel()
-    df, bins, total = np.split(x, [1 << TERM_BITS, (1 << TERM_BITS) + (1 << BIN_BITS)])
+    df, bins, total = np.split(x, [1 << DF_BITS, (1 << DF_BITS) + (1 << BIN_BITS)])
     n = int(total[0])
     return df.astype(np.int64), bins.astype(np.int64), n, float(total[1]) / max(n, 1)
 
@@ -90,33 +103,117 @@ def plan_shards(bins: np.ndarray, chars: int = SHARD_CHARS) -> tuple[np.ndarray,
     return first, many
 
 
-def _tokenized(path: str, shared, mean_words: float, n_docs: int):
-    """Of each document its shard, key, packed ids and profile of (term, weight)."""
+def packed_terms(pack, d: np.ndarray, term: np.ndarray, tf: np.ndarray, n_docs: int) -> list[bytes]:
+    """Of each document all its terms (as differences) and their frequencies; first bytes, then second bytes and so on."""
+    cut = np.searchsorted(d, np.arange(n_docs + 1))
+    step = np.diff(term, prepend=0)
+    filled = cut[:-1][cut[:-1] < cut[1:]]
+    step[filled] = term[filled]
+    step, tf = step.astype("<u4"), tf.astype("<u4")
+    planes = lambda *v: np.concatenate(v).view(np.uint8).reshape(-1, 4).T.tobytes()
+    return [pack.compress(planes(step[x:y], tf[x:y])) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+
+
+def unpacked_terms(unpack, blob: bytes, words: int, idf: np.ndarray, mean_words: float) -> tuple[np.ndarray, np.ndarray]:
+    """A document's terms and their BM25 weights."""
+    planes = np.frombuffer(unpack.decompress(blob), np.uint8).reshape(4, -1)
+    step, tf = np.ascontiguousarray(planes.T).view("<u4").reshape(2, -1)
+    term = np.cumsum(step, dtype=np.int64)
+    return term, (idf[term >> TERM_BITS - DF_BITS] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words / max(mean_words, 1.0)))).astype(np.float32)
+
+
+def inverse_frequency(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.log1p((n_docs - df + 0.5) / (df + 0.5))
+
+
+LOOK_SCHEMA = "shard long, key long, cls long, words long, terms binary"
+
+
+def _looks(path: str, shared):
+    """Of each document LOOKS rows: shard, key, class of (id, text), words and terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, pack = counter(path), zstandard.ZstdCompressor(1)
+        _, first, many = shared.value
+        for batch in batches:
+            ids, texts = _texts(batch)
+            for a, b in text_chunks(texts):
+                _, start, end, hashes, doc = c.split(texts[a:b])
+                blobs = pa.array(packed_terms(pack, *doc_terms(hashes, doc, b - a), b - a), pa.binary())
+                words = pa.array(np.bincount(doc, minlength=b - a))
+                for key in shard_keys(hashes, doc, end - start >= KEY_LENGTH, ids[a:b]):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shards_of(key, ids[a:b], first, many)), pa.array(key.view(np.int64)),
+                         batch.column("cls").slice(a, b - a), words, blobs], names=["shard", "key", "cls", "words", "terms"])
+    return run
+
+
+def _found(shared, mean_words: float, n_docs: int, look_words: int):
+    """(cls, key, score, near): each document's best neighbour in the block, from rows sorted by shard and key."""
+    def block(rows: list[tuple]) -> pa.RecordBatch:
+        key, cls, terms, weights = zip(*rows, strict=True)
+        index, classes, out = Index(list(terms), list(weights)), np.array(cls, np.int64), []
+        for i in range(len(rows)):
+            score = index.scores(i)
+            score[classes == classes[i]] = 0
+            j = int(score.argmax())
+            if score[j] > 0:
+                out.append((cls[i], key[i], float(score[j]), cls[j]))
+        cols = list(zip(*out, strict=True)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if i == 2 else pa.int64()) for i, x in enumerate(cols)],
+                                          names=["cls", "key", "score", "near"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, idf = zstandard.ZstdDecompressor(), inverse_frequency(shared.value[0], n_docs)
+        rows: list[tuple] = []
+        held = 0
+        for batch in batches:
+            for key, cls, words, blob in zip(*(batch.column(c).to_pylist() for c in ("key", "cls", "words", "terms")), strict=True):
+                rows.append((key, cls, *unpacked_terms(unpack, blob, words, idf, mean_words)))
+                held += words
+                if held >= look_words:
+                    yield block(rows)
+                    rows, held = [], 0
+        if rows:
+            yield block(rows)
+    return run
+
+
+def best_neighbours(docs: DataFrame, path: str, shared, mean_words: float, n_docs: int, look_words: int = LOOK_WORDS) -> DataFrame:
+    """cls, home, score, near: the best neighbour over all shards a document looks in, and the key of the shard it was found in."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.mapInArrow(_looks(path, shared), LOOK_SCHEMA)
+    rows = rows.repartition(n, "shard").sortWithinPartitions("shard", "key", "cls")
+    found = rows.mapInArrow(_found(shared, mean_words, n_docs, look_words), "cls long, key long, score double, near long")
+    best = found.groupBy("cls").agg(F.max(F.struct("score", "key", "near")).alias("best"))
+    return best.select("cls", F.col("best.key").alias("home"), "best.score", "best.near")
+
+
+def _tokenized(path: str):
+    """Of each document its own key, packed ids, number of words and terms."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, pack = counter(path), zstandard.ZstdCompressor(1)
-        df, first, many = shared.value
-        idf = np.log1p((n_docs - df + 0.5) / (df + 0.5))
         for batch in batches:
             ids, texts = _texts(batch)
             for a, b in text_chunks(texts):
                 flat, begin, hashes, doc, long = c.encode_ended(texts[a:b], END_ID, KEY_LENGTH)
-                key = shard_keys(hashes, doc, long, ids[a:b])
-                place = (key >> np.uint64(64 - BIN_BITS)).astype(np.int64)
-                shard = first[place] + (mix64(ids[a:b].view(np.uint64)) % many[place].astype(np.uint64)).astype(np.int64)
-                d, term, tf = doc_terms(hashes, doc, b - a)
-                words = np.bincount(doc, minlength=b - a)
-                weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words[d] / max(mean_words, 1.0)))
-                # By document, then by falling weight; ties in order of the term.
-                order = np.argsort(d + (1 - weight / (weight.max(initial=0) + 1)), kind="stable")
-                rank = np.arange(len(d)) - np.searchsorted(d, d)
-                order = order[rank < PROFILE]
-                cut = np.searchsorted(d[order], np.arange(b - a + 1)).astype(np.int32)
+                own = shard_keys(hashes, doc, long, ids[a:b])[0]
                 blobs = [pack.compress(flat[begin[i]:begin[i + 1]].tobytes()) for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(shard), pa.array(key.view(np.int64)), batch.column("doc_id").slice(a, b - a), pa.array(np.diff(begin)),
-                    pa.array(blobs, pa.binary()), pa.ListArray.from_arrays(cut, pa.array(term[order].astype(np.int32))),
-                    pa.ListArray.from_arrays(cut, pa.array(weight[order].astype(np.float32)))],
-                    names=["shard", "key", "doc_id", "n", "ids", "terms", "weights"])
+                    batch.column("cls").slice(a, b - a), pa.array(own.view(np.int64)), batch.column("doc_id").slice(a, b - a),
+                    pa.array(np.diff(begin)), pa.array(blobs, pa.binary()), pa.array(np.bincount(doc, minlength=b - a)),
+                    pa.array(packed_terms(pack, *doc_terms(hashes, doc, b - a), b - a), pa.binary())],
+                    names=["cls", "own", "doc_id", "n", "ids", "words", "terms"])
+    return run
+
+
+def _sharded(shared):
+    """The rows with the shard of their key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, first, many = shared.value
+        for batch in batches:
+            key = batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield batch.append_column("shard", pa.array(shards_of(key, ids, first, many)))
     return run
 
 
@@ -129,14 +226,32 @@ class Index:
         term = np.concatenate(terms) if terms else np.zeros(0, np.int32)
         weight = np.concatenate(weights) if weights else np.zeros(0, np.float32)
         order = np.argsort(term, kind="stable")
-        self.term, self.doc, self.weight = term[order], doc[order], weight[order]
+        term, doc, weight = term[order], doc[order], weight[order]
+        word, start, df = np.unique(term, return_index=True, return_counts=True)
+        frequent = df * DENSE >= len(terms)
+        row = np.cumsum(frequent) - 1
+        at = np.searchsorted(word, term)
+        common = frequent[at] if len(word) else np.zeros(0, bool)
+        self.dense = np.zeros((int(frequent.sum()), len(terms)), np.float32)
+        self.dense[row[at[common]], doc[common]] = weight[common]
+        self.word, self.frequent, self.row, self.start, self.df = word, frequent, row, start, df
+        self.doc, self.weight = doc, weight
+
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 score of every document by all words of the seed."""
+        q = np.searchsorted(self.word, self.terms[seed])  # the seed is in the index, so its words are
+        dense = self.frequent[q]
+        score = self.dense[self.row[q[dense]]].sum(0, dtype=np.float32).astype(np.float64)
+        rare = q[~dense]
+        df = self.df[rare]
+        if df.sum():
+            at = np.repeat(self.start[rare] - np.cumsum(df) + df, df) + np.arange(df.sum())
+            score += np.bincount(self.doc[at], self.weight[at], len(self.terms))
+        return score
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents that share a word with the seed, best first; ties in order of the block."""
-        q = self.terms[seed]
-        low, high = np.searchsorted(self.term, q, "left"), np.searchsorted(self.term, q, "right")
-        at = np.concatenate([np.arange(x, y) for x, y in zip(low, high, strict=True)]) if len(q) else low
-        score = np.bincount(self.doc[at], self.weight[at], len(self.terms)) * unused
+        score = self.scores(seed) * unused
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]
 
@@ -187,18 +302,18 @@ class Packer:
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _packed(window: int, wide: bool):
+def _packed(window: int, wide: bool, shared, mean_words: float, n_docs: int, block_tokens: int):
     """Sequences of each task, from rows sorted by shard and key; ids as little-endian unsigned 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, unpack = Packer(TaskContext.get().partitionId() << 32, window), zstandard.ZstdDecompressor()
+        idf = inverse_frequency(shared.value[0], n_docs)
         rows: list[tuple] = []
         tokens = 0
         for batch in batches:
-            terms, weights = batch.column("terms"), batch.column("weights")
-            for k, (doc_id, n, blob) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids")), strict=True)):
-                rows.append((doc_id, n, blob, np.array(terms[k].values), np.array(weights[k].values)))
+            for doc_id, n, blob, words, terms in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "words", "terms")), strict=True):
+                rows.append((doc_id, n, blob, *unpacked_terms(unpack, terms, words, idf, mean_words)))
                 tokens += n
-                if tokens >= BLOCK_TOKENS:
+                if tokens >= block_tokens:
                     yield from _block(packer, unpack, rows, wide)
                     rows, tokens = [], 0
         yield from _block(packer, unpack, rows, wide)
@@ -233,18 +348,21 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
 
     Null counts as empty text, which has the end id alone. Repeated rows are packed each. Only a task's
     last sequence is shorter than the window. An empty table gives an empty result.
-    Texts are read twice (statistics, ids) and only packed ids are shuffled, once.
+    Texts are read three times (statistics, terms, ids); terms are shuffled for every look, packed ids to
+    their home's key and then to its shard.
     """
     spark = docs.sparkSession
     path = path or tokenizer_path(DEFAULT_TOKENIZER)
-    docs = pick(docs)
+    docs = pick(docs).withColumn("cls", F.xxhash64("doc_id", "text"))
     df, bins, n_docs, mean_words = corpus_statistics(docs, path)
     shared = spark.sparkContext.broadcast((df, *plan_shards(bins)))
-    rows = docs.mapInArrow(_tokenized(path, shared, mean_words, n_docs),
-                           "shard long, key long, doc_id long, n long, ids binary, terms array<int>, weights array<float>")
+    homes = best_neighbours(docs, path, shared, mean_words, n_docs).select("cls", "home")
+    rows = docs.mapInArrow(_tokenized(path), "cls long, own long, doc_id long, n long, ids binary, words long, terms binary")
+    rows = rows.join(homes, "cls", "left").select(F.coalesce("home", "own").alias("key"), "doc_id", "n", "ids", "words", "terms")
+    rows = rows.mapInArrow(_sharded(shared), "key long, doc_id long, n long, ids binary, words long, terms binary, shard long")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(n, "shard").sortWithinPartitions("shard", "key", "doc_id")
-    return rows.mapInArrow(_packed(window, counter(path).dtype == np.uint32), PIECE_SCHEMA)
+    return rows.mapInArrow(_packed(window, counter(path).dtype == np.uint32, shared, mean_words, n_docs, BLOCK_TOKENS), PIECE_SCHEMA)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
