@@ -32,15 +32,25 @@ KINDS = (*BASE_KINDS, "literal")
 NAME_SCORE = {"password": 3, "passwd": 3, "passphrase": 3, "pwd": 3, "secret": 3, "credential": 3, "credentials": 3,
               "token": 2, "apikey": 3, "auth": 2, "bearer": 2, "private": 2, "access": 1, "key": 1, "api": 1,
               "client": 1, "session": 1, "signing": 1, "encryption": 1, "salt": 1, "dsn": 1}
-#: A literal is reported from this score on; its length is at least MIN_LITERAL.
-MIN_SCORE, MIN_LITERAL = 3.0, 8
+#: A literal is reported from this score on; its length is at least MIN_LITERAL. With white space its name must score SURE_NAME.
+MIN_SCORE, MIN_LITERAL, SURE_NAME = 3.0, 8, 3
+#: Name and assignment; a quoted value goes to its own closing quote, over escaped characters, at any length,
+#: or, if an escape runs off the line, without regard to escapes.
+#: A backtick literal and a triple-quoted one may hold line ends, others only escaped ones or, for PEM blocks, their own.
 PAIR = re.compile(r"""
     (?<![\w.$-])(?:(?:export|const|let|var|final|static|set)[\x20\t]+)*
-    (?P<nq>["']?)(?P<name>[A-Za-z_][\w.-]{0,79})(?P=nq)
-    [\x20\t]*(?::=|=>|=|:)[\x20\t]*
-    (?:(?P<vq>["'`])(?P<quoted>[^"'`\n]{0,4096})(?P=vq)|(?P<bare>[^\s"'`,;(){}\[\]]+))
-    """, re.VERBOSE | re.ASCII)
+    (?P<nq>["']?)(?P<name>[A-Za-z_][\w.-]*+)(?P=nq)
+    [\x20\t]*+(?::=|=>|=|:)[\x20\t]*+
+    (?:(?P<tq>\"{3}|'{3})(?P<triple>(?:[^\\"']++|\\.|(?!(?P=tq))["'])*+)(?P=tq)
+      |"(?P<double>(?:-----BEGIN\x20[^"\\]*+(?:\\.[^"\\]*+)*+|[^"\\\n]*+(?:\\.[^"\\\n]*+)*+))"
+      |'(?P<single>(?:-----BEGIN\x20[^'\\]*+(?:\\.[^'\\]*+)*+|[^'\\\n]*+(?:\\.[^'\\\n]*+)*+))'
+      |"(?P<raw2>[^"\n]*+)"|'(?P<raw1>[^'\n]*+)'
+      |`(?P<back>[^`\\]*+(?:\\.[^`\\]*+)*+)`
+      |(?P<bare>[^\s"'`,;(){}\[\]]++))
+    """, re.VERBOSE | re.ASCII | re.DOTALL)
+QUOTED = ("triple", "double", "single", "raw2", "raw1", "back")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+SPACE = re.compile(r"\s")
 NAME = re.compile(r"[A-Za-z_][A-Za-z_0-9.]*\Z", re.ASCII)
 PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|<.*>|\$\{.*|%\(.*|(?:your|my|the|some|example|sample|dummy|change).*|null|none|true|false|undefined)\Z")
 
@@ -70,9 +80,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def name_literal_pairs(text: str) -> Iterator[tuple[str, str, int, int, bool]]:
     """(name, value, start, end, quoted) of every assignment, in text order."""
-    for m in PAIR.finditer(text):
-        group = "quoted" if m["vq"] else "bare"
-        yield m["name"], m[group], m.start(group), m.end(group), group == "quoted"
+    at = 0
+    while m := PAIR.search(text, at):
+        group = next((g for g in QUOTED if m[g] is not None), "bare")
+        value = m[group]
+        yield m["name"], value, m.start(group), m.end(group), group != "bare"
+        # What spans lines or holds escapes may be no literal after all: pairs inside it count as well.
+        at = m.start(group) if group != "bare" and ("\n" in value or "\\" in value) else m.end()
 
 
 def literal_spans(text: str) -> list[tuple[int, int, str]]:
@@ -100,7 +114,8 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
     for (start, end), score in best.items():
         value = text[start:end]
-        if score >= 2 and not PLACEHOLDER.match(value) and " " not in value and score + literal_score(value) >= MIN_SCORE + 1:
+        if score >= 2 and not PLACEHOLDER.match(value) and (score >= SURE_NAME or not SPACE.search(value)) \
+                and score + literal_score(value) >= MIN_SCORE + 1:
             out.append((start, end, "literal"))
     return sorted(out)
 
