@@ -52,7 +52,15 @@ QUOTED = ("triple", "double", "single", "raw2", "raw1", "back")
 PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 SPACE = re.compile(r"\s")
 NAME = re.compile(r"[A-Za-z_][A-Za-z_0-9.]*\Z", re.ASCII)
-PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|<.*>|\$\{.*|%\(.*|(?:your|my|the|some|example|sample|dummy|change).*|null|none|true|false|undefined)\Z")
+PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|<.*>|\$\{.*|%\(.*|null|none|true|false|undefined)\Z")
+#: Words of a placeholder, alone or followed by a separator or another known word; a literal that looks random is none.
+PLACEHOLDER_WORDS = re.compile(r"""(?xis)\A(?:your|my|the|some|example|sample|dummy|change)
+    (?:[\W_].*|(?:me|this|it|that|here|value|key|token|secret|password|passwd|passphrase|pwd|pass|api|access|private|user|name|string|text|data|\d+)(?:[\W_\d].*|[a-z]*))?\Z""")
+RANDOM_LOOK = 2.75
+
+
+def is_placeholder(value: str) -> bool:
+    return bool(PLACEHOLDER.match(value) or PLACEHOLDER_WORDS.match(value) and literal_score(value) < RANDOM_LOOK)
 
 
 def name_score(name: str) -> int:
@@ -114,7 +122,7 @@ def literal_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
     for (start, end), score in best.items():
         value = text[start:end]
-        if score >= 2 and not PLACEHOLDER.match(value) and (score >= SURE_NAME or not SPACE.search(value)) \
+        if score >= 2 and not is_placeholder(value) and (score >= SURE_NAME or not SPACE.search(value)) \
                 and score + literal_score(value) >= MIN_SCORE + 1:
             out.append((start, end, "literal"))
     return sorted(out)

@@ -30,3 +30,13 @@ def test_whole_literal_is_found(text, secret):
 def test_white_space_needs_a_sure_name():
     text = 'session_key = "all about the big red house 7"'
     assert secrets.redact(text) == text
+
+
+@pytest.mark.parametrize("value, real", [
+    ("My7Gh38dkQ2xLw9z", True), ("my-Gh38dkQ2xLw9z", True), ("theQ4vRz8LmT2wKp", True), ("Some9XcVbNm2QwEr", True),
+    ("my_password", False), ("your-secret-here", False), ("changeme", False), ("changeme123", False), ("example.com", False),
+    ("yourpassword", False), ("dummy_value", False), ("xxxxxxxxxxxx", False), ("${DB_PASSWORD}", False),
+])
+def test_placeholders_are_words_not_prefixes(value, real):
+    text = f'db_pwd = "{value}"'
+    assert [text[a:b] for a, b, _ in secrets.scan(text)[1]] == ([value] if real else [])
