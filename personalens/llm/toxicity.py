@@ -9,6 +9,7 @@ Trained from document labels alone, the sentence scores then locate the offendin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,8 +22,9 @@ from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks,
 
 #: At most so many labelled documents of each class train the model: those with the least hash of their id.
 MAX_LABELLED = 20_000
-#: Words kept as features: those whose log odds of a toxic document are most standard errors above zero.
-LEXICON, MIN_DOCUMENTS = 128, 5
+#: Words kept as features: all in MIN_DOCUMENTS documents or more whose odds of a toxic document are, SURE standard errors
+#: below their estimate, still above RATIO. LEXICON only guards the driver's memory; a sample has far fewer such words.
+LEXICON, MIN_DOCUMENTS, SURE, RATIO = 100_000, 5, 2.0, 2.0
 ROUNDS, RATE, DECAY = 300, 0.1, 2e-5
 SENTENCE_SCORE = 0.5
 #: Log odds of a sentence before its words count; words of less weight than LEAST_WEIGHT are left out after training.
@@ -146,7 +148,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose_lexicon(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of the LEXICON words that speak for the label most surely."""
+    """Sorted hashes of the words that surely speak for the label, by a lower bound of their log odds."""
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
     counts = rows.mapInArrow(_word_counts, "word long, n0 long, n1 long").groupBy("word").agg(
@@ -154,7 +156,8 @@ def choose_lexicon(rows: DataFrame) -> np.ndarray:
     a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
     odds = F.log(a / (n1 + 1 - a + 0.5)) - F.log(b / (n0 + 1 - b + 0.5))
     error = F.sqrt(1 / a + 1 / b)
-    top = counts.orderBy((odds / error).desc(), "word").limit(LEXICON).select("word").collect()
+    bound = counts.select("word", (odds - SURE * error).alias("bound")).where(F.col("bound") > math.log(RATIO))
+    top = bound.orderBy(F.col("bound").desc(), "word").limit(LEXICON).select("word").collect()
     return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
 
 
