@@ -114,8 +114,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
     """label, weight, text of a bounded sample of labelled documents outside the held-out fold.
 
     The ids of the sample are at most 2 * limit, so they are broadcast. weight makes up for the
-    share of a class that was taken. Of texts with equal last 64 characters one trains, so
-    that large groups of copies don't.
+    share of a class that was taken. Equal texts of a label train as one row with their
+    summed weight.
     """
     spark = docs.sparkSession
     marked = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
@@ -125,8 +125,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
              .withColumn("weight", F.lit(max(1.0, totals.get(c, 0) / limit))) for c in (0, 1)]
     sample = stored(parts[0].unionByName(parts[1]), "sample")
     rows = pick(docs).join(F.broadcast(sample), "doc_id").select("label", "weight", F.coalesce("text", F.lit("")).alias("text"))
-    return stored(rows.withColumn("tail", F.right("text", F.lit(64))).dropDuplicates(["tail", "label"]).drop("tail"), "training") \
-        if totals else spark.createDataFrame([], "label int, weight double, text string")
+    once = rows.groupBy("label", F.sha2("text", 256).alias("copy")).agg(F.sum("weight").alias("weight"), F.first("text").alias("text"))
+    return stored(once.drop("copy"), "training") if totals else spark.createDataFrame([], "label int, weight double, text string")
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

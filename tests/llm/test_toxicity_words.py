@@ -26,3 +26,13 @@ def test_no_sure_word_is_pushed_out(spark):
         rows.append((y, 1.0, " ".join(words + ([slurs[i % 200], slurs[(i + 7) % 200]] if y else []))))
     lexicon = toxicity.choose_lexicon(spark.createDataFrame(rows, "label int, weight double, text string").repartition(4))
     assert {word_hash(w) for w in slurs} <= set(lexicon.tolist()) and len(lexicon) < toxicity.LEXICON
+
+
+def test_only_whole_copies_train_as_one(spark):
+    footer = " This text is free software and you may pass it on under the terms of its licence."
+    texts = ["You idiot." + footer, "You clown." + footer, "You idiot." + footer, "Good day." + footer, "Good night." + footer]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 3)) for i in range(5)], "doc_id long, toxic int")
+    rows = toxicity.training_rows(docs, marks, "toxic", 1, 5).collect()
+    assert sorted((r.label, r.weight, r.text) for r in rows) == sorted(
+        [(1, 2.0, texts[0]), (1, 1.0, texts[1]), (0, 1.0, texts[3]), (0, 1.0, texts[4])])
