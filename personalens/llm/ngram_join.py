@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from personalens.llm.common import Words, binary_texts, in_chunks, merged, mix64, pick, read_table, split_parts, stored
 
@@ -423,6 +424,11 @@ def jaccard_components(docs: DataFrame, short_list: int = SHORT_LIST) -> DataFra
     rows and ties share a component; a null id is never the least. An empty
     table gives an empty result. short_list moves work between the two ways, not the result.
     """
+    return rooted_components(docs, short_list).select("doc_id", "n_shingles", "component_id")
+
+
+def rooted_components(docs: DataFrame, short_list: int = SHORT_LIST) -> DataFrame:
+    """jaccard_components with each row's class and its component's root class; both null for empty sets."""
     spark = docs.sparkSession
     docs = pick(docs)
     first = stored(docs.mapInArrow(_member_batches, "doc_id long, n long, cls long, part int, counts binary"), "members")
@@ -449,24 +455,49 @@ def jaccard_components(docs: DataFrame, short_list: int = SHORT_LIST) -> DataFra
             links, seen = links.union(verify(more, docs, reps)), seen.union(more)
             roots = stored(components(links), "roots")
     smallest = roots.join(reps, "cls").groupBy("root").agg(F.min("doc_id").alias("least"))
-    least = roots.join(smallest, "root").select("cls", "least")
-    ids = classes.join(least, "cls", "left").select("cls", F.coalesce("least", "doc_id").alias("least"))
-    return members.join(ids, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    least = roots.join(smallest, "root").select("cls", "least", "root")
+    ids = classes.join(least, "cls", "left").select("cls", F.coalesce("least", "doc_id").alias("least"), F.coalesce("root", "cls").alias("root"))
+    return members.join(ids, "cls", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"), "cls", "root")
 
 
 #: Ids to drop are broadcast up to this many (16 bytes each); beyond, they are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
+def _with_class(docs: DataFrame, name: str) -> DataFrame:
+    """docs and the class of each row's set, null for empty sets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = binary_texts(batch.column("text"))
+            parts = [Sets(texts[a:b]) for a, b in in_chunks(texts)]
+            cls = [c if n else None for s in parts for c, n in zip(s.cls.tolist(), s.n.tolist(), strict=True)]
+            yield batch.append_column(name, pa.array(cls, pa.int64()))
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of docs, with all their columns: of each component the row with the least doc_id; of rows with one id, one."""
-    found = stored(jaccard_components(docs), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    if found.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").head(1):
-        docs = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """Rows of docs, with all their columns: of each component the row with the least doc_id, then the least class; null ids last.
+
+    Rows of one id with different sets fare each by its own. Empty sets are linked with nothing:
+    of those with one id one stays, and all without an id.
+    """
+    found = stored(rooted_components(docs), "components")
+    if not found.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").head(1):
+        gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+        if gone.count() <= BROADCAST_IDS:
+            gone = F.broadcast(gone)
+        return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "cls")).alias("first")
+    kept = found.where("cls IS NOT NULL").groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.cls").alias("kept_cls"))
+    rows = _with_class(docs, "_class")
+    same = (rows["_class"] == kept["kept_cls"]) & rows["doc_id"].eqNullSafe(kept["kept_id"])
+    empty = rows.where("_class IS NULL")
+    out = rows.join(kept, same, "left_semi").dropDuplicates(["_class"])
+    out = out.unionByName(empty.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).unionByName(empty.where("doc_id IS NULL"))
+    return out.drop("_class")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
