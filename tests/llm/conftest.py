@@ -20,6 +20,18 @@ def edge_rows():
     return [(*r, 0.5, 7, 8, 9, 1, 2, 3, 4, "s", 1.0, 1) for r in rows]
 
 
+TURN_SCHEMA = "conv_id long, turn int, role string, text string, base long, key long, size int, path string, n int, ends string"
+
+
+def edge_turns():
+    """Nulls in every column, ties, repeated rows, a long conversation, negative and absent base ids."""
+    rows = [(0, 0, "user", "hello"), (0, 1, "bot", "hi"), (0, 1, "bot", "hi"), (0, None, None, None), (3, 0, "user", "x"), (3, 2, None, "é 漢"),
+            (7, 0, "user", "q"), (8, 0, "user", "q"), (9, 0, "user", "q"), (9, 1, "bot", "w" * 100_000), (-3, 0, "user", "minus"),
+            (-5, 0, "user", ""), (None, 0, "user", "lost"), (12, None, "user", "b"), (12, None, "user", "a"), (12, None, None, "a")]
+    rows += [(20, t, "user", f"turn {t % 4}") for t in range(40)] + [(c, t, "user", f"turn {t % 4}") for c in range(21, 25) for t in range(9)]
+    return [(*r, 1, 2, 3, "p", 4, "e") for r in rows]
+
+
 @pytest.fixture(scope="session", autouse=True)
 def package(spark):
     ship_package(spark)
@@ -32,6 +44,7 @@ def edge_dir(spark, tmp_path_factory):
     spark.createDataFrame(edge_rows(), EDGE_SCHEMA).coalesce(2).write.parquet(f"{top}/documents.parquet")
     labels = [(i, i % 2, int(i == 8)) for i in range(1, 17)] + [(None, 1, 1), (2, None, None), (99, 1, 0)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{top}/labels.parquet")
+    spark.createDataFrame(edge_turns(), TURN_SCHEMA).coalesce(2).write.parquet(f"{top}/conversations.parquet")
     return str(top)
 
 
@@ -40,4 +53,5 @@ def empty_dir(spark, tmp_path_factory):
     top = tmp_path_factory.mktemp("empty")
     spark.createDataFrame([], EDGE_SCHEMA).write.parquet(f"{top}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{top}/labels.parquet")
+    spark.createDataFrame([], TURN_SCHEMA).write.parquet(f"{top}/conversations.parquet")
     return str(top)

@@ -6,7 +6,7 @@ import corpus_pipeline
 from llm_help import documents
 from personalens.llm.registry import QUERIES
 
-PER_ROW = [n for n in QUERIES if not n.startswith(("op4_", "op9_", "op10_"))]
+PER_ROW = [n for n in QUERIES if not n.startswith(("op4_", "op9_", "op10_", "op11_", "op12_"))]
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -18,7 +18,13 @@ def test_edge_rows(spark, edge_dir, name):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in rows}
         assert got[1] == (0, 1) and got[3] == (0, 3) and got[4] == (1, 4)
         assert got[5][1] == got[6][1] == got[7][1] == 5 and got[12] == got[13] == (1, 12)
-    if name.startswith("op2"):
+    if name.startswith("op13_"):
+        got = {r.doc_id: (r.fingerprint, r.component_id) for r in rows}
+        assert got[1] == got[2] == got[3] == ("0" * 16, 1) and got[5][1] == got[6][1] == got[15][1] == 5 and got[12] == got[13]
+    if name.startswith("op12_"):
+        root, = [r for r in rows if r.depth == 0]
+        assert (root.conv_id, root.parent_conv_id, root.n_convs) == (-5, None, 13)
+    if name.startswith("op2_"):
         prints = {r.doc_id: r.fingerprint for r in rows}
         assert prints[5] == prints[6] != prints[7] and prints[1] == prints[2]
     if name.startswith("op1_"):

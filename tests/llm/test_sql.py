@@ -17,9 +17,10 @@ def norm(v):
 @pytest.mark.parametrize("where", ["small", "edge"])
 def test_matches_sql(spark, edge_dir, name, where):
     top = SMALL if where == "small" else edge_dir
-    path = f"{top}/documents.parquet"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path + '/*.parquet' if os.path.isdir(path) else path}'")
+    for table in ("documents", "conversations"):
+        path = f"{top}/{table}.parquet"
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path + '/*.parquet' if os.path.isdir(path) else path}'")
     df = QUERIES[name](spark, top)
     result = con.execute(SQL[name])
     names = [c[0] for c in result.description]
