@@ -7,16 +7,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from personalens.session import get_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
-def spark():
-    s = get_session("local[4]", shuffle_partitions=4)
-    yield s
-
-
-def rows(df, *cols):
-    """Sorted list of tuples of the given columns (all columns when none)."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)
+def spark(tmp_path_factory):
+    yield get_session("local[4]", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint"))})

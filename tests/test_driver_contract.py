@@ -5,7 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF_SMALL
+from core_help import SF_SMALL
 from personalens.plans.registry import all_queries
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]

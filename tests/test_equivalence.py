@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, rows
+from core_help import SF_SMALL, rows
 from personalens.operators import mapping, ranking, reports, scorecard
 from personalens.plans.warehouse import Warehouse
 

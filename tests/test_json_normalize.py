@@ -5,7 +5,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_help import rows
 from personalens.operators import normalize
 
 TS = dt.datetime(2025, 1, 1)

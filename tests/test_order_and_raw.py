@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_help import SF_SMALL
 from personalens.__main__ import _warehouse
 from personalens.operators import gaps, reports
 from personalens.plans.warehouse import Warehouse

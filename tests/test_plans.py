@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_help import SF_SMALL
 from personalens.operators import mapping, ranking
 from personalens.plans.warehouse import Warehouse
 

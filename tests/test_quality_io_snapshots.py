@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from core_help import rows
 from personalens.operators import quality, snapshots
 from personalens.sources import io
 
@@ -74,7 +74,7 @@ def test_scd2_merge(spark):
 
 
 def test_build_all_writes_every_model(spark):
-    from conftest import SF_SMALL
+    from core_help import SF_SMALL
     from personalens.plans.warehouse import Warehouse
     target = tempfile.mkdtemp(prefix="build-")
     wh = Warehouse.from_driver_tables(spark, SF_SMALL)
