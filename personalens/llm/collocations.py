@@ -32,6 +32,8 @@ SCALE = 1_000_000
 SHARD_WORDS = 1 << 21
 #: Bits of a bitmap of frequent phrases, sent to all tasks.
 BITMAP_BITS = 25
+#: Index entries that are extended at once.
+ENTRIES = 1 << 17
 #: Rows handed on at once.
 ROWS = 20_000
 CUT = b"\xff"  # no byte of UTF-8: stands between pieces
@@ -129,8 +131,8 @@ class Index:
         """Of each entry where the position one word on stands: the first place of its word and its rank among its equals."""
         if side not in self.step:
             x = self.after if side == "after" else self.before
-            out = np.empty(len(x), np.int64)
-            out[np.argsort(x, kind="stable")] = np.arange(len(x))
+            out = np.empty(len(x), np.int32)
+            out[np.argsort(x, kind="stable")] = np.arange(len(x), dtype=np.int32)
             self.step[side] = out
         return self.step[side]
 
@@ -197,31 +199,53 @@ def _count_batches(depth: int, maps):
     """(lang, phrase, f) of the phrases of `depth` words in each shard whose parts may have the support; maps: bitmaps by depth."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, words, following, preceding in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "following", "preceding")),
-                                                         strict=True):
-                index = Index(words, following, preceding)
-                yield from _of_shard(index, lang, depth, maps)
+            for i in range(batch.num_rows):  # one shard at a time
+                lang, words, following, preceding = (batch.column(c)[i].as_py() for c in ("lang", "words", "following", "preceding"))
+                yield from _of_shard(Index(words, following, preceding), lang, depth, maps)
     return run
 
 
+def _blocks(level: tuple) -> Iterator[tuple]:
+    """The phrases in parts that have about ENTRIES entries in the index together (one frequent phrase stands alone)."""
+    cut = np.flatnonzero(np.diff(np.cumsum(level[3]) // ENTRIES, prepend=-1, append=np.iinfo(np.int64).max))
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        yield tuple(x[a:b] for x in level)
+
+
 def _of_shard(index: Index, lang: str, depth: int, maps) -> Iterator[pa.RecordBatch]:
-    level = index.single()
-    if depth > 1:
-        common = np.concatenate(([False], _has(maps.value[1], places(lang, index.words[1:]))))  # by word id
-        level = tuple(x[common[1:]] for x in level)
-        *level, _ = index.extend("after", *level)
-        keep = common[level[0][:, 1]]
-        level = tuple(x[keep] for x in level)
-    if depth > 2:
-        pair = level[0][:, 0].astype(np.int64) * len(index.words) + level[0][:, 1]
-        ok = _has(maps.value[2], places(lang, _texts(index, level[0])))
-        level = tuple(x[ok] for x in level)
-        pair = np.sort(pair[ok])
-        *level, _ = index.extend("after", *level)
-        tail = level[0][:, 1].astype(np.int64) * len(index.words) + level[0][:, 2]
-        at = np.minimum(np.searchsorted(pair, tail), max(len(pair) - 1, 0))
-        keep = pair[at] == tail if len(pair) else np.zeros(len(tail), bool)
-        level = tuple(x[keep] for x in level)
+    if depth == 1:
+        yield from _emit(index, lang, index.single())
+        return
+    common = np.concatenate(([False], _has(maps.value[1], places(lang, index.words[1:]))))  # by word id
+    level = tuple(x[common[1:]] for x in index.single())
+    kept = []
+    for block in _blocks(level):
+        *longer, _ = index.extend("after", *block)
+        longer = _where(longer, common[longer[0][:, 1]])
+        if depth == 2:
+            yield from _emit(index, lang, longer)
+        else:
+            kept.append(_where(longer, _has(maps.value[2], places(lang, _texts(index, longer[0])))))
+    if depth == 2 or not kept:
+        return
+    level = tuple(np.concatenate(x) for x in zip(*kept, strict=True))
+    pair = np.sort(_code(index, level[0]))
+    for block in _blocks(level):
+        *longer, _ = index.extend("after", *block)
+        tail = _code(index, longer[0][:, 1:])
+        at = np.minimum(np.searchsorted(pair, tail), len(pair) - 1)
+        yield from _emit(index, lang, _where(longer, pair[at] == tail))
+
+
+def _where(level, keep: np.ndarray) -> tuple:
+    return tuple(x[keep] for x in level)
+
+
+def _code(index: Index, pairs: np.ndarray) -> np.ndarray:
+    return pairs[:, 0].astype(np.int64) * len(index.words) + pairs[:, 1]
+
+
+def _emit(index: Index, lang: str, level: tuple) -> Iterator[pa.RecordBatch]:
     phrases, count = level[0], level[3]
     for a in range(0, len(count), ROWS):
         part = phrases[a:a + ROWS]
