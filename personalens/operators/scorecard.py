@@ -36,11 +36,11 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame) -> DataFram
     * insights are summed per ads_meta (sums, non-NULL counts, max / min),
       persona rows counted per (group, ads_meta, core persona), and each
       joined pair contributes ``multiplicity x ad totals``;
-    * medians are selected in two passes (:func:`group_medians`).
+    * medians are selected in two passes over per-ad histograms (:func:`group_medians`).
 
     Only hash aggregates on pre-reduced rows remain; a hot account or persona
     is split across map-side partial aggregates. Groups with a NULL value or
-    account keep their medians (null-safe join).
+    account keep their medians (their number counts NULL as a value).
     """
     ins = insights.where(F.col("roas").isNotNull())
     per_ad = ins.groupBy("ads_meta_id").agg(
@@ -71,8 +71,7 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame) -> DataFram
 
     multiplicity = persona_ads.groupBy(*_GROUP, "ads_meta_id").agg(F.sum("_m").alias("_m"))
     medians = group_medians(multiplicity, ins)
-    on = [metrics[c].eqNullSafe(medians[f"_g_{c}"]) for c in _GROUP]
-    out = metrics.join(medians, functools.reduce(Column.__and__, on), "left")
+    out = metrics.select("*", *group_number()).join(medians, ["_group_a", "_group_b"], "left")
     return out.select(
         *_GROUP, "ad_count", "core_persona_count", "avg_roas", "median_roas", "max_roas",
         "min_roas", "avg_ctr", "median_ctr", "max_ctr", "avg_cpc", "median_cpc", "total_spend",
@@ -80,53 +79,61 @@ def persona_performance_metrics(apa: DataFrame, insights: DataFrame) -> DataFram
         "avg_frequency", "avg_confidence_score", "latest_data_date")
 
 
-# Bins of a metric's values in the first pass of the median selection.
-MEDIAN_BINS = 64
+#: Bins of a doubling of a metric's value in the first pass of the median selection.
+BINS_PER_DOUBLING = 8
 
 
 def group_medians(multiplicity: DataFrame, ins: DataFrame) -> DataFrame:
-    """Exact medians per group, ``_g_*`` and ``median_*``, without the persona x insight product.
-
-    Pass 1 counts values per (ads_meta, metric, bin), at most MEDIAN_BINS bins
-    cut at approximate quantiles, and weighs them by persona multiplicity:
-    cumulative weights give the bins that hold each group's two middle values.
-    Pass 2 joins only the values in those bins and selects by cumulative
-    weight. Group state is bounded by the bins in pass 1 and spills as a sort in pass 2.
+    """Exact medians per group, ``_group_*`` (see :func:`group_number`) and ``median_*``, without the persona x insight product.
+
+    Insights are reduced to a histogram per ad: (ads_meta, metric, value) with
+    counts. Pass 1 weighs the histogram's bins by persona multiplicity; a fold over a
+    group's bins finds those that hold its two middle values. Pass 2 joins only
+    the values in those bins and selects by cumulative weight. Both
+    passes read one shuffle of the histogram. Bins are fixed by the value
+    itself, so nothing runs while the plan is built; a group has as many bins as
+    its values have magnitudes, and pass 2 spills as a sort.
     """
-    cuts = ins.agg(*[F.percentile_approx(F.col(x).cast("double"), [i / MEDIAN_BINS for i in range(1, MEDIAN_BINS)], 1000)
-                     .alias(x) for x in _MEDIAN_METRICS]).first()
-    stacked = ins.select("ads_meta_id", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("x"), _bin(F.col(m).cast("double"), sorted(set(cuts[m] or []))).alias("bin"))
-        for m in _MEDIAN_METRICS])).alias("_v")).select("ads_meta_id", "_v.*").where(F.col("x").isNotNull())
-    values = stacked.groupBy("ads_meta_id", "metric", "bin", "x").agg(F.count(F.lit(1)).alias("_cnt"))
-    ads = multiplicity
+    ads = multiplicity.select(*group_number(), "ads_meta_id", "_m")
+    stacked = ins.select("ads_meta_id", F.posexplode(F.array(*[F.col(m).cast("double") for m in _MEDIAN_METRICS])).alias("metric", "x"))
+    values = stacked.where(F.col("x").isNotNull()).groupBy("ads_meta_id", "metric", "x").agg(F.count(F.lit(1)).alias("_cnt"))
+    values = values.withColumn("bin", _bin(F.col("x")))
     bins = values.groupBy("ads_meta_id", "metric", "bin").agg(F.sum("_cnt").alias("_cnt"))
-    weight = F.sum(F.col("_m") * F.col("_cnt"))
-    per_bin = ads.join(bins, "ads_meta_id").groupBy(*_GROUP, "metric", "bin").agg(weight.alias("_w"))
-    group = Window.partitionBy(*_GROUP, "metric")
-    before = group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    per_bin = per_bin.select("*", F.sum("_w").over(group).alias("_n"), F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"))
+    group = ["_group_a", "_group_b", "metric"]
+    weight = F.sum(F.col("_m") * F.col("_cnt")).alias("_w")
+    per_bin = ads.join(bins, "ads_meta_id").groupBy(*group, "bin").agg(weight)
+    per_group = per_bin.groupBy(*group).agg(F.sum("_w").alias("_n"), F.sort_array(F.collect_list(F.struct("bin", "_w"))).alias("_bins"))
     low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)  # ranks of the two middle values, from 0
-    holds = [(r >= F.col("_before")) & (r < F.col("_before") + F.col("_w")) for r in (low, high)]
-    wanted = per_bin.where(holds[0] | holds[1]).select(*[F.col(c).alias(f"_g_{c}") for c in _GROUP], "metric", "bin", "_n", "_before")
-    same = functools.reduce(Column.__and__, [ads[c].eqNullSafe(wanted[f"_g_{c}"]) for c in _GROUP])
-    rows = ads.join(wanted, same).select("ads_meta_id", "_m", *[f"_g_{c}" for c in _GROUP], "metric", "bin", "_n", "_before")
-    weighed = rows.join(values, ["ads_meta_id", "metric", "bin"]).groupBy(
-        *[f"_g_{c}" for c in _GROUP], "metric", "bin", "_n", "_before", "x").agg(weight.alias("_w"))
-    inside = Window.partitionBy(*[f"_g_{c}" for c in _GROUP], "metric", "bin").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    weighed = weighed.withColumn("_from", F.col("_before") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    pick = [F.max(F.when((r >= F.col("_from")) & (r < F.col("_from") + F.col("_w")), F.col("x"))) for r in (low, high)]
-    medians = weighed.groupBy(*[f"_g_{c}" for c in _GROUP], "metric").agg(((pick[0] + pick[1]) / 2).alias("_med"))
-    return medians.groupBy(*[f"_g_{c}" for c in _GROUP]).agg(*[
-        F.max(F.when(F.col("metric") == x, F.col("_med"))).alias(f"median_{x}") for x in _MEDIAN_METRICS])
-
-
-def _bin(x: Column, cuts: list[float], first: int = 0) -> Column:
-    """Number of cuts at or below x, as a tree of comparisons."""
-    if not cuts:
-        return F.lit(first)
-    mid = len(cuts) // 2
-    return F.when(x < cuts[mid], _bin(x, cuts[:mid], first)).otherwise(_bin(x, cuts[mid + 1:], first + mid + 1))
+    start = F.struct(F.lit(0).cast("long").alias("seen"), F.array().cast("array<struct<bin:int,before:bigint>>").alias("held"))
+
+    def step(state: Column, entry: Column) -> Column:
+        after = state["seen"] + entry["_w"]
+        holds = functools.reduce(Column.__or__, [(r >= state["seen"]) & (r < after) for r in (low, high)])
+        held = F.array(F.struct(entry["bin"].alias("bin"), state["seen"].alias("before")))
+        return F.struct(after.alias("seen"), F.when(holds, F.concat(state["held"], held)).otherwise(state["held"]).alias("held"))
+
+    middle = F.aggregate("_bins", start, step, lambda state: state["held"])
+    wanted = per_group.select(*group, "_n", F.inline(middle))
+    rows = ads.join(wanted, ["_group_a", "_group_b"])
+    weighed = rows.join(values, ["ads_meta_id", "metric", "bin"]).groupBy(*group, "bin", "_n", "before", "x").agg(weight)
+    inside = Window.partitionBy(*group, "bin").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    weighed = weighed.withColumn("_from", F.col("before") + F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    here = [(r >= F.col("_from")) & (r < F.col("_from") + F.col("_w")) for r in (low, high)]
+    medians = weighed.groupBy(*group).agg(functools.reduce(Column.__add__, [F.max(F.when(h, F.col("x"))) for h in here]).alias("_twice"))
+    return medians.groupBy("_group_a", "_group_b").agg(*[
+        F.max(F.when(F.col("metric") == i, F.col("_twice") / 2)).alias(f"median_{x}") for i, x in enumerate(_MEDIAN_METRICS)])
+
+
+def group_number() -> list[Column]:
+    """A group's 128-bit number, from two hashes of its keys; NULL keys count as values of their own."""
+    keys = [x for c in _GROUP for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*keys).alias("_group_a"), F.xxhash64(F.lit(1), *keys).alias("_group_b")]
+
+
+def _bin(x: Column) -> Column:
+    """A whole number that grows with x: its sign and its magnitude in steps of 1 / BINS_PER_DOUBLING doublings."""
+    size = F.floor(F.log2(F.abs(x)) * BINS_PER_DOUBLING) + 1100 * BINS_PER_DOUBLING  # above 0 for the smallest double
+    return F.when(x > 0, size).when(x < 0, -size).otherwise(F.lit(0)).cast("int")
 
 
 def persona_performance_metrics_direct(apa: DataFrame, insights: DataFrame) -> DataFrame:
