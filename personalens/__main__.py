@@ -1,6 +1,6 @@
 """Command line: the reference's run / test / seed workflow as Spark jobs.
 
-    python -m personalens build  --raw-dir DIR | --tpch-dir DIR  --target DIR
+    python -m personalens build  --raw-dir DIR | --tpch-dir DIR  --target DIR [--version NAME]
     python -m personalens test   --raw-dir DIR | --tpch-dir DIR  [--target DIR]
     python -m personalens seed   --csv FILE --target DIR
     python -m personalens report NAME --raw-dir DIR | --tpch-dir DIR [--limit N]
@@ -68,6 +68,7 @@ def main(argv=None):
         g.add_argument("--tpch-dir")
         if name == "build":
             s.add_argument("--target", required=True)
+            s.add_argument("--version", help="name of the version to build or to take up")
         if name == "test":
             s.add_argument("--target")
         if name == "report":
@@ -83,8 +84,12 @@ def main(argv=None):
         io.write_table(io.read_seed_csv(spark, args.csv), args.target)
     elif args.cmd == "build":
         wh = _warehouse(spark, args)
-        for name, path in wh.build_all(args.target).items():
-            print(f"{name}\t{path}")
+        report = wh.build_all(args.target, version=args.version)
+        for name, path in report.paths.items():
+            print(f"{name}\t{path}" + ("\tfrom an earlier attempt" if name in report.reused else ""))
+        for model, column, n, *_, status in report.not_null() + report.accepted_values():
+            if status != "pass":
+                print(f"{model}.{column}\t{status}\t{n}")
     elif args.cmd == "test":
         results = _tests(_warehouse(spark, args, ("review_persona_attributes",
                                                   "ad_persona_attributes")))

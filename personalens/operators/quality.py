@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The schema tests of the model contracts, as (model, column).
@@ -94,6 +94,34 @@ def not_null_counts(df: DataFrame, columns: list[str], model: str) -> DataFrame:
     return out.withColumn("status", status)
 
 
+def not_null_status(null_rows: int | None) -> str:
+    return "missing_column" if null_rows is None else "fail" if null_rows else "pass"
+
+
+def write_observed(df: DataFrame, model: str, path: str) -> dict:
+    """Write a model and return its row count and the figures of its schema tests (DQ-2, DQ-3), taken in the same pass.
+
+    {"rows": n, "null_rows": {column: n, or None if the column is missing},
+    "accepted": {column: [checked, failing]}}. Observed figures of a task that ran twice
+    (a lost executor) may count rows twice: where the observed number of
+    rows is not that of the files, the figures are taken from the files.
+    """
+    tested = [c for m, c in NOT_NULL_TESTS if m == model]
+    accepted = [(c, v) for m, c, v in ACCEPTED_VALUES_TESTS if m == model and c in df.columns]
+    present = [c for c in tested if c in df.columns]
+    metrics = [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in present]]
+    for c, values in accepted:
+        metrics += [F.count(F.col(c)).alias(f"checked {c}"),
+                    F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(values)).alias(f"failing {c}")]
+    seen = Observation(f"tests of {model}")
+    df.observe(seen, *metrics).write.mode("overwrite").parquet(path)
+    figures, written = seen.get, df.sparkSession.read.parquet(path)
+    if figures["rows"] != written.count():
+        figures = written.agg(*metrics).first().asDict()
+    return {"rows": figures["rows"], "null_rows": {c: figures.get(f"null {c}") for c in tested},
+            "accepted": {c: [figures[f"checked {c}"], figures[f"failing {c}"]] for c, _ in accepted}}
+
+
 def accepted_values_violations(df: DataFrame, column: str, values: list[str],
                                model: str) -> DataFrame:
     """DQ-3: values outside the accepted list, with counts (NULL passes)."""
@@ -111,6 +139,51 @@ def accepted_values_counts(df: DataFrame, column: str, values: list[str], model:
         F.when(F.col("failing_rows") == 0, "pass").otherwise("fail").alias("status"))
 
 
+# The documented columns of each model.
+DOCUMENTED_COLUMNS = {
+    "review_persona_attributes": "review_id ad_account_id persona_attribute confidence_score source_system",
+    "review_value_propositions": "review_id value_proposition importance_score sentiment",
+    "review_problems": "review_id problem severity_score problem_category",
+    "review_barriers": "review_id barrier impact_score barrier_type",
+    "ad_persona_attributes": "ad_analysis_id ads_meta_id ad_account_id persona_attribute core_persona source_system",
+    "ad_value_propositions": "ad_analysis_id value_proposition strength_score clarity_score",
+    "ad_problems": "ad_analysis_id problem relevance_score urgency_score",
+    "ad_barriers": "ad_analysis_id barrier solution_strength addressability_score",
+    "unified_persona_attributes": "ad_account_id persona_attribute source_system coverage_type total_review_mentions total_ad_mentions",
+    "cross_account_mapping": "cad_account_id review_account_id persona_attribute persona_coverage cad_persona_mentions "
+                             "review_persona_mentions cross_system_alignment_score cad_account_name review_account_name",
+    "scorecard": "ad_account_id persona_attribute performance_tier avg_roas avg_ctr total_spend composite_performance_score "
+                 "gap_analysis_category opportunity_score review_mention_count persona_coverage cross_system_alignment_score "
+                 "account_mapping_status review_account_name review_account_id",
+    "gap_analysis": "cad_account_id persona_attribute gap_priority gap_type recommendation priority_score opportunity_level "
+                    "review_count ad_count ad_account_name persona_coverage cross_system_alignment_score account_mapping_status "
+                    "review_account_name review_account_id cross_system_account_summary priority_rank",
+    "review_ranking": "persona_name account_name ad_account_id review_count percentage total_unique_reviews volume_category review_rank",
+    "ad_performance": "persona_attribute ad_count total_ad_spend persona_mentions avg_confidence aov roas thumbstop_rate "
+                      "total_purchase_value total_purchases total_video_watches total_impressions",
+    "opportunity_index": "persona_attribute review_count review_percentage ad_count total_ad_spend raw_ratio opportunity_index "
+                         "opportunity_color",
+}
+DOCUMENTED_COLUMNS = {m: c.split() for m, c in DOCUMENTED_COLUMNS.items()}
+
+
+def contract_counts(df: DataFrame, documented: list[str] | None, model: str) -> DataFrame:
+    """DQ-4 with figures: one row per documented or produced column, its status and how many rows fill it, from one pass.
+
+    present, missing (documented, not produced), undocumented (produced, not
+    documented), or no_contract for every column of a model that has none.
+    """
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column_name", "filled_rows")
+    known = F.col("column_name").isin(documented or [])
+    status = F.lit("no_contract") if documented is None else F.when(known, "present").otherwise("undocumented")
+    out = counts.select(F.lit(model).alias("model"), "column_name", status.alias("status"), F.col("filled_rows").cast("long").alias("filled_rows"))
+    missing = [(model, c, "missing", None) for c in documented or [] if c not in df.columns]
+    if missing:
+        out = out.unionByName(df.sparkSession.createDataFrame(
+            missing, "model string, column_name string, status string, filled_rows long"))
+    return out
+
+
 def column_contract(spark: SparkSession, df: DataFrame, documented: list[str],
                     model: str) -> DataFrame:
     """DQ-4: documented columns the model lacks and produced columns the
@@ -127,13 +200,31 @@ RESULT_SCHEMA = ("metadata struct<generated_at:string, invocation_id:string>, "
                  "message:string, failures:long>>")
 
 
-def read_run_results(spark: SparkSession, path: str) -> DataFrame:
-    """Run-result JSON files (one document per run) as one row per result."""
-    docs = spark.read.schema(RESULT_SCHEMA).option("multiLine", True).json(path)
-    return (docs.select(F.coalesce(F.col("metadata.invocation_id"),
-                                   F.col("metadata.generated_at")).alias("run_id"),
-                        F.explode("results").alias("r"))
-            .select("run_id", "r.*"))
+def read_run_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Run-result documents as (run_id, results, bad_text): one a file, or one a line with ``lines``.
+
+    A document that is no JSON or doesn't have the declared types keeps its
+    text in bad_text and has no results; it never stops the others.
+    """
+    docs = spark.read.schema(f"{RESULT_SCHEMA}, _bad string").option("multiLine", not lines).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", "_bad").json(path)
+    good = F.col("_bad").isNull()
+    run = F.coalesce(F.col("metadata.invocation_id"), F.col("metadata.generated_at"))
+    return docs.select(F.when(good, run).alias("run_id"), F.when(good, F.col("results")).alias("results"), F.col("_bad").alias("bad_text"))
+
+
+def read_run_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per result of the readable documents."""
+    docs = read_run_documents(spark, path, lines).where(F.col("bad_text").isNull())
+    return docs.select("run_id", F.explode("results").alias("r")).select("run_id", "r.*")
+
+
+def document_counts(documents: DataFrame) -> DataFrame:
+    """Per run the readable documents and their results; unreadable documents have no run and are counted under NULL."""
+    return documents.groupBy("run_id").agg(
+        F.count_if(F.col("bad_text").isNull()).alias("good_documents"), F.count_if(F.col("bad_text").isNotNull()).alias("bad_documents"),
+        F.sum(F.coalesce(F.size("results"), F.lit(0))).alias("total_models"),
+        F.sum(F.coalesce(F.size(F.filter("results", lambda r: r["status"] == "error")), F.lit(0))).alias("failed"))
 
 
 def run_summary(results: DataFrame) -> DataFrame:

@@ -138,6 +138,48 @@ def dq_accepted_values(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Models without documented columns (quirk Q-18).
+NO_CONTRACT = ("ad_personas_from_review_analysis", "gap_analysis_simple", "cross_system_analysis", "account_opportunities")
+
+
+def dq_column_contract(spark, sf_dir):
+    wh = _wh(spark, sf_dir, "dq_not_null")
+    parts = [quality.contract_counts(_model(wh, m), quality.DOCUMENTED_COLUMNS.get(m), m)
+             for m in (*quality.DOCUMENTED_COLUMNS, *NO_CONTRACT)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _contract_sql() -> str:
+    parts = []
+    for m in (*quality.DOCUMENTED_COLUMNS, *NO_CONTRACT):
+        documented, produced = quality.DOCUMENTED_COLUMNS.get(m), _model_columns(m)
+        for c in produced:
+            status = "no_contract" if documented is None else "present" if c in documented else "undocumented"
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column_name, '{status}' AS status, count({c}) AS filled_rows FROM {_model_cte(m)}")
+        parts += [f"SELECT '{m}', '{c}', 'missing', CAST(NULL AS BIGINT)" for c in documented or [] if c not in produced]
+    return " UNION ALL ".join(parts)
+
+
+#: Models that are built and tested in one pass by dq_observed.
+OBSERVED = ("review_persona_attributes", "review_value_propositions", "review_problems", "review_barriers", "ad_persona_attributes",
+            "ad_value_propositions", "ad_problems", "ad_barriers", "unified_persona_attributes", "review_ranking")
+
+
+def dq_observed(spark, sf_dir):
+    """DQ-2 and DQ-3 as they are observed while a rebuild writes its models."""
+    target = f"{checkpoint_dir(spark).rstrip('/')}/rebuild/{uuid.uuid4().hex}"
+    report = Warehouse.from_driver_tables(spark, sf_dir).build_all(target, OBSERVED)
+    rows = [(m, c, "not_null", x, s) for m, c, x, s in report.not_null()]
+    rows += [(m, c, "accepted_values", bad, s) for m, c, _, bad, s in report.accepted_values()]
+    return spark.createDataFrame(rows, "model string, column_name string, test string, failing_rows long, status string")
+
+
+def _dq_observed_sql() -> str:
+    models = ", ".join(f"'{m}'" for m in OBSERVED)
+    return (f"SELECT model, column_name, 'not_null' AS test, null_rows AS failing_rows, status FROM ({_dq_not_null_sql()}) n WHERE model IN ({models}) "
+            f"UNION ALL SELECT model, column_name, 'accepted_values', failing_rows, status FROM ({_dq_accepted_sql()}) a WHERE model IN ({models})")
+
+
 def _dq_unique_sql() -> str:
     parts = [f"SELECT '{m}' AS model, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, "
              f"count(*) AS n_rows FROM {_model_cte(m)} WHERE {c} IS NOT NULL GROUP BY {c} "
@@ -200,6 +242,30 @@ def slow_models(spark, sf_dir):
     return quality.slowest_models(_run_results(spark, sf_dir), 5)
 
 
+#: Results a run-result document holds at most; every seventh document is cut off in the middle.
+DOCUMENT_RESULTS, CUT_EVERY = 200, 7
+
+
+def run_result_files(spark, sf_dir):
+    """DQ-5 over files: run-result documents written as JSON, some of them cut off, then read by their reader."""
+    events = DriverTables(spark, sf_dir).table("events")
+    part = F.floor(F.col("event_id") / DOCUMENT_RESULTS).alias("part")
+    results = events.selectExpr("event_id", *RUN_RESULTS).withColumn("part", part)
+    docs = results.groupBy("run_id", "part").agg(F.collect_list(F.struct("unique_id", "status", "execution_time", "message", "failures")).alias("results"))
+    text = F.to_json(F.struct(F.struct(F.lit("t").alias("generated_at"), F.col("run_id").alias("invocation_id")).alias("metadata"), "results"))
+    cut = F.when(F.col("part") % CUT_EVERY == 3, F.expr("substring(value, 1, length(value) - 20)")).otherwise(F.col("value"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/run_results/{uuid.uuid4().hex}"
+    docs.select("part", text.alias("value")).select(cut.alias("value")).write.text(path)
+    return quality.document_counts(quality.read_run_documents(spark, path, lines=True))
+
+
+_RUN_FILES_SQL = f"""
+SELECT CASE WHEN part % {CUT_EVERY} = 3 THEN NULL ELSE run_id END AS run_id, count(*) FILTER (WHERE part % {CUT_EVERY} <> 3) AS good_documents,
+       count(*) FILTER (WHERE part % {CUT_EVERY} = 3) AS bad_documents,
+       sum(CASE WHEN part % {CUT_EVERY} = 3 THEN 0 ELSE n END) AS total_models, sum(CASE WHEN part % {CUT_EVERY} = 3 THEN 0 ELSE bad END) AS failed
+FROM (SELECT run_id, event_id // {DOCUMENT_RESULTS} AS part, count(*) AS n, count(*) FILTER (WHERE status = 'error') AS bad
+      FROM (SELECT event_id, {', '.join(RUN_RESULTS)} FROM events) r GROUP BY ALL) d GROUP BY 1"""
+
 _RUN_SUMMARY_SQL = f"""
 SELECT *, CAST(successful AS DOUBLE) / total_models AS success_rate,
        CASE WHEN failed = 0 THEN 'all models succeeded'
@@ -228,14 +294,12 @@ _SCD_PREVIOUS = ("c_custkey as customer_key", "c_mktsegment as segment",
 _SCD_OPEN_ORDERS = "o_orderstatus = 'O'"
 
 
-def scd_versions(spark, sf_dir):
-    """SCD-1: customers as of the start, merged with a later snapshot in
-    which customers without open orders are gone, negative balances are
-    re-segmented and suppliers appear as new keys."""
+def _scd_states(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Customers as of the start, and a later state in which customers
+    without open orders are gone, negative balances are re-segmented and
+    suppliers appear as new keys."""
     t = DriverTables(spark, sf_dir)
     customer = t.table("customer")
-    previous = snapshots.first_versions(customer.selectExpr(*_SCD_PREVIOUS), "customer_key",
-                                        ["segment", "nation_key"], SCD_START)
     open_custs = t.table("orders").where(_SCD_OPEN_ORDERS).select(
         F.col("o_custkey").alias("c_custkey"))
     still = (customer.join(open_custs, "c_custkey", "left_semi")
@@ -245,8 +309,23 @@ def scd_versions(spark, sf_dir):
     new = t.table("supplier").selectExpr("s_suppkey + 1000000 as customer_key",
                                          "'SUPPLIER' as segment",
                                          "cast(s_nationkey as bigint) as nation_key")
-    return snapshots.scd2_merge(previous, still.unionByName(new), "customer_key",
-                                ["segment", "nation_key"], SCD_AS_OF)
+    return customer.selectExpr(*_SCD_PREVIOUS), still.unionByName(new)
+
+
+def scd_versions(spark, sf_dir):
+    """SCD-1: the start's versions merged with the later state."""
+    start, later = _scd_states(spark, sf_dir)
+    previous = snapshots.first_versions(start, "customer_key", ["segment", "nation_key"], SCD_START)
+    return snapshots.scd2_merge(previous, later, "customer_key", ["segment", "nation_key"], SCD_AS_OF)
+
+
+def scd_incremental(spark, sf_dir):
+    """SCD-1 kept in a store: each merge reads and writes the current part only."""
+    target = f"{checkpoint_dir(spark).rstrip('/')}/versions/{uuid.uuid4().hex}"
+    store = snapshots.VersionStore(spark, target, "customer_key", ["segment", "nation_key"])
+    for state, day in zip(_scd_states(spark, sf_dir), (SCD_START, SCD_AS_OF), strict=True):
+        store.merge(state, day)
+    return store.versions()
 
 
 _SCD_SQL = f"""
@@ -342,6 +421,12 @@ def queries() -> dict:
         "scd_versions": _q(scd_versions,
                            "customer_key:i segment nation_key:i valid_from valid_to is_current:b",
                            _SCD_SQL),
+        "scd_incremental": _q(scd_incremental,
+                              "customer_key:i segment nation_key:i valid_from valid_to is_current:b",
+                              _SCD_SQL),
+        "dq_column_contract": _q(dq_column_contract, "model column_name status filled_rows:i", _contract_sql()),
+        "dq_observed": _q(dq_observed, "model column_name test failing_rows:i status", _dq_observed_sql()),
+        "run_result_files": _q(run_result_files, "run_id good_documents:i bad_documents:i total_models:i failed:i", _RUN_FILES_SQL),
         "seed_csv_roundtrip": _q(seed_csv_roundtrip, SEED_SPEC,
                                  "SELECT * FROM raw_seed_mapping"),
     }

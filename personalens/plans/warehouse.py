@@ -1,23 +1,25 @@
 """All models of one run, built lazily over a set of raw tables.
 
 ``Warehouse`` wires staging and every model together (the reference's
-``ref()`` graph) as plain attribute access. Nothing runs until an action;
-Catalyst plans each report as one query over the raw scans. ``persist``
-writes a model to the shared checkpoint folder and reads it back, for models
-several reports reuse in one job (mentions from reviews and ads, the
-mapping and the scorecard).
+``ref()`` graph) as plain attribute access. Catalyst plans each report as one
+query over the raw scans. Models named in ``materialize`` are written when
+they are first used, and the global rank of GAP-3 writes its ranges;
+everything else runs with the action. ``build_all`` is the full rebuild.
 """
 
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from personalens.operators import gaps, mapping, normalize, reports, scorecard
+from personalens.operators import gaps, mapping, normalize, quality, reports, scorecard
 from personalens.plans.staging import DEFAULT_AS_OF, STAGING, stage
 from personalens.session import checkpoint_dir
+from personalens.sources.store import Folder, VersionedTables
 from personalens.sources.tpch_binding import DriverTables, LazyTables, raw_columns
 
 
@@ -54,10 +56,13 @@ class Warehouse:
         if name not in self.materialize:
             return df
         spark = df.sparkSession
-        path = f"{checkpoint_dir(spark).rstrip('/')}/models/{self._run}/{name}"
+        path = f"{self._scratch(spark)}/{name}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
+    def _scratch(self, spark: SparkSession) -> str:
+        return f"{checkpoint_dir(spark).rstrip('/')}/models/{self._run}"
+
     def _s(self, name: str) -> DataFrame:
         return self.stg[f"stg_{name}"]
 
@@ -212,24 +217,78 @@ class Warehouse:
         "account_opportunities",
     )
 
-    def persist(self, name: str, target: str | None = None) -> DataFrame:
-        """Write one model as parquet (under ``target`` or the checkpoint
+    def persist(self, name: str, path: str | None = None) -> DataFrame:
+        """Write one model as parquet (to ``path`` or below the checkpoint
         folder) and use the written copy from then on."""
         df = getattr(self, name)
-        spark = df.sparkSession
-        root = target or f"{checkpoint_dir(spark).rstrip('/')}/models/{self._run}"
-        path = f"{root.rstrip('/')}/{name}"
+        path = path or f"{self._scratch(df.sparkSession)}/{name}"
         df.write.mode("overwrite").parquet(path)
-        written = spark.read.parquet(path)
-        self.__dict__[name] = written
-        return written
-
-    def build_all(self, target: str, models: tuple[str, ...] | None = None) -> dict[str, str]:
-        """Full rebuild of the intermediate layer (the reference's run): every
-        model is written under ``target/<model>`` in dependency order, and later
-        models read the written tables instead of recomputing their inputs."""
-        out = {}
-        for name in models or self.BUILD_ORDER:
-            self.persist(name, target)
-            out[name] = f"{target.rstrip('/')}/{name}"
-        return out
+        return self.use(name, df.sparkSession.read.parquet(path))
+
+    def use(self, name: str, df: DataFrame) -> DataFrame:
+        """Let later models read df as the model ``name``."""
+        self.__dict__[name] = df
+        return df
+
+    def build_all(self, target: str, models: tuple[str, ...] | None = None, version: str | None = None,
+                  keep: int = 1) -> "BuildReport":
+        """Full rebuild of the intermediate layer (the reference's run) that may fail at any point without harm.
+
+        Every model is written to a folder of its own version in dependency
+        order, later models read the written ones, and readers are switched to the
+        version when all are there (see sources/store.py). Building a version
+        again reuses the models that were finished, so a version's name stands
+        for its inputs; names sort by age. Without a name the newest version
+        that was begun after the current one is taken up, else a new one is
+        named by the clock. Null and accepted-value counts are observed while
+        a model is written. ``keep`` older versions stay, all others are
+        removed after the switch.
+        """
+        names = list(models or self.BUILD_ORDER)
+        spark = self._spark()
+        tables = VersionedTables(spark, target)
+        version = version or tables.unfinished() or f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+        done, reused = tables.done(version), []
+        for name in names:
+            path = tables.path(version, name)
+            if name in done:
+                reused.append(name)
+                self.use(name, spark.read.parquet(path))
+                continue
+            notes = quality.write_observed(getattr(self, name), name, path)
+            tables.finish(version, name, notes)
+            self.use(name, spark.read.parquet(path))
+        tables.switch(version, names)
+        removed = tables.remove_superseded(keep)
+        notes = tables.done(version)
+        return BuildReport(version, {n: tables.path(version, n) for n in names}, reused, removed,
+                           {n: notes[n] for n in names})
+
+    def _spark(self) -> SparkSession:
+        return self.seed.sparkSession
+
+    def close(self) -> None:
+        """Remove what this warehouse wrote below the checkpoint folder; its materialized models can't be read any more."""
+        spark = self._spark()
+        folder = Folder(spark, self._scratch(spark))
+        if folder.exists(""):
+            folder.remove("")
+
+
+@dataclass
+class BuildReport:
+    """What a rebuild did: paths by model, models taken over from an earlier attempt, removed versions, observed figures."""
+
+    version: str
+    paths: dict[str, str]
+    reused: list[str]
+    removed: list[str]
+    observed: dict[str, dict]
+
+    def not_null(self) -> list[tuple]:
+        """(model, column_name, null_rows, status) as dq_not_null gives them for these models."""
+        return [(m, c, n, quality.not_null_status(n)) for m, x in self.observed.items() for c, n in x["null_rows"].items()]
+
+    def accepted_values(self) -> list[tuple]:
+        """(model, column_name, checked_rows, failing_rows, status) as dq_accepted_values gives them."""
+        return [(m, c, n, bad, "fail" if bad else "pass") for m, x in self.observed.items() for c, (n, bad) in x["accepted"].items()]

@@ -8,13 +8,16 @@ Staging models are lazy views; intermediate models are written as tables
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SEED_SCHEMA = ("ad_account_id bigint, ad_account_name string, product string, "
                "matched_review_product string, review_account_name string, "
                "review_account_id bigint")
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "false"}
+# A quoted cell may hold line ends.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+BAD_ROW = "_bad_row"
 
 
 def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
@@ -23,8 +26,24 @@ def read_table(spark: SparkSession, path: str, schema: str, fmt: str = "parquet"
 
 
 def read_seed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """SRC-3: the product mapping CSV with its column types."""
-    return spark.read.schema(SEED_SCHEMA).options(**CSV_OPTIONS).csv(path)
+    """SRC-3: the product mapping CSV with its column types; rows that don't fit them are left to :func:`bad_seed_rows`."""
+    return _seed_rows(spark, path).where(F.col(BAD_ROW).isNull() & _cells().isNotNull()).drop(BAD_ROW)
+
+
+def bad_seed_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Text, readable cells (JSON) and file of the CSV's rows with too few or too many cells, or cells of another type."""
+    rows = _seed_rows(spark, path).withColumn("file", F.input_file_name())
+    return rows.where(F.col(BAD_ROW).isNotNull()).select(F.col(BAD_ROW).alias("row_text"), _cells().alias("cells"), "file")
+
+
+def _cells() -> Column:
+    """All cells as JSON: Spark refuses to look for bad rows alone, and parses only the cells that a query asks for."""
+    return F.to_json(F.struct(*[c.split()[0] for c in SEED_SCHEMA.split(", ")]))
+
+
+def _seed_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{SEED_SCHEMA}, {BAD_ROW} string").options(
+        **CSV_OPTIONS, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_ROW).csv(path)
 
 
 def write_seed_csv(df: DataFrame, path: str) -> None:

@@ -73,19 +73,6 @@ def test_scd2_merge(spark):
     assert again.count() == out.count()
 
 
-def test_build_all_writes_every_model(spark):
-    from core_help import SF_SMALL
-    from personalens.plans.warehouse import Warehouse
-    target = tempfile.mkdtemp(prefix="build-")
-    wh = Warehouse.from_driver_tables(spark, SF_SMALL)
-    paths = wh.build_all(target, ("review_persona_attributes", "ad_persona_attributes",
-                                  "review_ranking", "gap_analysis_simple"))
-    assert sorted(os.listdir(target)) == sorted(paths)
-    again = spark.read.parquet(paths["review_ranking"])
-    fresh = Warehouse.from_driver_tables(spark, SF_SMALL).review_ranking
-    assert again.count() == fresh.count() > 0
-
-
 def test_untargeted_personas_not_in_semantics(spark):
     from personalens.operators.documented import untargeted_review_personas
     rpa = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, None)],
