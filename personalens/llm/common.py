@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -95,6 +97,15 @@ def in_chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def give_back_memory() -> None:
+    """Hand a Python worker's freed memory back to the system; workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 #: A fixed-size array is handed on in so many parts.
 PARTS = 64
 

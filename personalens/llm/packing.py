@@ -1,11 +1,11 @@
 """Packing by lexical retrieval (operator 9).
 
-Documents are dealt to shards so that documents with a long word in common
-tend to meet. A document first looks for its best neighbour in LOOKS shards and
-is packed in the one that held it. Each block has a BM25 inverted index over
-all words of its documents; a seed document's unused neighbours, best first,
-fill its window up to the last token, and the neighbour that is cut becomes
-the next seed.
+Texts are tokenised once, into a stored table of ids and words. Each document has
+a home: its least hash over its words, weighted by their BM25 weight, so that
+documents with rare words in common tend to share it. Homes in order are cut
+into shards of about BLOCK_TOKENS. Each shard has a BM25 inverted index over all words of all
+its documents; a seed document's unused neighbours, best first, fill its
+window up to the last token, and the neighbour that is cut becomes the next seed.
 """
 
 from __future__ import annotations
@@ -19,43 +19,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personalens.llm.common import merged, mix64, pick, read_table, split_parts
+from personalens.llm.common import give_back_memory, merged, mix64, pick, read_table, split_parts, stored
 from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, text_chunks, tokenizer_path
 
 WINDOW, END_ID = 2048, 1
-# Words are told apart by this many bits of their hash, counted for document frequencies by fewer; documents by bins of their shard keys.
-TERM_BITS, DF_BITS, BIN_BITS = 24, 18, 16
+# Words are told apart by this many bits of their hash, counted for document frequencies by fewer; homes are counted by bins.
+TERM_BITS, DF_BITS, BIN_BITS = 32, 22, 16
 K1, B = 1.2, 0.75
-#: Shards in which a document looks for neighbours: one for each of so many least hashes of its words.
-LOOKS = 4
-#: Code points of text in a shard, tokens under one index that packs, and words under one that only looks.
-SHARD_CHARS, BLOCK_TOKENS, LOOK_WORDS = 4 << 20, 1 << 21, 1 << 20
+#: Tokens and documents under one index.
+BLOCK_TOKENS, BLOCK_DOCS = 1 << 23, 1 << 15
 #: Words in at least one of so many documents of a block have dense postings.
 DENSE = 8
-KEY_LENGTH = 6
 
 
-def doc_terms(hashes: np.ndarray, doc: np.ndarray, n_docs: int):
+def doc_terms(hashes: np.ndarray, doc: np.ndarray):
     """(document, term, frequency) sorted by document, each pair once."""
     code = doc.astype(np.uint64) << np.uint64(TERM_BITS) | hashes >> np.uint64(64 - TERM_BITS)
     pair, tf = np.unique(code, return_counts=True)
     return (pair >> np.uint64(TERM_BITS)).astype(np.int64), (pair & np.uint64((1 << TERM_BITS) - 1)).astype(np.int64), tf
 
 
-def shard_keys(hashes: np.ndarray, doc: np.ndarray, long: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """LOOKS rows of keys. Of each document the least mixed hash of its long words, by another mix in each row; of its id if it has none."""
-    key = np.full((LOOKS, len(ids)), np.iinfo(np.uint64).max)
-    for k in range(LOOKS):
-        salt = mix64(np.array([k], np.uint64))
-        np.minimum.at(key[k], doc[long], mix64(hashes[long] ^ salt))
-        none = key[k] == np.iinfo(np.uint64).max
-        key[k, none] = mix64(ids[none].view(np.uint64) ^ salt)
+def home_keys(terms: list[np.ndarray], weights: list[np.ndarray], cls: np.ndarray) -> np.ndarray:
+    """Of each document the mixed hash of the term that wins a race at speeds equal to the weights; of its class if it has no word.
+
+    Two documents have the same winner with a probability that grows with the weight of what they share.
+    """
+    size = np.fromiter(map(len, terms), np.int64, len(terms))
+    key = mix64(cls.view(np.uint64))
+    if not size.sum():
+        return key
+    term = np.concatenate(terms).astype(np.uint64)
+    uniform = ((mix64(term) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    time = -np.log(uniform) / np.maximum(np.concatenate(weights), 1e-9)
+    some = np.flatnonzero(size)
+    least = np.minimum.reduceat(time, (np.cumsum(size) - size)[some])
+    hit = np.flatnonzero(time == np.repeat(least, size[some]))
+    of = np.repeat(some, size[some])[hit]
+    key[of[::-1]] = mix64(term[hit[::-1]] ^ np.uint64(0x9E3779B97F4A7C15))  # of equals the first
     return key
 
 
-def shards_of(key: np.ndarray, ids: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+def shards_of(key: np.ndarray, cls: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
     place = (key >> np.uint64(64 - BIN_BITS)).astype(np.int64)
-    return first[place] + (mix64(ids.view(np.uint64)) % many[place].astype(np.uint64)).astype(np.int64)
+    return first[place] + (mix64(cls.view(np.uint64)) % many[place].astype(np.uint64)).astype(np.int64)
 
 
 def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
@@ -63,42 +69,11 @@ def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[str]]:
             [t or "" for t in batch.column("text").to_pylist()])
 
 
-def _statistics(path: str):
-    """Parts of: documents by term, then code points by bin of the shard keys, then documents and words."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = counter(path)
-        df, bins, total = np.zeros(1 << DF_BITS, np.uint64), np.zeros(1 << BIN_BITS, np.uint64), np.zeros(64, np.uint64)
-        for batch in batches:
-            ids, texts = _texts(batch)
-            for a, b in text_chunks(texts):
-                _, start, end, hashes, doc = c.split(texts[a:b])
-                d, term, _ = doc_terms(hashes, doc, b - a)
-                counted = np.unique(d << DF_BITS | term >> TERM_BITS - DF_BITS)  # words of one count are one word of a document
-                df += np.bincount(counted & (1 << DF_BITS) - 1, minlength=len(df)).astype(np.uint64)
-                key = shard_keys(hashes, doc, end - start >= KEY_LENGTH, ids[a:b])
-                size = np.fromiter((len(t) + 1 for t in texts[a:b]), np.int64, b - a)
-                for row in key:
-                    bins += np.bincount((row >> np.uint64(64 - BIN_BITS)).astype(np.int64), size, len(bins)).astype(np.uint64)
-                total[0] += np.uint64(b - a)
-                total[1] += np.uint64(len(hashes))
-        yield from split_parts(np.concatenate([df, bins, total]).reshape(-1, 64).T.ravel(), ["part", "counts"])
-    return run
-
-
-def corpus_statistics(docs: DataFrame, path: str) -> tuple[np.ndarray, np.ndarray, int, float]:
-    """Document frequency of every term, code points by bin, number of documents, words a document; over all texts."""
-    size = (1 << DF_BITS) + (1 << BIN_BITS) + 64
-    x = merged(docs.mapInArrow(_statistics(path), "part int, counts binary"), np.add, "u8", size).reshape(64, -1).T.ravel()
-    df, bins, total = np.split(x, [1 << DF_BITS, (1 << DF_BITS) + (1 << BIN_BITS)])
-    n = int(total[0])
-    return df.astype(np.int64), bins.astype(np.int64), n, float(total[1]) / max(n, 1)
-
-
-def plan_shards(bins: np.ndarray, chars: int = SHARD_CHARS) -> tuple[np.ndarray, np.ndarray]:
+def plan_shards(bins: np.ndarray, size: int = BLOCK_TOKENS) -> tuple[np.ndarray, np.ndarray]:
     """First shard and number of shards of each bin: light bins share one, a heavy bin is split by document."""
-    many = np.maximum(1, -(-bins // chars))
+    many = np.maximum(1, -(-bins // size))
     light = np.where(many == 1, bins, 0)
-    group = np.cumsum(light) // chars
+    group = np.cumsum(light) // size
     first = group + np.concatenate(([0], np.cumsum(np.where(many > 1, many, 0))[:-1]))
     return first, many
 
@@ -126,95 +101,85 @@ def inverse_frequency(df: np.ndarray, n_docs: int) -> np.ndarray:
     return np.log1p((n_docs - df + 0.5) / (df + 0.5))
 
 
-LOOK_SCHEMA = "shard long, key long, cls long, words long, terms binary"
+TOKENIZED = "cls long, doc_id long, n long, ids binary, words long, terms binary, part int, counts binary"
 
 
-def _looks(path: str, shared):
-    """Of each document LOOKS rows: shard, key, class of (id, text), words and terms."""
+def _tokenized(path: str):
+    """Of each document its ids with the end id, packed, and its terms; at the end, parts of the documents by term."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    names = [f.split()[0] for f in TOKENIZED.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, pack = counter(path), zstandard.ZstdCompressor(1)
-        _, first, many = shared.value
+        give_back_memory()
+        c, pack, df = counter(path), zstandard.ZstdCompressor(1), np.zeros(1 << DF_BITS, np.uint64)
         for batch in batches:
-            ids, texts = _texts(batch)
+            _, texts = _texts(batch)
             for a, b in text_chunks(texts):
-                _, start, end, hashes, doc = c.split(texts[a:b])
-                blobs = pa.array(packed_terms(pack, *doc_terms(hashes, doc, b - a), b - a), pa.binary())
-                words = pa.array(np.bincount(doc, minlength=b - a))
-                for key in shard_keys(hashes, doc, end - start >= KEY_LENGTH, ids[a:b]):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shards_of(key, ids[a:b], first, many)), pa.array(key.view(np.int64)),
-                         batch.column("cls").slice(a, b - a), words, blobs], names=["shard", "key", "cls", "words", "terms"])
+                flat, begin, hashes, doc, _ = c.encode_ended(texts[a:b], END_ID)
+                d, term, tf = doc_terms(hashes, doc)
+                cell, count = np.unique(np.unique(d << DF_BITS | term >> TERM_BITS - DF_BITS) & (1 << DF_BITS) - 1, return_counts=True)
+                df[cell] += count.astype(np.uint64)  # words of one cell are one word of a document
+                blobs = [pack.compress(flat[begin[i]:begin[i + 1]].tobytes()) for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("cls").slice(a, b - a), batch.column("doc_id").slice(a, b - a), pa.array(np.diff(begin)),
+                    pa.array(blobs, pa.binary()), pa.array(np.bincount(doc, minlength=b - a)),
+                    pa.array(packed_terms(pack, d, term, tf, b - a), pa.binary()), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())],
+                    names=names)
+        for part in split_parts(df, ["part", "counts"]):
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(part.num_rows, t) for t in types), *part.columns], names=names)
+        c.forget()  # a worker outlives its task
+        give_back_memory()
     return run
 
 
-def _found(shared, mean_words: float, n_docs: int, look_words: int):
-    """(cls, key, score, near): each document's best neighbour in the block, from rows sorted by shard and key."""
-    def block(rows: list[tuple]) -> pa.RecordBatch:
-        key, cls, terms, weights = zip(*rows, strict=True)
-        index, classes, out = Index(list(terms), list(weights)), np.array(cls, np.int64), []
-        for i in range(len(rows)):
-            score = index.scores(i)
-            score[classes == classes[i]] = 0
-            j = int(score.argmax())
-            if score[j] > 0:
-                out.append((cls[i], key[i], float(score[j]), cls[j]))
-        cols = list(zip(*out, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.float64() if i == 2 else pa.int64()) for i, x in enumerate(cols)],
-                                          names=["cls", "key", "score", "near"])
+def tokenized(docs: DataFrame, path: str) -> tuple[DataFrame, np.ndarray, int, float]:
+    """The stored rows (see TOKENIZED), documents by term, number of documents and words a document; over all texts."""
+    rows = stored(docs.mapInArrow(_tokenized(path), TOKENIZED), "tokenized")
+    df = merged(rows.where("part IS NOT NULL"), np.add, "u8", 1 << DF_BITS)
+    rows = rows.where("part IS NULL").drop("part", "counts")
+    n, words = rows.agg(F.count(F.lit(1)), F.sum("words")).first()
+    return rows, df, n, float(words or 0) / max(n, 1)
 
+
+def _homes(shared, mean_words: float, batch: pa.RecordBatch, unpack) -> np.ndarray:
+    """The home key of each row."""
+    terms, weights = zip(*(unpacked_terms(unpack, blob, n, shared.value[0], mean_words)
+                           for blob, n in zip(batch.column("terms").to_pylist(), batch.column("words").to_pylist(), strict=True)), strict=True)
+    return home_keys(list(terms), list(weights), batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _bin_batches(shared, mean_words: float):
+    """Parts of the tokens by bin of the home keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, idf = zstandard.ZstdDecompressor(), inverse_frequency(shared.value[0], n_docs)
-        rows: list[tuple] = []
-        held = 0
+        unpack, bins = zstandard.ZstdDecompressor(), np.zeros(1 << BIN_BITS, np.uint64)
         for batch in batches:
-            for key, cls, words, blob in zip(*(batch.column(c).to_pylist() for c in ("key", "cls", "words", "terms")), strict=True):
-                rows.append((key, cls, *unpacked_terms(unpack, blob, words, idf, mean_words)))
-                held += words
-                if held >= look_words:
-                    yield block(rows)
-                    rows, held = [], 0
-        if rows:
-            yield block(rows)
+            if batch.num_rows:
+                place = (_homes(shared, mean_words, batch, unpack) >> np.uint64(64 - BIN_BITS)).astype(np.int64)
+                n = batch.column("n").to_numpy(zero_copy_only=False)
+                bins += np.bincount(place, n, len(bins)).astype(np.uint64)
+        yield from split_parts(bins, ["part", "counts"])
     return run
 
 
-def best_neighbours(docs: DataFrame, path: str, shared, mean_words: float, n_docs: int, look_words: int = LOOK_WORDS) -> DataFrame:
-    """cls, home, score, near: the best neighbour over all shards a document looks in, and the key of the shard it was found in."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.mapInArrow(_looks(path, shared), LOOK_SCHEMA)
-    rows = rows.repartition(n, "shard").sortWithinPartitions("shard", "key", "cls")
-    found = rows.mapInArrow(_found(shared, mean_words, n_docs, look_words), "cls long, key long, score double, near long")
-    best = found.groupBy("cls").agg(F.max(F.struct("score", "key", "near")).alias("best"))
-    return best.select("cls", F.col("best.key").alias("home"), "best.score", "best.near")
+HOMED = "shard int, key long, cls long, doc_id long, n long, ids binary, words long, terms binary"
 
 
-def _tokenized(path: str):
-    """Of each document its own key, packed ids, number of words and terms."""
+def _homed(shared, plan, mean_words: float):
+    """The rows with their home key and its shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, pack = counter(path), zstandard.ZstdCompressor(1)
+        unpack = zstandard.ZstdDecompressor()
+        first, many = plan.value
         for batch in batches:
-            ids, texts = _texts(batch)
-            for a, b in text_chunks(texts):
-                flat, begin, hashes, doc, long = c.encode_ended(texts[a:b], END_ID, KEY_LENGTH)
-                own = shard_keys(hashes, doc, long, ids[a:b])[0]
-                blobs = [pack.compress(flat[begin[i]:begin[i + 1]].tobytes()) for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("cls").slice(a, b - a), pa.array(own.view(np.int64)), batch.column("doc_id").slice(a, b - a),
-                    pa.array(np.diff(begin)), pa.array(blobs, pa.binary()), pa.array(np.bincount(doc, minlength=b - a)),
-                    pa.array(packed_terms(pack, *doc_terms(hashes, doc, b - a), b - a), pa.binary())],
-                    names=["cls", "own", "doc_id", "n", "ids", "words", "terms"])
+            if batch.num_rows:
+                key = _homes(shared, mean_words, batch, unpack)
+                cls = batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64)
+                shard = shards_of(key, cls, first, many).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key.view(np.int64)), *(batch.column(c) for c in TOKEN_COLUMNS)],
+                                                 names=["shard", "key", *TOKEN_COLUMNS])
     return run
 
 
-def _sharded(shared):
-    """The rows with the shard of their key."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, first, many = shared.value
-        for batch in batches:
-            key = batch.column("key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            ids = batch.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield batch.append_column("shard", pa.array(shards_of(key, ids, first, many)))
-    return run
+TOKEN_COLUMNS = ["cls", "doc_id", "n", "ids", "words", "terms"]
 
 
 class Index:
@@ -241,7 +206,9 @@ class Index:
         """BM25 score of every document by all words of the seed."""
         q = np.searchsorted(self.word, self.terms[seed])  # the seed is in the index, so its words are
         dense = self.frequent[q]
-        score = self.dense[self.row[q[dense]]].sum(0, dtype=np.float32).astype(np.float64)
+        chosen = np.zeros(len(self.dense), np.float32)
+        chosen[self.row[q[dense]]] = 1
+        score = (chosen @ self.dense).astype(np.float64)
         rare = q[~dense]
         df = self.df[rare]
         if df.sum():
@@ -302,21 +269,24 @@ class Packer:
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _packed(window: int, wide: bool, shared, mean_words: float, n_docs: int, block_tokens: int):
+def _packed(window: int, wide: bool, shared, mean_words: float, block_tokens: int, block_docs: int):
     """Sequences of each task, from rows sorted by shard and key; ids as little-endian unsigned 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back_memory()
         packer, unpack = Packer(TaskContext.get().partitionId() << 32, window), zstandard.ZstdDecompressor()
-        idf = inverse_frequency(shared.value[0], n_docs)
+        idf = shared.value[0]
         rows: list[tuple] = []
         tokens = 0
         for batch in batches:
             for doc_id, n, blob, words, terms in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "words", "terms")), strict=True):
                 rows.append((doc_id, n, blob, *unpacked_terms(unpack, terms, words, idf, mean_words)))
                 tokens += n
-                if tokens >= block_tokens:
+                if tokens >= block_tokens or len(rows) >= block_docs:
                     yield from _block(packer, unpack, rows, wide)
                     rows, tokens = [], 0
         yield from _block(packer, unpack, rows, wide)
+        rows.clear()
+        give_back_memory()
     return run
 
 
@@ -343,26 +313,33 @@ def _pieces(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Pieces of every row's ids (and an end id) in sequences of at most `window` tokens; see PIECE_SCHEMA.
 
     Null counts as empty text, which has the end id alone. Repeated rows are packed each. Only a task's
     last sequence is shorter than the window. An empty table gives an empty result.
-    Texts are read three times (statistics, terms, ids); terms are shuffled for every look, packed ids to
-    their home's key and then to its shard.
+    Texts are read once; their packed ids and terms are stored, and shuffled once to the shard of their home.
     """
     spark = docs.sparkSession
     path = path or tokenizer_path(DEFAULT_TOKENIZER)
     docs = pick(docs).withColumn("cls", F.xxhash64("doc_id", "text"))
-    df, bins, n_docs, mean_words = corpus_statistics(docs, path)
-    shared = spark.sparkContext.broadcast((df, *plan_shards(bins)))
-    homes = best_neighbours(docs, path, shared, mean_words, n_docs).select("cls", "home")
-    rows = docs.mapInArrow(_tokenized(path), "cls long, own long, doc_id long, n long, ids binary, words long, terms binary")
-    rows = rows.join(homes, "cls", "left").select(F.coalesce("home", "own").alias("key"), "doc_id", "n", "ids", "words", "terms")
-    rows = rows.mapInArrow(_sharded(shared), "key long, doc_id long, n long, ids binary, words long, terms binary, shard long")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "shard").sortWithinPartitions("shard", "key", "doc_id")
-    return rows.mapInArrow(_packed(window, counter(path).dtype == np.uint32, shared, mean_words, n_docs, BLOCK_TOKENS), PIECE_SCHEMA)
+    rows, shared, mean_words, plan, shards = homes(docs, path, block_tokens)
+    rows = rows.mapInArrow(_homed(shared, plan, mean_words), HOMED)
+    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key", "doc_id", "cls")
+    wide = counter(path).dtype == np.uint32
+    # A shard may be somewhat larger than planned: up to half as much again stays one block.
+    return rows.mapInArrow(_packed(window, wide, shared, mean_words, block_tokens * 3 // 2, BLOCK_DOCS), PIECE_SCHEMA)
+
+
+def homes(docs: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS):
+    """Stored tokenised rows, broadcast term weights, words a document, broadcast plan of the shards and their number."""
+    spark = docs.sparkSession
+    rows, df, n_docs, mean_words = tokenized(docs, path)
+    shared = spark.sparkContext.broadcast((inverse_frequency(df.astype(np.float64), n_docs).astype(np.float32),))
+    light = rows.select("cls", "n", "words", "terms")
+    bins = merged(light.mapInArrow(_bin_batches(shared, mean_words), "part int, counts binary"), np.add, "u8", 1 << BIN_BITS)
+    first, many = plan_shards(bins.astype(np.int64), block_tokens)
+    return rows, shared, mean_words, spark.sparkContext.broadcast((first, many)), int((first + many).max())
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,10 @@
 import math
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
-from llm_help import MEDIUM, documents
+from llm_help import MEDIUM, SMALL, documents
 from personalens.llm import packing, pretoken
 from personalens.llm.common import pick
 
@@ -46,25 +47,66 @@ def recall(found, scores):
     return np.mean([j is not None and scores[i, j] >= 0.999 * scores[i].max() for i, j in found.items() if scores[i].max() > 0])
 
 
+def found_in_blocks(docs, block_tokens):
+    """Best neighbour of every row in the shard it is packed in, and the number of shards."""
+    rows, shared, mean, plan, _ = packing.homes(docs, pretoken.tokenizer_path(), block_tokens)
+    homed = sorted(rows.mapInArrow(packing._homed(shared, plan, mean), packing.HOMED).collect(), key=lambda r: (r.shard, r.key, r.doc_id))
+    unpack, near = zstandard.ZstdDecompressor(), {}
+    shards = {r.shard for r in homed}
+    for shard in shards:
+        block = [r for r in homed if r.shard == shard]
+        terms, weights = zip(*(packing.unpacked_terms(unpack, r.terms, r.words, shared.value[0], mean) for r in block), strict=True)
+        index = packing.Index(list(terms), list(weights))
+        for i, r in enumerate(block):
+            others = np.array([x.cls != r.cls for x in block])
+            order = index.neighbours(i, others)
+            near[r.cls] = block[order[0]].cls if len(order) else None
+    return near, len(shards)
+
+
 def test_neighbours_are_those_of_brute_force_bm25(spark):
     docs = pick(documents(spark, MEDIUM)).where("length(text) > 0").orderBy("doc_id").limit(FEW)
     docs = docs.withColumn("cls", F.xxhash64("doc_id", "text")).cache()
     rows = docs.collect()
     scores = brute_scores([r.text for r in rows])
-    path = pretoken.tokenizer_path()
-    df, bins, n, mean = packing.corpus_statistics(docs, path)
     place = {r.cls: i for i, r in enumerate(rows)}
 
-    def found(bins_of, look_words):
-        shared = spark.sparkContext.broadcast((df, *bins_of))
-        best = packing.best_neighbours(docs.repartition(4), path, shared, mean, n, look_words).collect()
-        near = {place[r.cls]: place[r.near] for r in best}
-        return {i: near.get(i) for i in range(len(rows))}
-
-    whole = found(packing.plan_shards(bins), 1 << 40)
-    one = recall(whole, scores)
-    chars = sum(len(r.text) for r in rows)
-    cut = found(packing.plan_shards(bins, chars // 3), chars // 16)
-    many = recall(cut, scores)
-    print(f"recall of the best neighbour: {one:.3f} in one block, {many:.3f} over many small blocks")
-    assert one >= 0.97 and many >= 0.6
+    def of(block_tokens):
+        near, shards = found_in_blocks(docs.repartition(4), block_tokens)
+        return recall({place[c]: place.get(n) for c, n in near.items()}, scores), shards
+
+    one, shards = of(packing.BLOCK_TOKENS)
+    assert shards == 1 and one >= 0.97
+    many, shards = of(sum(len(r.text) for r in rows) // 16)
+    print(f"recall of the best neighbour: {one:.3f} in one block, {many:.3f} over {shards} blocks")
+    assert shards > 2 and many >= 0.15  # texts without a subject in common meet by chance, copies by their home
+
+
+def test_copies_share_a_home_and_blocks_are_bounded(spark):
+    texts = [f"alpha{i % 5} beta gamma{i % 5} delta epsilon{i % 5}" for i in range(50)] + [""] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("cls", F.xxhash64("doc_id", "text"))
+    rows, shared, mean, plan, _ = packing.homes(docs, pretoken.tokenizer_path())
+    key = {r.doc_id: r.key for r in rows.mapInArrow(packing._homed(shared, plan, mean), packing.HOMED).collect()}
+    assert all(key[i] == key[i % 5] for i in range(50)) and len({key[i] for i in range(50, 90)}) == 40
+
+
+def test_packing_places_every_id_once_at_any_block_size(spark):
+    docs = documents(spark, SMALL)
+    want = {}
+    for block_tokens in (packing.BLOCK_TOKENS, 5000):
+        rows = packing.pack(docs, block_tokens=block_tokens).collect()
+        pieces, used = {}, {}
+        for r in rows:
+            pieces.setdefault(r.doc_id, []).append((r.start, r.length, bytes(r.ids)))
+            used.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        joined = {}
+        for d, p in pieces.items():
+            at = 0
+            for start, length, ids in sorted(p):
+                assert start == at and len(ids) == 4 * length
+                at += length
+            joined[d] = b"".join(ids for *_, ids in sorted(p))
+        for p in used.values():
+            assert [o for o, _ in sorted(p)] == list(np.cumsum([0] + [n for _, n in sorted(p)][:-1])) and sum(n for _, n in p) <= 2048
+        want = want or joined
+        assert joined == want and len(joined) == docs.count()

@@ -79,7 +79,7 @@ def test_index_returns_the_best_unused_neighbour():
     unused = np.array([False, True, True, True])
     assert index.neighbours(0, unused).tolist() == [2, 1]
     got = list(packing.Packer(0, 8).block([0, 1, 2, 3], [4, 3, 6, 2], index))
-    assert got == [(0, 0, 4, 0, 0), (2, 0, 4, 0, 4), (2, 4, 2, 1, 0), (1, 0, 3, 1, 2), (3, 0, 2, 1, 5)] or sum(x[2] for x in got) == 15
+    assert got == [(0, 0, 4, 0, 0), (2, 0, 4, 0, 4), (2, 4, 2, 1, 0), (1, 0, 3, 1, 2), (3, 0, 2, 1, 5)]
     assert [x[0] for x in got[:2]] == [0, 2]
 
 
