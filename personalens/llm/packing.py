@@ -1,8 +1,8 @@
 """Packing by lexical retrieval (operator 9).
 
 Texts are tokenised once, into a stored table of ids and words. Each document has
-a home: its least hash over its words, weighted by their BM25 weight, so that
-documents with rare words in common tend to share it. Homes in order are cut
+a home: the least hash over its words, weighted towards long words, which are rare, so that
+documents with such words in common tend to share it. Homes in order are cut
 into shards of about BLOCK_TOKENS. Each shard has a BM25 inverted index over all words of all
 its documents; a seed document's unused neighbours, best first, fill its
 window up to the last token, and the neighbour that is cut becomes the next seed.
@@ -24,10 +24,12 @@ from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, text_chunks, to
 
 WINDOW, END_ID = 2048, 1
 # Words are told apart by this many bits of their hash, counted for document frequencies by fewer; homes are counted by bins.
-TERM_BITS, DF_BITS, BIN_BITS = 32, 22, 16
+TERM_BITS, DF_BITS, BIN_BITS = 28, 22, 16
 K1, B = 1.2, 0.75
 #: Tokens and documents under one index.
 BLOCK_TOKENS, BLOCK_DOCS = 1 << 23, 1 << 15
+#: Neighbours that are sorted at first.
+FIRST = 64
 #: Words in at least one of so many documents of a block have dense postings.
 DENSE = 8
 
@@ -39,23 +41,19 @@ def doc_terms(hashes: np.ndarray, doc: np.ndarray):
     return (pair >> np.uint64(TERM_BITS)).astype(np.int64), (pair & np.uint64((1 << TERM_BITS) - 1)).astype(np.int64), tf
 
 
-def home_keys(terms: list[np.ndarray], weights: list[np.ndarray], cls: np.ndarray) -> np.ndarray:
-    """Of each document the mixed hash of the term that wins a race at speeds equal to the weights; of its class if it has no word.
+def home_keys(hashes: np.ndarray, doc: np.ndarray, length: np.ndarray, cls: np.ndarray) -> np.ndarray:
+    """Of each document the mixed hash of the word that wins a race at speeds equal to its squared length; of its class if it has no word.
 
-    Two documents have the same winner with a probability that grows with the weight of what they share.
+    Two documents have the same winner with a probability that grows with the weight of the words they share.
     """
-    size = np.fromiter(map(len, terms), np.int64, len(terms))
     key = mix64(cls.view(np.uint64))
-    if not size.sum():
+    if not len(hashes):
         return key
-    term = np.concatenate(terms).astype(np.uint64)
-    uniform = ((mix64(term) >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
-    time = -np.log(uniform) / np.maximum(np.concatenate(weights), 1e-9)
-    some = np.flatnonzero(size)
-    least = np.minimum.reduceat(time, (np.cumsum(size) - size)[some])
-    hit = np.flatnonzero(time == np.repeat(least, size[some]))
-    of = np.repeat(some, size[some])[hit]
-    key[of[::-1]] = mix64(term[hit[::-1]] ^ np.uint64(0x9E3779B97F4A7C15))  # of equals the first
+    time = np.log(((hashes >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / -np.square(length.astype(np.float64))
+    first = np.flatnonzero(np.diff(doc, prepend=-1))
+    least = np.minimum.reduceat(time, first)
+    hit = np.flatnonzero(time == np.repeat(least, np.diff(np.append(first, len(doc)))))
+    key[doc[hit]] = mix64(hashes[hit])
     return key
 
 
@@ -101,85 +99,77 @@ def inverse_frequency(df: np.ndarray, n_docs: int) -> np.ndarray:
     return np.log1p((n_docs - df + 0.5) / (df + 0.5))
 
 
-TOKENIZED = "cls long, doc_id long, n long, ids binary, words long, terms binary, part int, counts binary"
+TOKENIZED = "cls long, doc_id long, n long, ids binary, words long, terms binary, key long, part int, counts binary"
+
+
+def packed_ids(pack, ids: np.ndarray) -> bytes:
+    """Ids, first bytes before second bytes."""
+    return pack.compress(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, ids.itemsize).T))
+
+
+def unpacked_ids(unpack, blob: bytes, wide: bool) -> np.ndarray:
+    planes = np.frombuffer(unpack.decompress(blob), np.uint8).reshape(4 if wide else 2, -1)
+    return np.ascontiguousarray(planes.T).view("<u4" if wide else "<u2").ravel()
 
 
 def _tokenized(path: str):
-    """Of each document its ids with the end id, packed, and its terms; at the end, parts of the documents by term."""
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
+    """Of each document its ids with the end id, its terms and its home; at the end, parts of the documents by term and of the tokens by home."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
     names = [f.split()[0] for f in TOKENIZED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back_memory()
-        c, pack, df = counter(path), zstandard.ZstdCompressor(1), np.zeros(1 << DF_BITS, np.uint64)
+        c, pack = counter(path), zstandard.ZstdCompressor(1)
+        df, bins = np.zeros(1 << DF_BITS, np.uint64), np.zeros(1 << BIN_BITS, np.uint64)
         for batch in batches:
+            classes = batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64)
             _, texts = _texts(batch)
             for a, b in text_chunks(texts):
-                flat, begin, hashes, doc, _ = c.encode_ended(texts[a:b], END_ID)
+                flat, begin, hashes, doc, length = c.encode_ended(texts[a:b], END_ID)
                 d, term, tf = doc_terms(hashes, doc)
-                cell, count = np.unique(np.unique(d << DF_BITS | term >> TERM_BITS - DF_BITS) & (1 << DF_BITS) - 1, return_counts=True)
-                df[cell] += count.astype(np.uint64)  # words of one cell are one word of a document
-                blobs = [pack.compress(flat[begin[i]:begin[i + 1]].tobytes()) for i in range(b - a)]
+                cell = d << DF_BITS | term >> TERM_BITS - DF_BITS
+                new = np.flatnonzero(np.diff(cell, prepend=-1))  # words of one cell are one word of a document
+                np.add.at(df, cell[new] & (1 << DF_BITS) - 1, np.uint64(1))
+                key, n = home_keys(hashes, doc, length, classes[a:b]), np.diff(begin)
+                bins += np.bincount((key >> np.uint64(64 - BIN_BITS)).astype(np.int64), n, len(bins)).astype(np.uint64)
+                blobs = [packed_ids(pack, flat[begin[i]:begin[i + 1]]) for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("cls").slice(a, b - a), batch.column("doc_id").slice(a, b - a), pa.array(np.diff(begin)),
-                    pa.array(blobs, pa.binary()), pa.array(np.bincount(doc, minlength=b - a)),
-                    pa.array(packed_terms(pack, d, term, tf, b - a), pa.binary()), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())],
-                    names=names)
-        for part in split_parts(df, ["part", "counts"]):
+                    pa.array(classes[a:b]), batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(blobs, pa.binary()),
+                    pa.array(np.bincount(doc, minlength=b - a)), pa.array(packed_terms(pack, d, term, tf, b - a), pa.binary()),
+                    pa.array(key.view(np.int64)), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())], names=names)
+        for part in split_parts(np.concatenate([df, bins]), ["part", "counts"]):
             yield pa.RecordBatch.from_arrays([*(pa.nulls(part.num_rows, t) for t in types), *part.columns], names=names)
         c.forget()  # a worker outlives its task
         give_back_memory()
     return run
 
 
-def tokenized(docs: DataFrame, path: str) -> tuple[DataFrame, np.ndarray, int, float]:
-    """The stored rows (see TOKENIZED), documents by term, number of documents and words a document; over all texts."""
-    rows = stored(docs.mapInArrow(_tokenized(path), TOKENIZED), "tokenized")
-    df = merged(rows.where("part IS NOT NULL"), np.add, "u8", 1 << DF_BITS)
-    rows = rows.where("part IS NULL").drop("part", "counts")
-    n, words = rows.agg(F.count(F.lit(1)), F.sum("words")).first()
-    return rows, df, n, float(words or 0) / max(n, 1)
-
-
-def _homes(shared, mean_words: float, batch: pa.RecordBatch, unpack) -> np.ndarray:
-    """The home key of each row."""
-    terms, weights = zip(*(unpacked_terms(unpack, blob, n, shared.value[0], mean_words)
-                           for blob, n in zip(batch.column("terms").to_pylist(), batch.column("words").to_pylist(), strict=True)), strict=True)
-    return home_keys(list(terms), list(weights), batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64))
-
-
-def _bin_batches(shared, mean_words: float):
-    """Parts of the tokens by bin of the home keys."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, bins = zstandard.ZstdDecompressor(), np.zeros(1 << BIN_BITS, np.uint64)
-        for batch in batches:
-            if batch.num_rows:
-                place = (_homes(shared, mean_words, batch, unpack) >> np.uint64(64 - BIN_BITS)).astype(np.int64)
-                n = batch.column("n").to_numpy(zero_copy_only=False)
-                bins += np.bincount(place, n, len(bins)).astype(np.uint64)
-        yield from split_parts(bins, ["part", "counts"])
-    return run
-
-
-HOMED = "shard int, key long, cls long, doc_id long, n long, ids binary, words long, terms binary"
+class Tokens:
+    """The stored rows of a table of documents (see TOKENIZED), and what all its texts together say."""
 
+    def __init__(self, docs: DataFrame, path: str, block_tokens: int):
+        context = docs.sparkSession.sparkContext
+        rows = stored(docs.mapInArrow(_tokenized(path), TOKENIZED), "tokenized")
+        counts = merged(rows.where("part IS NOT NULL"), np.add, "u8", (1 << DF_BITS) + (1 << BIN_BITS))
+        df, bins = np.split(counts.astype(np.int64), [1 << DF_BITS])
+        self.rows = rows.where("part IS NULL").drop("part", "counts")
+        n, words = self.rows.agg(F.count(F.lit(1)), F.sum("words")).first()
+        self.mean_words = float(words or 0) / max(n, 1)
+        self.idf = context.broadcast(inverse_frequency(df.astype(np.float64), n).astype(np.float32))
+        first, many = plan_shards(bins, block_tokens)
+        self.plan, self.shards = context.broadcast((first, many)), int((first + many).max())
 
-def _homed(shared, plan, mean_words: float):
-    """The rows with their home key and its shard."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        first, many = plan.value
-        for batch in batches:
-            if batch.num_rows:
-                key = _homes(shared, mean_words, batch, unpack)
-                cls = batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64)
-                shard = shards_of(key, cls, first, many).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(key.view(np.int64)), *(batch.column(c) for c in TOKEN_COLUMNS)],
-                                                 names=["shard", "key", *TOKEN_COLUMNS])
-    return run
+    def sharded(self) -> DataFrame:
+        """The rows with the shard of their home."""
+        plan = self.plan
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                key, cls = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("key", "cls"))
+                shard = shards_of(key.view(np.uint64), cls, *plan.value)
+                yield batch.append_column("shard", pa.array(shard.astype(np.int32), pa.int32()))
 
-TOKEN_COLUMNS = ["cls", "doc_id", "n", "ids", "words", "terms"]
+        return self.rows.mapInArrow(run, TOKENIZED.replace("part int, counts binary", "shard int"))
 
 
 class Index:
@@ -208,19 +198,24 @@ class Index:
         dense = self.frequent[q]
         chosen = np.zeros(len(self.dense), np.float32)
         chosen[self.row[q[dense]]] = 1
-        score = (chosen @ self.dense).astype(np.float64)
+        score = chosen @ self.dense
         rare = q[~dense]
         df = self.df[rare]
         if df.sum():
             at = np.repeat(self.start[rare] - np.cumsum(df) + df, df) + np.arange(df.sum())
-            score += np.bincount(self.doc[at], self.weight[at], len(self.terms))
+            score += np.bincount(self.doc[at], self.weight[at], len(self.terms)).astype(np.float32)
         return score
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+    def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a word with the seed, best first; ties in order of the block."""
         score = self.scores(seed) * unused
-        found = np.flatnonzero(score)
-        return found[np.argsort(-score[found], kind="stable")]
+        found = np.flatnonzero(score > 0)
+        if len(found) > 4 * FIRST:  # a window takes few: the best are sorted alone
+            least = np.partition(score[found], len(found) - FIRST)[len(found) - FIRST]
+            best = found[score[found] >= least]
+            yield from best[np.argsort(-score[best], kind="stable")].tolist()
+            found = found[score[found] < least]
+        yield from found[np.argsort(-score[found], kind="stable")].tolist()
 
 
 class Packer:
@@ -238,9 +233,10 @@ class Packer:
             if self.used == self.window:
                 self.sequence, self.used = self.sequence + 1, 0
 
-    def block(self, ids: list, sizes: list[int], index: Index) -> Iterator[tuple[int, int, int, int, int]]:
+    def block(self, ids: list, sizes: list[int], terms: list[np.ndarray], weights: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, start, length, sequence, offset): every token of the block once."""
-        unused = np.ones(len(sizes), bool)
+        unused, index = np.ones(len(sizes), bool), Index(terms, weights)
+        member, place = np.arange(len(sizes)), np.arange(len(sizes))  # indexed documents, and where each stands in the index
         order = iter(range(len(sizes)))
         seed = None
         while True:
@@ -254,7 +250,12 @@ class Packer:
             query, seed = seed, None
             if self.used == 0:
                 continue
-            for i in index.neighbours(query, unused).tolist():
+            if 2 * (unused[member].sum() + 1) < len(member) and len(member) > 4 * FIRST:  # index what is left
+                member = np.flatnonzero(unused)
+                member = np.unique(np.append(member, query))
+                place[member] = np.arange(len(member))
+                index = Index([terms[i] for i in member], [weights[i] for i in member])
+            for i in map(member.item, index.neighbours(place[query], unused[member])):
                 if ids[i] == ids[query]:
                     continue  # another row of the same document goes elsewhere
                 unused[i] = False
@@ -269,12 +270,12 @@ class Packer:
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
-def _packed(window: int, wide: bool, shared, mean_words: float, block_tokens: int, block_docs: int):
+def _packed(window: int, wide: bool, shared_idf, mean_words: float, block_tokens: int, block_docs: int):
     """Sequences of each task, from rows sorted by shard and key; ids as little-endian unsigned 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back_memory()
         packer, unpack = Packer(TaskContext.get().partitionId() << 32, window), zstandard.ZstdDecompressor()
-        idf = shared.value[0]
+        idf = shared_idf.value
         rows: list[tuple] = []
         tokens = 0
         for batch in batches:
@@ -295,9 +296,9 @@ def _block(packer: Packer, unpack, rows: list[tuple], wide: bool) -> Iterator[pa
         return
     ids, sizes, blobs, terms, weights = zip(*rows, strict=True)
     out, held = [], (None, None)
-    for i, start, length, sequence, offset in packer.block(list(ids), list(sizes), Index(list(terms), list(weights))):
+    for i, start, length, sequence, offset in packer.block(list(ids), list(sizes), list(terms), list(weights)):
         if held[0] != i:
-            held = (i, np.frombuffer(unpack.decompress(blobs[i]), np.uint32 if wide else np.uint16))
+            held = (i, unpacked_ids(unpack, blobs[i], wide))
         piece = held[1][start:start + length].astype("<u4").tobytes()
         out.append((ids[i], start, length, piece, sizes[i], sequence, offset))
         if len(out) >= 512:
@@ -320,26 +321,12 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, block_t
     last sequence is shorter than the window. An empty table gives an empty result.
     Texts are read once; their packed ids and terms are stored, and shuffled once to the shard of their home.
     """
-    spark = docs.sparkSession
     path = path or tokenizer_path(DEFAULT_TOKENIZER)
-    docs = pick(docs).withColumn("cls", F.xxhash64("doc_id", "text"))
-    rows, shared, mean_words, plan, shards = homes(docs, path, block_tokens)
-    rows = rows.mapInArrow(_homed(shared, plan, mean_words), HOMED)
-    rows = rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "key", "doc_id", "cls")
+    tokens = Tokens(pick(docs).withColumn("cls", F.xxhash64("doc_id", "text")), path, block_tokens)
+    rows = tokens.sharded().repartitionById(tokens.shards, F.col("shard")).sortWithinPartitions("shard", "key", "doc_id", "cls")
     wide = counter(path).dtype == np.uint32
     # A shard may be somewhat larger than planned: up to half as much again stays one block.
-    return rows.mapInArrow(_packed(window, wide, shared, mean_words, block_tokens * 3 // 2, BLOCK_DOCS), PIECE_SCHEMA)
-
-
-def homes(docs: DataFrame, path: str, block_tokens: int = BLOCK_TOKENS):
-    """Stored tokenised rows, broadcast term weights, words a document, broadcast plan of the shards and their number."""
-    spark = docs.sparkSession
-    rows, df, n_docs, mean_words = tokenized(docs, path)
-    shared = spark.sparkContext.broadcast((inverse_frequency(df.astype(np.float64), n_docs).astype(np.float32),))
-    light = rows.select("cls", "n", "words", "terms")
-    bins = merged(light.mapInArrow(_bin_batches(shared, mean_words), "part int, counts binary"), np.add, "u8", 1 << BIN_BITS)
-    first, many = plan_shards(bins.astype(np.int64), block_tokens)
-    return rows, shared, mean_words, spark.sparkContext.broadcast((first, many)), int((first + many).max())
+    return rows.mapInArrow(_packed(window, wide, tokens.idf, tokens.mean_words, block_tokens * 3 // 2, BLOCK_DOCS), PIECE_SCHEMA)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

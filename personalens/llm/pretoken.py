@@ -196,15 +196,15 @@ class PieceCounter:
         total = np.bincount(doc, size, len(texts)).astype(np.int64)
         return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start
 
-    def encode_ended(self, texts: list[str], end_id: int, long: int = 0):
+    def encode_ended(self, texts: list[str], end_id: int):
         """(ids of all texts in a row with end_id after each, where each text's begin, then of every
-        pre-token its hash, its text's index and whether it has at least `long` code points)."""
+        pre-token its hash, its text's index and its length in code points)."""
         flat, begin, hashes, doc, length = self.encode(texts)
         k = np.arange(len(texts))
         out = np.empty(len(flat) + len(texts), self.ids.dtype)
         out[np.arange(len(flat)) + np.repeat(k, np.diff(begin))] = flat
         out[begin[1:] + k] = end_id
-        return out, begin + np.append(k, len(texts)), hashes, doc, length >= long
+        return out, begin + np.append(k, len(texts)), hashes, doc, length
 
 
 @lru_cache(2)

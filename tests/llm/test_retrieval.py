@@ -49,18 +49,18 @@ def recall(found, scores):
 
 def found_in_blocks(docs, block_tokens):
     """Best neighbour of every row in the shard it is packed in, and the number of shards."""
-    rows, shared, mean, plan, _ = packing.homes(docs, pretoken.tokenizer_path(), block_tokens)
-    homed = sorted(rows.mapInArrow(packing._homed(shared, plan, mean), packing.HOMED).collect(), key=lambda r: (r.shard, r.key, r.doc_id))
+    tokens = packing.Tokens(docs, pretoken.tokenizer_path(), block_tokens)
+    homed = sorted(tokens.sharded().collect(), key=lambda r: (r.shard, r.key, r.doc_id))
     unpack, near = zstandard.ZstdDecompressor(), {}
     shards = {r.shard for r in homed}
     for shard in shards:
         block = [r for r in homed if r.shard == shard]
-        terms, weights = zip(*(packing.unpacked_terms(unpack, r.terms, r.words, shared.value[0], mean) for r in block), strict=True)
+        terms, weights = zip(*(packing.unpacked_terms(unpack, r.terms, r.words, tokens.idf.value, tokens.mean_words) for r in block), strict=True)
         index = packing.Index(list(terms), list(weights))
         for i, r in enumerate(block):
             others = np.array([x.cls != r.cls for x in block])
-            order = index.neighbours(i, others)
-            near[r.cls] = block[order[0]].cls if len(order) else None
+            best = next(index.neighbours(i, others), None)
+            near[r.cls] = None if best is None else block[best].cls
     return near, len(shards)
 
 
@@ -85,8 +85,7 @@ def test_neighbours_are_those_of_brute_force_bm25(spark):
 def test_copies_share_a_home_and_blocks_are_bounded(spark):
     texts = [f"alpha{i % 5} beta gamma{i % 5} delta epsilon{i % 5}" for i in range(50)] + [""] * 40
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("cls", F.xxhash64("doc_id", "text"))
-    rows, shared, mean, plan, _ = packing.homes(docs, pretoken.tokenizer_path())
-    key = {r.doc_id: r.key for r in rows.mapInArrow(packing._homed(shared, plan, mean), packing.HOMED).collect()}
+    key = {r.doc_id: r.key for r in packing.Tokens(docs, pretoken.tokenizer_path(), packing.BLOCK_TOKENS).rows.collect()}
     assert all(key[i] == key[i % 5] for i in range(50)) and len({key[i] for i in range(50, 90)}) == 40
 
 

@@ -75,10 +75,11 @@ def test_packing_covers_every_token_once(spark):
 
 def test_index_returns_the_best_unused_neighbour():
     terms = [np.array(t) for t in ([1, 2, 3], [1], [2, 3], [9])]
-    index = packing.Index(terms, [np.ones(len(t)) for t in terms])
+    weights = [np.ones(len(t), np.float32) for t in terms]
+    index = packing.Index(terms, weights)
     unused = np.array([False, True, True, True])
-    assert index.neighbours(0, unused).tolist() == [2, 1]
-    got = list(packing.Packer(0, 8).block([0, 1, 2, 3], [4, 3, 6, 2], index))
+    assert list(index.neighbours(0, unused)) == [2, 1]
+    got = list(packing.Packer(0, 8).block([0, 1, 2, 3], [4, 3, 6, 2], terms, weights))
     assert got == [(0, 0, 4, 0, 0), (2, 0, 4, 0, 4), (2, 4, 2, 1, 0), (1, 0, 3, 1, 2), (3, 0, 2, 1, 5)]
     assert [x[0] for x in got[:2]] == [0, 2]
 
