@@ -18,12 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from personalens.llm.common import merged, read_table, split_parts, stored
+from personalens.llm.common import merged, mix64, read_table, split_parts, stored
 
 DEPTH = 3
 SUPPORT, COVERED, TOP = 10, 50, 2000
@@ -34,8 +35,8 @@ SHARD_WORDS = 1 << 21
 BITMAP_BITS = 25
 #: Index entries that are extended at once.
 ENTRIES = 1 << 17
-#: Rows handed on at once.
-ROWS = 20_000
+#: Buckets of phrases a shuffle partition.
+BUCKETS = 16
 CUT = b"\xff"  # no byte of UTF-8: stands between pieces
 _PLAIN = bytearray(range(256))
 for _upper in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ":
@@ -84,14 +85,17 @@ def _shard_batches(size: int):
 
 
 def _shard(lang: str, ids: _Ids, parts: list) -> pa.RecordBatch:
-    seq = np.concatenate(parts)
+    del ids[CUT]
+    words = sorted(ids)  # ids in order of the words, so that phrases come out sorted
+    number = np.zeros(len(words) + 1, np.int32)
+    number[np.fromiter(map(ids.__getitem__, words), np.int64, len(words))] = np.arange(1, len(words) + 1)
+    seq = number[np.concatenate(parts)]
     seq = seq[np.concatenate(([True], (seq[1:] > 0) | (seq[:-1] > 0)))]  # one cut is as good as several
     following, preceding = transforms(seq)
     pack = zstandard.ZstdCompressor(1).compress
-    del ids[CUT]
     return pa.RecordBatch.from_arrays([
         pa.array([lang], pa.string()), pa.array([int((seq > 0).sum())], pa.int64()),
-        pa.array([pack(b" ".join(ids))], pa.binary()), pa.array([pack(following.tobytes())], pa.binary()),
+        pa.array([pack(b" ".join(words))], pa.binary()), pa.array([pack(following.tobytes())], pa.binary()),
         pa.array([pack(preceding.tobytes())], pa.binary())], names=[f.split()[0] for f in SHARDS.split(", ")])
 
 
@@ -164,11 +168,19 @@ class Index:
         return longer, both[0][keep], both[1][keep], size[keep], parent[keep]
 
 
-def places(lang: str, phrases: list[bytes]) -> np.ndarray:
-    """Where phrases of a language stand in a bitmap."""
+def word_codes(lang: str, words: list[bytes]) -> np.ndarray:
+    """64-bit codes of the words of a language."""
     seed = xxhash.xxh64_intdigest(lang.encode()) & 0x7FFFFFFF
     digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(p, seed) for p in phrases), np.uint64, len(phrases)) >> np.uint64(64 - BITMAP_BITS)
+    return np.fromiter((digest(w, seed) for w in words), np.uint64, len(words))
+
+
+def phrase_codes(codes: np.ndarray) -> np.ndarray:
+    """Code of each phrase from the codes of its words, one column a word; says where it stands in a bitmap and in which bucket."""
+    out = np.zeros(len(codes), np.uint64)
+    for column in codes.T:
+        out = mix64(out ^ column)
+    return out
 
 
 def bitmap(frequent: DataFrame) -> np.ndarray:
@@ -181,27 +193,74 @@ def bitmap(frequent: DataFrame) -> np.ndarray:
             for lang, phrase in zip(langs, phrases, strict=True):
                 by_lang.setdefault(lang, []).append(phrase)
             for lang, some in by_lang.items():
-                bits[places(lang, some).astype(np.int64)] = True
+                parts = [p.split(b" ") for p in some]
+                bits[_place(phrase_codes(word_codes(lang, [w for p in parts for w in p]).reshape(len(some), -1)))] = True
         yield from split_parts(np.packbits(bits), ["part", "counts"])
 
     return merged(frequent.mapInArrow(run, "part int, counts binary"), np.bitwise_or, "u1", 1 << BITMAP_BITS - 3)
 
 
-def _has(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
-    place = place.astype(np.int64)
+def _place(codes: np.ndarray) -> np.ndarray:
+    return (codes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _has(bits: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    place = _place(codes)
     return bits[place >> 3] >> (7 - (place & 7)) & 1 == 1
 
 
-COUNTS = "lang string, phrase string, f long"
+PACKED = "lang string, bucket int, phrases binary, counts binary"
 
 
-def _count_batches(depth: int, maps):
-    """(lang, phrase, f) of the phrases of `depth` words in each shard whose parts may have the support; maps: bitmaps by depth."""
+def _count_batches(depth: int, maps, buckets: int):
+    """Phrases of `depth` words in each shard whose parts may have the support, with their counts, packed by bucket; maps: bitmaps by depth."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):  # one shard at a time
                 lang, words, following, preceding = (batch.column(c)[i].as_py() for c in ("lang", "words", "following", "preceding"))
-                yield from _of_shard(Index(words, following, preceding), lang, depth, maps)
+                index = Index(words, following, preceding)
+                codes = np.concatenate((np.zeros(1, np.uint64), word_codes(lang, index.words[1:])))
+                phrases, counts = _of_shard(index, codes, depth, maps)
+                if len(counts):
+                    yield from _pack(index, lang, phrases, counts, (phrase_codes(codes[phrases]) % np.uint64(buckets)).astype(np.int32))
+    return run
+
+
+def _pack(index: Index, lang: str, phrases: np.ndarray, counts: np.ndarray, bucket: np.ndarray) -> Iterator[pa.RecordBatch]:
+    pack, order = zstandard.ZstdCompressor(1).compress, np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    for a in range(0, len(cut) - 1, 256):
+        spans = [order[x:y] for x, y in zip(cut[a:a + 256], cut[a + 1:a + 257], strict=False)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([lang] * len(spans), pa.string()), pa.array(bucket[cut[a:a + len(spans)]], pa.int32()),
+            pa.array([pack(b"\n".join(_texts(index, phrases[x]))) for x in spans], pa.binary()),
+            pa.array([pack(counts[x].astype("<i4").tobytes()) for x in spans], pa.binary())], names=["lang", "bucket", "phrases", "counts"])
+
+
+def _summed(support: int):
+    """(lang, phrase, f) of the phrases that occur at least `support` times, from packed rows sorted by language and bucket."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, held, texts, counts = zstandard.ZstdDecompressor().decompress, None, [], []
+
+        def total() -> pa.RecordBatch:
+            table = pa.table({"phrase": pa.array([p for t in texts for p in t.split(b"\n")], pa.binary()), "f": np.concatenate(counts)})
+            table = table.group_by("phrase").aggregate([("f", "sum")])
+            table = table.filter(pc.greater_equal(table["f_sum"], support))
+            return pa.RecordBatch.from_arrays([
+                pa.array([held[0]] * len(table), pa.string()), pa.array(table["phrase"].to_pylist(), pa.binary()).cast(pa.string()),
+                pa.array(table["f_sum"].to_numpy(), pa.int64())], names=["lang", "phrase", "f"])
+
+        for batch in batches:
+            for lang, bucket, phrases, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "bucket", "phrases", "counts")), strict=True):
+                if held != (lang, bucket):
+                    if held:
+                        yield total()
+                    held, texts, counts = (lang, bucket), [], []
+                texts.append(unpack(phrases))
+                counts.append(np.frombuffer(unpack(n), "<i4").astype(np.int64))
+        if held:
+            yield total()
     return run
 
 
@@ -212,29 +271,36 @@ def _blocks(level: tuple) -> Iterator[tuple]:
         yield tuple(x[a:b] for x in level)
 
 
-def _of_shard(index: Index, lang: str, depth: int, maps) -> Iterator[pa.RecordBatch]:
+def _of_shard(index: Index, codes: np.ndarray, depth: int, maps) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases (a column a word) and their counts."""
+    level = index.single()
     if depth == 1:
-        yield from _emit(index, lang, index.single())
-        return
-    common = np.concatenate(([False], _has(maps.value[1], places(lang, index.words[1:]))))  # by word id
-    level = tuple(x[common[1:]] for x in index.single())
+        return level[0], level[3]
+    common = _has(maps.value[1], phrase_codes(codes[:, None]))  # by word id
+    common[0] = False
     kept = []
-    for block in _blocks(level):
+    for block in _blocks(_where(level, common[1:])):
         *longer, _ = index.extend("after", *block)
         longer = _where(longer, common[longer[0][:, 1]])
-        if depth == 2:
-            yield from _emit(index, lang, longer)
-        else:
-            kept.append(_where(longer, _has(maps.value[2], places(lang, _texts(index, longer[0])))))
+        if depth > 2:
+            longer = _where(longer, _has(maps.value[2], phrase_codes(codes[longer[0]])))
+        kept.append((longer[0].astype(np.int32), *longer[1:]))
     if depth == 2 or not kept:
-        return
+        return _joined([(x[0], x[3]) for x in kept], depth)
     level = tuple(np.concatenate(x) for x in zip(*kept, strict=True))
-    pair = np.sort(_code(index, level[0]))
+    pair, kept = np.sort(_code(index, level[0])), []
     for block in _blocks(level):
         *longer, _ = index.extend("after", *block)
         tail = _code(index, longer[0][:, 1:])
         at = np.minimum(np.searchsorted(pair, tail), len(pair) - 1)
-        yield from _emit(index, lang, _where(longer, pair[at] == tail))
+        longer = _where(longer, pair[at] == tail)
+        kept.append((longer[0].astype(np.int32), longer[3]))
+    return _joined(kept, depth)
+
+
+def _joined(parts: list[tuple], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    none = (np.zeros((0, depth), np.int32), np.zeros(0, np.int64))
+    return tuple(np.concatenate(x) for x in zip(none, *parts, strict=True))
 
 
 def _where(level, keep: np.ndarray) -> tuple:
@@ -245,14 +311,6 @@ def _code(index: Index, pairs: np.ndarray) -> np.ndarray:
     return pairs[:, 0].astype(np.int64) * len(index.words) + pairs[:, 1]
 
 
-def _emit(index: Index, lang: str, level: tuple) -> Iterator[pa.RecordBatch]:
-    phrases, count = level[0], level[3]
-    for a in range(0, len(count), ROWS):
-        part = phrases[a:a + ROWS]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(_texts(index, part), pa.binary()).cast(pa.string()),
-                                          pa.array(count[a:a + ROWS], pa.int64())], names=["lang", "phrase", "f"])
-
-
 def _texts(index: Index, phrases: np.ndarray) -> list[bytes]:
     words = index.words
     if phrases.shape[1] == 1:
@@ -273,10 +331,10 @@ def phrase_counts(shards: DataFrame, support: int = SUPPORT) -> dict[int, DataFr
     out, maps = {}, {}
     for depth in range(1, DEPTH + 1):
         shared = spark.sparkContext.broadcast(dict(maps))
-        counts = shards.mapInArrow(_count_batches(depth, shared), COUNTS)
-        # Phrases are distinct within a shard: shuffled first, so that nothing is gathered twice.
-        total = counts.repartition(n, "lang", "phrase").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-        out[depth] = stored(total.where(F.col("f") >= support), f"phrases{depth}")
+        counts = shards.mapInArrow(_count_batches(depth, shared, BUCKETS * n), PACKED)
+        # A task sums one bucket after the other, so it holds a small part of what it gets.
+        counts = counts.repartition(n, "lang", "bucket").sortWithinPartitions("lang", "bucket")
+        out[depth] = stored(counts.mapInArrow(_summed(support), "lang string, phrase string, f long"), f"phrases{depth}")
         if depth < DEPTH:
             maps[depth] = bitmap(out[depth])
     return out
