@@ -35,8 +35,8 @@ SHARD_WORDS = 1 << 21
 BITMAP_BITS = 25
 #: Index entries that are extended at once.
 ENTRIES = 1 << 17
-#: Buckets of phrases a shuffle partition.
-BUCKETS = 16
+#: Words of text for each bucket of phrases; a task sums one bucket at a time.
+BUCKET_WORDS = 1 << 18
 CUT = b"\xff"  # no byte of UTF-8: stands between pieces
 _PLAIN = bytearray(range(256))
 for _upper in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ":
@@ -329,9 +329,10 @@ def phrase_counts(shards: DataFrame, support: int = SUPPORT) -> dict[int, DataFr
     spark = shards.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out, maps = {}, {}
+    buckets = int(shards.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS + 1
     for depth in range(1, DEPTH + 1):
         shared = spark.sparkContext.broadcast(dict(maps))
-        counts = shards.mapInArrow(_count_batches(depth, shared, BUCKETS * n), PACKED)
+        counts = shards.mapInArrow(_count_batches(depth, shared, buckets), PACKED)
         # A task sums one bucket after the other, so it holds a small part of what it gets.
         counts = counts.repartition(n, "lang", "bucket").sortWithinPartitions("lang", "bucket")
         out[depth] = stored(counts.mapInArrow(_summed(support), "lang string, phrase string, f long"), f"phrases{depth}")

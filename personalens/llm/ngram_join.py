@@ -492,12 +492,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "cls")).alias("first")
     kept = found.where("cls IS NOT NULL").groupBy("root").agg(first).select(
         F.col("first.doc_id").alias("kept_id"), F.col("first.cls").alias("kept_cls"))
-    rows = _with_class(docs, "_class")
-    same = (rows["_class"] == kept["kept_cls"]) & rows["doc_id"].eqNullSafe(kept["kept_id"])
-    empty = rows.where("_class IS NULL")
-    out = rows.join(kept, same, "left_semi").dropDuplicates(["_class"])
+    name = "cls"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    rows = _with_class(docs, name)
+    same = (rows[name] == kept["kept_cls"]) & rows["doc_id"].eqNullSafe(kept["kept_id"])
+    empty = rows.where(rows[name].isNull())
+    out = rows.join(kept, same, "left_semi").dropDuplicates([name])
     out = out.unionByName(empty.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).unionByName(empty.where("doc_id IS NULL"))
-    return out.drop("_class")
+    return out.drop(name)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
