@@ -23,8 +23,28 @@ def _key(*parts):
 def test_review_ranking_is_sorted_when_asked(spark):
     wh = Warehouse.from_driver_tables(spark, SF_SMALL)
     rows = reports.review_ranking(wh.review_persona_attributes, wh.ad_accounts, sort=True).collect()
-    assert len(rows) > 10 and rows == sorted(rows, key=_key(("ad_account_id", False), ("review_count", True), ("persona_name", False))) or \
-        [(r.ad_account_id, r.review_count) for r in rows] == sorted(((r.ad_account_id, r.review_count) for r in rows), key=lambda x: (x[0], -x[1]))
+    assert len(rows) > 10 and rows == sorted(rows, key=_key(("ad_account_id", False), ("review_count", True), ("persona_name", False)))
+
+
+def test_opportunity_index_is_sorted_when_asked(spark):
+    wh = Warehouse.from_driver_tables(spark, SF_SMALL)
+    rows = reports.opportunity_index(wh.review_persona_attributes, wh.ad_performance, sort=True).collect()
+    key = _key(("opportunity_index", True), ("review_count", True))
+    assert len(rows) > 10 and [key(r) for r in rows] == sorted(key(r) for r in rows)
+
+
+def test_ad_performance_is_sorted_when_asked(spark):
+    wh = Warehouse.from_driver_tables(spark, SF_SMALL)
+    rows = reports.persona_ad_performance(wh.ad_personas_from_review_analysis, wh.ads_meta, wh.insights, sort=True).collect()
+    key = _key(("total_ad_spend", True))
+    assert len(rows) > 10 and [key(r) for r in rows] == sorted(key(r) for r in rows)
+
+
+def test_gap_analysis_is_sorted_when_asked(spark):
+    wh = Warehouse.from_driver_tables(spark, SF_SMALL)
+    rows = gaps.persona_gap_analysis(wh.review_persona_attributes, wh.scorecard, wh.ad_accounts, wh.as_of, sort=True).collect()
+    key = _key(("priority_rank", False), ("priority_score", True), ("review_count", True))
+    assert len(rows) > 10 and [key(r) for r in rows] == sorted(key(r) for r in rows)
 
 
 def test_cross_system_is_sorted_by_rank_when_asked(spark):
