@@ -1,6 +1,7 @@
 """Packing by lexical retrieval (operator 9).
 
-Texts are tokenised once, into a stored table of ids and words. Each document has
+Texts are tokenised once, into a stored table of ids and the places where words (pre-tokens)
+start among them; a word is known by its ids. Each document has
 a home: the least hash over its words, weighted towards long words, which are rare, so that
 documents with such words in common tend to share it. Homes in order are cut
 into shards of about BLOCK_TOKENS. Each shard has a BM25 inverted index over all words of all
@@ -19,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personalens.llm.common import give_back_memory, merged, mix64, pick, read_table, split_parts, stored
+from personalens.llm.common import give_back_memory, merged, mix64, pick, read_table, span_hashes, split_parts, stored
 from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, text_chunks, tokenizer_path
 
 WINDOW, END_ID = 2048, 1
@@ -76,30 +77,34 @@ def plan_shards(bins: np.ndarray, size: int = BLOCK_TOKENS) -> tuple[np.ndarray,
     return first, many
 
 
-def packed_terms(pack, d: np.ndarray, term: np.ndarray, tf: np.ndarray, n_docs: int) -> list[bytes]:
-    """Of each document all its terms (as differences) and their frequencies; first bytes, then second bytes and so on."""
-    cut = np.searchsorted(d, np.arange(n_docs + 1))
-    step = np.diff(term, prepend=0)
-    filled = cut[:-1][cut[:-1] < cut[1:]]
-    step[filled] = term[filled]
-    step, tf = step.astype("<u4"), tf.astype("<u4")
-    planes = lambda *v: np.concatenate(v).view(np.uint8).reshape(-1, 4).T.tobytes()
-    return [pack.compress(planes(step[x:y], tf[x:y])) for x, y in zip(cut[:-1], cut[1:], strict=True)]
+def word_hashes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of every word from its ids; starts marks where words and end ids (at `ends`) stand among the ids of several documents."""
+    first = np.flatnonzero(starts)
+    codes = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64))[ids] if ids.itemsize == 2 else mix64(ids.astype(np.uint64) + np.uint64(1))
+    is_word = np.ones(len(ids), bool)
+    is_word[ends] = False
+    is_word = is_word[first]
+    return span_hashes(codes, first[is_word], np.append(first[1:], len(ids))[is_word])
 
 
-def unpacked_terms(unpack, blob: bytes, words: int, idf: np.ndarray, mean_words: float) -> tuple[np.ndarray, np.ndarray]:
-    """A document's terms and their BM25 weights."""
-    planes = np.frombuffer(unpack.decompress(blob), np.uint8).reshape(4, -1)
-    step, tf = np.ascontiguousarray(planes.T).view("<u4").reshape(2, -1)
-    term = np.cumsum(step, dtype=np.int64)
-    return term, (idf[term >> TERM_BITS - DF_BITS] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * words / max(mean_words, 1.0)))).astype(np.float32)
+def weighted_terms(ids: list[np.ndarray], starts: list[bytes], idf: np.ndarray, mean_words: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each document its terms, ascending, and their BM25 weights."""
+    n = np.fromiter(map(len, ids), np.int64, len(ids))
+    marks = [np.unpackbits(np.frombuffer(m, np.uint8), count=k) for m, k in zip(starts, n.tolist(), strict=True)]
+    words = np.fromiter((np.count_nonzero(m) for m in marks), np.int64, len(ids)) - 1  # the end id is none
+    hashes = word_hashes(np.concatenate(ids), np.concatenate(marks), np.cumsum(n) - 1)
+    d, term, tf = doc_terms(hashes, np.repeat(np.arange(len(ids)), words))
+    damp = K1 * (1 - B + B * words / max(mean_words, 1.0))
+    weight = (idf[term >> TERM_BITS - DF_BITS] * tf * (K1 + 1) / (tf + damp[d])).astype(np.float32)
+    cut = np.searchsorted(d, np.arange(1, len(ids)))
+    return np.split(term.astype(np.int32), cut), np.split(weight, cut)
 
 
 def inverse_frequency(df: np.ndarray, n_docs: int) -> np.ndarray:
     return np.log1p((n_docs - df + 0.5) / (df + 0.5))
 
 
-TOKENIZED = "cls long, doc_id long, n long, ids binary, words long, terms binary, key long, part int, counts binary"
+TOKENIZED = "cls long, doc_id long, n long, ids binary, starts binary, words long, key long, part int, counts binary"
 
 
 def packed_ids(pack, ids: np.ndarray) -> bytes:
@@ -113,8 +118,8 @@ def unpacked_ids(unpack, blob: bytes, wide: bool) -> np.ndarray:
 
 
 def _tokenized(path: str):
-    """Of each document its ids with the end id, its terms and its home; at the end, parts of the documents by term and of the tokens by home."""
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
+    """Of each document its ids with the end id, where words start and its home; at the end, parts of the documents by term and of the tokens by home."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
     names = [f.split()[0] for f in TOKENIZED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,18 +130,22 @@ def _tokenized(path: str):
             classes = batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64)
             _, texts = _texts(batch)
             for a, b in text_chunks(texts):
-                flat, begin, hashes, doc, length = c.encode_ended(texts[a:b], END_ID)
-                d, term, tf = doc_terms(hashes, doc)
+                flat, begin, hashes, doc, length, size = c.encode_ended(texts[a:b], END_ID)
+                starts = np.zeros(len(flat), bool)
+                starts[(np.cumsum(size) - size + doc)[size > 0]] = True
+                starts[begin[1:] - 1] = True
+                d, term, _ = doc_terms(word_hashes(flat, starts, begin[1:] - 1), doc[size > 0])
                 cell = d << DF_BITS | term >> TERM_BITS - DF_BITS
                 new = np.flatnonzero(np.diff(cell, prepend=-1))  # words of one cell are one word of a document
                 np.add.at(df, cell[new] & (1 << DF_BITS) - 1, np.uint64(1))
                 key, n = home_keys(hashes, doc, length, classes[a:b]), np.diff(begin)
                 bins += np.bincount((key >> np.uint64(64 - BIN_BITS)).astype(np.int64), n, len(bins)).astype(np.uint64)
-                blobs = [packed_ids(pack, flat[begin[i]:begin[i + 1]]) for i in range(b - a)]
+                cut = list(zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(classes[a:b]), batch.column("doc_id").slice(a, b - a), pa.array(n), pa.array(blobs, pa.binary()),
-                    pa.array(np.bincount(doc, minlength=b - a)), pa.array(packed_terms(pack, d, term, tf, b - a), pa.binary()),
-                    pa.array(key.view(np.int64)), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())], names=names)
+                    pa.array(classes[a:b]), batch.column("doc_id").slice(a, b - a), pa.array(n),
+                    pa.array([packed_ids(pack, flat[x:y]) for x, y in cut], pa.binary()),
+                    pa.array([np.packbits(starts[x:y]).tobytes() for x, y in cut], pa.binary()),
+                    pa.array(np.bincount(doc[size > 0], minlength=b - a)), pa.array(key.view(np.int64)), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())], names=names)
         for part in split_parts(np.concatenate([df, bins]), ["part", "counts"]):
             yield pa.RecordBatch.from_arrays([*(pa.nulls(part.num_rows, t) for t in types), *part.columns], names=names)
         c.forget()  # a worker outlives its task
@@ -176,34 +185,40 @@ class Index:
     """Inverted index of one block: postings by term, with BM25 weights."""
 
     def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
-        self.terms = terms
-        doc = np.repeat(np.arange(len(terms)), [len(t) for t in terms])
+        self.size = len(terms)
+        self.begin = np.concatenate(([0], np.cumsum([len(t) for t in terms], dtype=np.int64)))
         term = np.concatenate(terms) if terms else np.zeros(0, np.int32)
         weight = np.concatenate(weights) if weights else np.zeros(0, np.float32)
-        order = np.argsort(term, kind="stable")
-        term, doc, weight = term[order], doc[order], weight[order]
-        word, start, df = np.unique(term, return_index=True, return_counts=True)
-        frequent = df * DENSE >= len(terms)
-        row = np.cumsum(frequent) - 1
-        at = np.searchsorted(word, term)
-        common = frequent[at] if len(word) else np.zeros(0, bool)
-        self.dense = np.zeros((int(frequent.sum()), len(terms)), np.float32)
-        self.dense[row[at[common]], doc[common]] = weight[common]
-        self.word, self.frequent, self.row, self.start, self.df = word, frequent, row, start, df
-        self.doc, self.weight = doc, weight
+        code = term.astype(np.int64) << 32 | np.arange(len(term))  # sorted by term, then document
+        code.sort()
+        order = code & 0xFFFFFFFF
+        first = np.flatnonzero(np.diff(code >> 32, prepend=-1))
+        self.start, self.end = first, np.append(first[1:], len(term))
+        self.df = self.end - self.start
+        self.doc = np.repeat(np.arange(len(terms)), np.diff(self.begin))[order]
+        self.weight = weight[order].astype(np.float64)
+        word = np.repeat(np.arange(len(first), dtype=np.int32), self.df)
+        self.word = np.empty(len(term), np.int32)  # of each document's terms, in its order, the number of the word
+        self.word[order] = word
+        self.frequent = self.df * DENSE >= len(terms)
+        self.row = np.cumsum(self.frequent) - 1
+        common = self.frequent[word] if len(word) else np.zeros(0, bool)
+        self.dense = np.zeros((int(self.frequent.sum()), len(terms)), np.float32)
+        self.dense[self.row[word[common]], self.doc[common]] = self.weight[common]
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 score of every document by all words of the seed."""
-        q = np.searchsorted(self.word, self.terms[seed])  # the seed is in the index, so its words are
+        """BM25 score of every other document by all words of the seed."""
+        q = self.word[self.begin[seed]:self.begin[seed + 1]]
         dense = self.frequent[q]
         chosen = np.zeros(len(self.dense), np.float32)
         chosen[self.row[q[dense]]] = 1
         score = chosen @ self.dense
         rare = q[~dense]
-        df = self.df[rare]
-        if df.sum():
-            at = np.repeat(self.start[rare] - np.cumsum(df) + df, df) + np.arange(df.sum())
-            score += np.bincount(self.doc[at], self.weight[at], len(self.terms)).astype(np.float32)
+        rare = rare[self.df[rare] > 1]  # the others are the seed's alone
+        if len(rare):
+            spans = list(zip(self.start[rare].tolist(), self.end[rare].tolist(), strict=True))
+            doc, weight = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.doc, self.weight))
+            score += np.bincount(doc, weight, self.size).astype(np.float32)
         return score
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
@@ -250,7 +265,7 @@ class Packer:
             query, seed = seed, None
             if self.used == 0:
                 continue
-            if 2 * (unused[member].sum() + 1) < len(member) and len(member) > 4 * FIRST:  # index what is left
+            if 3 * (unused[member].sum() + 1) < 2 * len(member) and len(member) > 4 * FIRST:  # index what is left
                 member = np.flatnonzero(unused)
                 member = np.unique(np.append(member, query))
                 place[member] = np.arange(len(member))
@@ -270,6 +285,18 @@ class Packer:
 PIECE_SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def size_chunks(sizes: list[int], limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Index ranges of consecutive documents of about `limit` ids."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > limit:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
 def _packed(window: int, wide: bool, shared_idf, mean_words: float, block_tokens: int, block_docs: int):
     """Sequences of each task, from rows sorted by shard and key; ids as little-endian unsigned 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,12 +306,15 @@ def _packed(window: int, wide: bool, shared_idf, mean_words: float, block_tokens
         rows: list[tuple] = []
         tokens = 0
         for batch in batches:
-            for doc_id, n, blob, words, terms in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "words", "terms")), strict=True):
-                rows.append((doc_id, n, blob, *unpacked_terms(unpack, terms, words, idf, mean_words)))
-                tokens += n
-                if tokens >= block_tokens or len(rows) >= block_docs:
-                    yield from _block(packer, unpack, rows, wide)
-                    rows, tokens = [], 0
+            doc_ids, sizes, blobs, starts = (batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "starts"))
+            for x, y in size_chunks(sizes):
+                terms, weights = weighted_terms([unpacked_ids(unpack, b, wide) for b in blobs[x:y]], starts[x:y], idf, mean_words)
+                for row in zip(doc_ids[x:y], sizes[x:y], blobs[x:y], terms, weights, strict=True):
+                    rows.append(row)
+                    tokens += row[1]
+                    if tokens >= block_tokens or len(rows) >= block_docs:
+                        yield from _block(packer, unpack, rows, wide)
+                        rows, tokens = [], 0
         yield from _block(packer, unpack, rows, wide)
         rows.clear()
         give_back_memory()
@@ -319,7 +349,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, block_t
 
     Null counts as empty text, which has the end id alone. Repeated rows are packed each. Only a task's
     last sequence is shorter than the window. An empty table gives an empty result.
-    Texts are read once; their packed ids and terms are stored, and shuffled once to the shard of their home.
+    Texts are read once; their packed ids and word starts are stored, and shuffled once to the shard of their home.
     """
     path = path or tokenizer_path(DEFAULT_TOKENIZER)
     tokens = Tokens(pick(docs).withColumn("cls", F.xxhash64("doc_id", "text")), path, block_tokens)

@@ -44,6 +44,12 @@ def code_classes() -> np.ndarray:
     return c
 
 
+@lru_cache(1)
+def code_hashes() -> np.ndarray:
+    """The 64-bit code by which every code point enters a hash."""
+    return mix64(np.arange(1, 0x110001, dtype=np.uint64))
+
+
 def contraction_ends(code: np.ndarray, at: np.ndarray, limit: np.ndarray) -> np.ndarray:
     """Length of the contraction ('s 't 'm 'd 're 've 'll) that starts at each apostrophe, or 0. limit: where its text ends."""
     pad = np.concatenate([code, np.zeros(3, code.dtype)])
@@ -109,11 +115,17 @@ class PieceCounter:
         self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
         self.first, self.size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
 
-    def pieces(self, pretoken: str) -> list[int]:
-        """Ids of one pre-token, by the library's merges."""
-        if pretoken in self.special:
-            return [self.special[pretoken]]
-        return [t.id for t in self.model.tokenize(pretoken.encode().decode("latin-1").translate(self.to_chars))]
+    def pieces(self, pretokens: list[str]) -> list[list[int]]:
+        """Ids of each pre-token, by the library's merges."""
+        raw = [p.encode() for p in pretokens]
+        chars = b"".join(raw).decode("latin-1").translate(self.to_chars)  # one character a byte
+        tokenize, out, at = self.model.tokenize, [], 0
+        for r in raw:
+            out.append([t.id for t in tokenize(chars[at:at + len(r)])])
+            at += len(r)
+        if self.special and not self.special.keys().isdisjoint(pretokens):
+            out = [[self.special[p]] if p in self.special else ids for p, ids in zip(pretokens, out, strict=True)]
+        return out
 
     def split(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(joined text, starts, ends, hash and text index of every pre-token); special strings are pre-tokens of their own."""
@@ -135,8 +147,7 @@ class PieceCounter:
         end = np.append(start[1:], len(code))
         part = np.searchsorted(text_start + size, start, "right")
         doc = np.asarray(owner)[part] if len(start) else np.zeros(0, np.int64)
-        codes = mix64(code.astype(np.uint64) + np.uint64(1))
-        return joined, start, end, span_hashes(codes, start, end), doc
+        return joined, start, end, span_hashes(code_hashes()[code], start, end), doc
 
     def _parts(self, text: str):
         import re
@@ -163,7 +174,7 @@ class PieceCounter:
         missing = np.flatnonzero(found < 0)
         if len(missing):
             places = zip(start[where[missing]].tolist(), end[where[missing]].tolist(), strict=True)
-            new = [self.pieces(joined[a:b]) for a, b in places]
+            new = self.pieces([joined[a:b] for a, b in places])
             found[missing] = len(known) + np.arange(len(missing))
             self._remember(distinct[missing], new)
         slot[miss] = found[which]
@@ -185,26 +196,25 @@ class PieceCounter:
         self.ids[self.n_ids:self.n_ids + len(flat)] = flat
         self.n_ids += len(flat)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids of all texts in a row, where each text's begin (one more than texts), then of every
-        pre-token its hash, its text's index and its length in code points)."""
+        pre-token its hash, its text's index, its length in code points and its number of ids)."""
         joined, start, end, hashes, doc = self.split(texts)
         slot = self.look_up(joined, start, end, hashes)
         size = self.size[slot].astype(np.int64)
         begin = np.cumsum(size) - size
         flat = self.ids[np.arange(size.sum()) + np.repeat(self.first[slot] - begin, size)]
         total = np.bincount(doc, size, len(texts)).astype(np.int64)
-        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start
+        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start, size
 
     def encode_ended(self, texts: list[str], end_id: int):
-        """(ids of all texts in a row with end_id after each, where each text's begin, then of every
-        pre-token its hash, its text's index and its length in code points)."""
-        flat, begin, hashes, doc, length = self.encode(texts)
+        """encode() with end_id after each text's ids."""
+        flat, begin, *words = self.encode(texts)
         k = np.arange(len(texts))
         out = np.empty(len(flat) + len(texts), self.ids.dtype)
         out[np.arange(len(flat)) + np.repeat(k, np.diff(begin))] = flat
         out[begin[1:] + k] = end_id
-        return out, begin + np.append(k, len(texts)), hashes, doc, length
+        return out, begin + np.append(k, len(texts)), *words
 
 
 @lru_cache(2)

@@ -56,7 +56,7 @@ def pieces_of(distinct: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = counter(path)
         for batch in batches:
-            n = [len(c.pieces(p)) for p in batch.column("pretoken").to_pylist()]
+            n = [len(ids) for ids in c.pieces(batch.column("pretoken").to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n, pa.int32())], names=[*batch.schema.names, "pieces"])
 
     return distinct.mapInArrow(run, "pretoken string, occurrences long, pieces int")

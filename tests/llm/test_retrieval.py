@@ -55,8 +55,8 @@ def found_in_blocks(docs, block_tokens):
     shards = {r.shard for r in homed}
     for shard in shards:
         block = [r for r in homed if r.shard == shard]
-        terms, weights = zip(*(packing.unpacked_terms(unpack, r.terms, r.words, tokens.idf.value, tokens.mean_words) for r in block), strict=True)
-        index = packing.Index(list(terms), list(weights))
+        ids = [packing.unpacked_ids(unpack, r.ids, False) for r in block]
+        index = packing.Index(*packing.weighted_terms(ids, [r.starts for r in block], tokens.idf.value, tokens.mean_words))
         for i, r in enumerate(block):
             others = np.array([x.cls != r.cls for x in block])
             best = next(index.neighbours(i, others), None)
