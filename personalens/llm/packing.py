@@ -33,6 +33,9 @@ BLOCK_TOKENS, BLOCK_DOCS = 1 << 23, 1 << 15
 FIRST = 64
 #: Words in at least one of so many documents of a block have dense postings.
 DENSE = 8
+#: Lists of at least so many postings are added as slices, shorter ones gathered.
+LONG = 512
+POSTING = np.dtype([("doc", np.int32), ("weight", np.float32)])
 
 
 def doc_terms(hashes: np.ndarray, doc: np.ndarray):
@@ -195,8 +198,9 @@ class Index:
         first = np.flatnonzero(np.diff(code >> 32, prepend=-1))
         self.start, self.end = first, np.append(first[1:], len(term))
         self.df = self.end - self.start
-        self.doc = np.repeat(np.arange(len(terms)), np.diff(self.begin))[order]
-        self.weight = weight[order].astype(np.float64)
+        self.postings = np.empty(len(term), POSTING)
+        self.postings["doc"] = np.repeat(np.arange(len(terms)), np.diff(self.begin))[order]
+        self.postings["weight"] = weight[order]
         word = np.repeat(np.arange(len(first), dtype=np.int32), self.df)
         self.word = np.empty(len(term), np.int32)  # of each document's terms, in its order, the number of the word
         self.word[order] = word
@@ -204,7 +208,7 @@ class Index:
         self.row = np.cumsum(self.frequent) - 1
         common = self.frequent[word] if len(word) else np.zeros(0, bool)
         self.dense = np.zeros((int(self.frequent.sum()), len(terms)), np.float32)
-        self.dense[self.row[word[common]], self.doc[common]] = self.weight[common]
+        self.dense[self.row[word[common]], self.postings["doc"][common]] = self.postings["weight"][common]
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every other document by all words of the seed."""
@@ -216,9 +220,14 @@ class Index:
         rare = q[~dense]
         rare = rare[self.df[rare] > 1]  # the others are the seed's alone
         if len(rare):
-            spans = list(zip(self.start[rare].tolist(), self.end[rare].tolist(), strict=True))
-            doc, weight = (np.concatenate([x[a:b] for a, b in spans]) for x in (self.doc, self.weight))
-            score += np.bincount(doc, weight, self.size).astype(np.float32)
+            long = self.df[rare] >= LONG
+            spans = zip(self.start[rare[long]].tolist(), self.end[rare[long]].tolist(), strict=True)
+            short = rare[~long]
+            df = self.df[short]
+            at = np.repeat(self.start[short] - np.cumsum(df) + df, df) + np.arange(df.sum())
+            raw = self.postings.view(np.int64)  # copied as whole numbers
+            found = np.concatenate([*(raw[a:b] for a, b in spans), raw[at]]).view(POSTING)
+            score += np.bincount(found["doc"], found["weight"], self.size).astype(np.float32)
         return score
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
