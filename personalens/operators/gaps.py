@@ -347,3 +347,19 @@ def review_account_summary(rpa: DataFrame) -> DataFrame:
         F.max("review_date").alias("latest_review_date"),
         F.array_join(F.sort_array(F.collect_set("persona_attribute")), ", ")
         .alias("sample_personas"))
+
+
+def review_account_personas(rpa: DataFrame, part_rows: int = 1000) -> DataFrame:
+    """DEAD-1's persona list for accounts of any size: one row for each part of at most ``part_rows`` personas.
+
+    Distinct (account, persona) pairs are numbered in order across all tasks, and
+    a part is a run of numbers, cut at account borders; so no task holds
+    an account. An account's texts in the order of ``part``, joined by ', ', are
+    the list of :func:`review_account_summary`.
+    """
+    pairs = (rpa.where(F.col("persona_attribute").isNotNull())
+             .select(F.col("ad_account_id").alias("review_account_id"), "persona_attribute").distinct())
+    numbered = global_row_number(pairs, [F.col("review_account_id").asc_nulls_first(), F.col("persona_attribute")], "_n")
+    return (numbered.groupBy("review_account_id", F.floor((F.col("_n") - 1) / part_rows).alias("part"))
+            .agg(F.count(F.lit(1)).alias("personas"),
+                 F.array_join(F.sort_array(F.collect_list("persona_attribute")), ", ").alias("persona_list")))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from personalens.operators import documented, quality, snapshots
+from personalens.operators import documented, gaps, quality, snapshots
 from personalens.plans import duck_checks as D
 from personalens.plans.staging import STAGING
 from personalens.plans.warehouse import Warehouse
@@ -378,6 +378,21 @@ def table_round_trip(spark, sf_dir):
     return io.as_view(spark.table(f"{namespace}.{name}"), name)
 
 
+PART_ROWS = 100
+
+
+def review_account_personas(spark, sf_dir):
+    """DEAD-1: the accounts' sorted persona lists in parts of bounded size."""
+    return gaps.review_account_personas(_wh(spark, sf_dir).review_persona_attributes, PART_ROWS)
+
+
+_PARTS_SQL = f"""
+SELECT ad_account_id AS review_account_id, (n - 1) // {PART_ROWS} AS part, count(*) AS personas,
+       string_agg(persona_attribute, ', ' ORDER BY persona_attribute) AS persona_list
+FROM (SELECT *, row_number() OVER (ORDER BY ad_account_id NULLS FIRST, persona_attribute) AS n
+      FROM (SELECT DISTINCT ad_account_id, persona_attribute FROM rpa WHERE persona_attribute IS NOT NULL))
+GROUP BY 1, 2"""
+
 SEED_SPEC = ("ad_account_id:i ad_account_name product matched_review_product "
              "review_account_name review_account_id:i")
 
@@ -427,6 +442,7 @@ def queries() -> dict:
         "dq_column_contract": _q(dq_column_contract, "model column_name status filled_rows:i", _contract_sql()),
         "dq_observed": _q(dq_observed, "model column_name test failing_rows:i status", _dq_observed_sql()),
         "run_result_files": _q(run_result_files, "run_id good_documents:i bad_documents:i total_models:i failed:i", _RUN_FILES_SQL),
+        "review_account_personas": _q(review_account_personas, "review_account_id:i part:i personas:i persona_list", _PARTS_SQL),
         "seed_csv_roundtrip": _q(seed_csv_roundtrip, SEED_SPEC,
                                  "SELECT * FROM raw_seed_mapping"),
     }

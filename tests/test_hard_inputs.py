@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from personalens.functions import json as J
 from personalens.functions.numeric import guarded_number, loose_number
-from personalens.operators import reports, scorecard
+from personalens.operators import gaps, reports, scorecard
 from personalens.operators.expand import repeat_rows
 
 
@@ -64,3 +64,22 @@ def test_copies_of_one_hot_key_use_many_tasks(spark):
     out = repeat_rows(rows, "n").withColumn("task", F.spark_partition_id())
     sizes = [r["count"] for r in out.groupBy("task").count().collect()]
     assert sum(sizes) == 50_000 and len(sizes) >= 3 and max(sizes) < 25_000
+
+
+@pytest.mark.parametrize("part_rows", [1, 7, 1000])
+def test_persona_parts_make_up_the_summary(spark, part_rows):
+    data = [(a, f"p{i * 37 % 50}") for a, n in ((1, 40), (2, 3), (None, 12)) for i in range(n)] * 2 + [(3, None), (2, "é"), (2, "")]
+    rpa = spark.createDataFrame([(a, p, 0.5, None) for a, p in data], "ad_account_id long, persona_attribute string, confidence_score double, review_date date")
+    parts = gaps.review_account_personas(rpa, part_rows).collect()
+    assert all(0 < r.personas <= part_rows for r in parts)
+    assert len({(r.review_account_id, r.part) for r in parts}) == len(parts)
+    whole = {r.review_account_id: r.sample_personas for r in gaps.review_account_summary(rpa).collect()}
+    joined = {a: ", ".join(r.persona_list for r in sorted(parts, key=lambda r: r.part) if r.review_account_id == a) for a in whole}
+    assert joined == whole
+
+
+def test_an_account_of_a_million_personas_has_bounded_parts(spark):
+    rpa = spark.range(1_000_000).selectExpr("7L as ad_account_id", "'p' || id as persona_attribute")
+    parts = gaps.review_account_personas(rpa, 1000)
+    most, least, total, names = parts.selectExpr("max(personas)", "min(personas)", "sum(personas)", "sum(size(split(persona_list, ', ')))").first()
+    assert (most, least, total, names) == (1000, 1000, 1_000_000, 1_000_000)
