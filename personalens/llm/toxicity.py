@@ -1,9 +1,11 @@
 """Toxicity by multiple-instance learning (operator 3).
 
 Labels mark documents; sentences are the instances. A sentence's probability
-is the logistic of its lexicon words' weights, a document's is the noisy-or of
-its sentences and a small leak for labels that no sentence explains. Sentences
-without lexicon words carry no evidence, so length alone makes no text toxic.
+is the logistic of its lexicon terms' weights, a document's is the noisy-or of
+its sentences and a small leak for labels that no sentence explains. Terms are
+words and beginnings of words, so that an inflected or compound form never seen
+in training is known by its stem. Sentences without lexicon terms carry no
+evidence, so length alone makes no text toxic.
 Trained from document labels alone, the sentence scores then locate the offending sentences.
 """
 
@@ -22,13 +24,17 @@ from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks,
 
 #: At most so many labelled documents of each class train the model: those with the least hash of their id.
 MAX_LABELLED = 20_000
-#: Words kept as features: all in MIN_DOCUMENTS documents or more whose odds of a toxic document are, SURE standard errors
-#: below their estimate, still above RATIO. LEXICON only guards the driver's memory; a sample has far fewer such words.
-LEXICON, MIN_DOCUMENTS, SURE, RATIO = 100_000, 5, 2.0, 2.0
+#: Terms that may be features: all in MIN_DOCUMENTS documents or more whose odds of a toxic document are, SURE standard
+#: errors below their estimate, still above RATIO.
+MIN_DOCUMENTS, SURE, RATIO = 5, 2.0, 2.0
+#: Beginnings of words are terms from SHORTEST to LONGEST code points.
+SHORTEST, LONGEST = 3, 8
+BEGINNING = np.uint64(0x9E3779B97F4A7C15)  # tells a beginning from the word spelt alike
 ROUNDS, RATE, DECAY = 300, 0.1, 2e-5
 SENTENCE_SCORE = 0.5
-#: Log odds of a sentence before its words count; words of less weight than LEAST_WEIGHT are left out after training.
-BIAS, LEAST_WEIGHT = -7.0, 2.0
+#: Log odds of a sentence before its terms count; terms whose learned weight adds less than LEAST_WEIGHT to it carry no
+#: evidence. A sentence of such terms alone would count by its number, and length alone would make a text toxic.
+BIAS, LEAST_WEIGHT = -7.0, 0.5
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -47,10 +53,11 @@ LOWER, IN_WORD, ENDS = _tables()
 
 @dataclass
 class Tokens:
-    """Words (runs of letters, lower case) of a chunk of texts, with the sentence and text each is in."""
+    """Words (runs of letters, lower case) of a chunk of texts and their beginnings, with the sentence and text each is in."""
 
     hash: np.ndarray
-    sentence: np.ndarray        # of each word; numbered through the chunk
+    parent: np.ndarray          # the next shorter beginning, 0 where there is none
+    sentence: np.ndarray        # of each term; numbered through the chunk
     sentence_doc: np.ndarray    # text of each sentence
     bounds: np.ndarray          # byte where each sentence starts, in the joined buffer, and the end
     text_start: np.ndarray
@@ -65,7 +72,22 @@ def tokens(texts: list[bytes]) -> Tokens:
     bounds = np.concatenate(([0], np.flatnonzero(ENDS[buf]) + 1))
     sentence = np.searchsorted(bounds, start, "right") - 1
     doc = np.searchsorted(text_start, bounds[:-1], "right") - 1
-    return Tokens(span_hashes(BYTE_CODE[LOWER[buf]], start, end), sentence, doc, bounds, text_start)
+    opens = (buf & 0xC0) != 0x80  # first byte of a code point
+    at, nth = np.flatnonzero(opens), np.cumsum(opens) - 1
+    size = nth[end - 1] - nth[start] + 1 if len(start) else np.zeros(0, np.int64)
+    at = np.append(at, len(buf))
+    which = [np.flatnonzero(size >= k) for k in range(SHORTEST, LONGEST + 1)] + [np.arange(len(start))]
+    ends = [at[nth[start[w]] + k] for w, k in zip(which[:-1], range(SHORTEST, LONGEST + 1), strict=True)]
+    word = np.concatenate(which)
+    term = span_hashes(BYTE_CODE[LOWER[buf]], start[word], np.concatenate([*ends, end]))
+    term[:len(word) - len(start)] ^= BEGINNING
+    parent, last, done = np.zeros(len(term), np.uint64), np.zeros(len(start), np.uint64), 0
+    for w in which:
+        here = slice(done, done + len(w))
+        parent[here] = last[w]
+        last[w] = term[here]
+        done += len(w)
+    return Tokens(term, parent, sentence[word], doc, bounds, text_start)
 
 
 @dataclass
@@ -100,7 +122,7 @@ class Model:
 
 
 def hits(t: Tokens, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(sentence, lexicon word) pairs, each once, sorted."""
+    """(sentence, lexicon term) pairs, each once, sorted."""
     if not len(lexicon):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     at = np.minimum(np.searchsorted(lexicon, t.hash), len(lexicon) - 1)
@@ -130,7 +152,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, folds: int
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word hash, documents of label 0 and 1 with it), summed within a batch."""
+    """(term, next shorter beginning, documents of label 0 and 1 with it), summed within a batch."""
     for batch in batches:
         label = batch.column("label").to_numpy(zero_copy_only=False)
         texts = binary_texts(batch.column("text"))
@@ -140,25 +162,32 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((t.hash, doc))
             d, h = doc[order], t.hash[order]
             first = np.concatenate(([True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]))) if len(d) else np.zeros(0, bool)
-            h, y = h[first], label[a:b][d[first]]
-            word, at = np.unique(h, return_inverse=True)
+            y = label[a:b][d[first]]
+            word, one, at = np.unique(h[first], return_index=True, return_inverse=True)
+            one = order[first][one]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(word.view(np.int64)), *(pa.array(np.bincount(at[y == c], minlength=len(word))) for c in (0, 1))],
-                names=["word", "n0", "n1"])
+                [pa.array(word.view(np.int64)), pa.array(t.parent[one].view(np.int64)),
+                 *(pa.array(np.bincount(at[y == c], minlength=len(word))) for c in (0, 1))],
+                names=["word", "parent", "n0", "n1"])
 
 
 def choose_lexicon(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of the words that surely speak for the label, by a lower bound of their log odds."""
+    """Sorted hashes of the terms that surely speak for the label, by a lower bound of their log odds.
+
+    A beginning that is in the same documents as a longer one, or as a whole word, gives way to it. There
+    is no limit on the terms: their number is bounded by the words of the training sample.
+    """
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = totals.get(0, 0), totals.get(1, 0)
-    counts = rows.mapInArrow(_word_counts, "word long, n0 long, n1 long").groupBy("word").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= MIN_DOCUMENTS)
+    counts = rows.mapInArrow(_word_counts, "word long, parent long, n0 long, n1 long").groupBy("word").agg(
+        F.first("parent").alias("parent"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where(F.col("n0") + F.col("n1") >= MIN_DOCUMENTS)
     a, b = F.col("n1") + 0.5, F.col("n0") + 0.5
     odds = F.log(a / (n1 + 1 - a + 0.5)) - F.log(b / (n0 + 1 - b + 0.5))
     error = F.sqrt(1 / a + 1 / b)
-    bound = counts.select("word", (odds - SURE * error).alias("bound")).where(F.col("bound") > math.log(RATIO))
-    top = bound.orderBy(F.col("bound").desc(), "word").limit(LEXICON).select("word").collect()
-    return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
+    sure = stored(counts.where(odds - SURE * error > math.log(RATIO)), "terms")
+    longer = sure.select(F.col("parent").alias("word"), "n0", "n1").distinct()
+    return np.sort(np.array([r["word"] for r in sure.join(longer, ["word", "n0", "n1"], "left_anti").select("word").collect()],
+                            np.int64).view(np.uint64))
 
 
 def _bags(lexicon: np.ndarray):

@@ -17,11 +17,14 @@ def labels(spark, top):
 
 def test_toxicity_on_held_out_documents(spark):
     model = toxicity.train(documents(spark, LARGE), labels(spark, LARGE))
-    out = toxicity.toxicity_scores(documents(spark, LARGE), model).join(labels(spark, LARGE), "doc_id").collect()
+    out = toxicity.toxicity_scores(documents(spark, LARGE), model).join(labels(spark, LARGE), "doc_id").join(
+        documents(spark, LARGE).select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in out if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     clean, toxic = [r for r in held if r.toxic == 0], [r for r in held if r.toxic == 1]
     assert sum(r.score >= 0.5 for r in clean) <= 0.01 * len(clean)
-    assert sum(r.score >= 0.5 for r in toxic) >= 0.75 * len(toxic)
+    assert sum(r.score >= 0.5 for r in toxic) >= 0.88 * len(toxic)
+    rest = [r for r in toxic if r.lang != "en"]  # words with many forms
+    assert sum(r.score >= 0.5 for r in rest) >= 0.85 * len(rest)
     assert all(0 <= r.score <= 1 for r in out)
     # The sentences given are where the text offends.
     text = "All is well here. You are a stupid idiot and a clown! Good bye."
