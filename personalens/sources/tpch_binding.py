@@ -319,7 +319,7 @@ REVIEW_AD_PERSONA_JSON = (
     f"'\",\"confidence\":\"0.7\"}}, \"' || {_NOUN} || '\", null, \"null\", "
     f"{{\"description\":\"d\",\"name\":\"' || {_ADJ} || '\"}}]' "
     f"when 2 then '{{\"persona\":\"' || {_NOUN} || '\"}}' "
-    f"when 3 then '[{{\"description\":\"only ' || {_ADJ} || '\",\"rank\":2}}]' "
+    f"when 3 then '[{{\"description\":\"only ' || {_ADJ} || '\", \"tags\":{{\"zz\":1,\"b\":[1.50,2]}},\"rank\":0.90}}]' "
     "when 4 then '[4, true, \"  Spaced  \", \"\"]' "
     f"when 5 then '[{{\"attribute\":\"' || {_NOUN} || '\",\"confidence\":\"high\"}}]' "
     f"else '[{{\"attribute\":\"' || {_NOUN} || '\",\"value\":\"' || lower(p_type) || "

@@ -1,11 +1,15 @@
 """NORM-1..9 edge cases on hand-built rows (one per planted JSON shape)."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from core_help import rows
+from personalens.functions import json as J
 from personalens.operators import normalize
 
 TS = dt.datetime(2025, 1, 1)
@@ -116,10 +120,10 @@ def test_ad_personas_from_review_analysis_mixed(spark):
     out = normalize.ad_persona_attributes_from_review_analysis(df)
     got = rows(out, "persona_attribute", "persona_value", "confidence_score")
     assert got == sorted([
-        ("a", '{"confidence":"0.7","persona":"A"}', Decimal("0.700000")),
+        ("a", '{"persona": "A", "confidence": "0.7"}', Decimal("0.700000")),
         ("b", "d", Decimal("0.800000")),
         ('"c"', '"C"', Decimal("0.800000")),
-        ('{"description":"only","rank":2}', "only", Decimal("0.800000")),
+        ('{"rank": 2, "description": "only"}', "only", Decimal("0.800000")),
         ("4", "4", Decimal("0.800000")),
         ("c", "C", Decimal("0.800000")),
     ], key=repr)
@@ -133,3 +137,55 @@ def test_apr_distinct(spark):
     out = normalize.ad_persona_attributes_from_review_analysis(df)
     assert out.count() == 2  # '"x"' (element text keeps quotes) and 'x' (hook text)
     assert out.where(F.col("persona_attribute") == "x").count() == 1
+
+
+# JSON value, the text the reports' JSON type prints for it (written by hand)
+ELEMENT_TEXTS = [
+    ('{"b": 0.90, "aa":"x\\u00e9\\n\\"q\\/ 5, 6", "a":{"z":[1]}, "a":{"y":true,"zz":0.10}}',
+     '{"a": {"y": true, "zz": 0.10}, "b": 0.90, "aa": "x\u00e9\\n\\"q/ 5, 6"}'),
+    ('{"\u00e9":1,"zz":2,"b":[ ],"c":{ }}', '{"b": [], "c": {}, "zz": 2, "\u00e9": 1}'),
+    ('{"a":{"a":{"a":{"b":[[[1.0]]],"a":null}}}}', '{"a": {"a": {"a": {"a": null, "b": [[[1.0]]]}}}}'),
+    ('"s\\t\\u0001\\u001F\\\\u001F"', '"s\\t\\u0001\\u001f\\\\u001F"'),
+    ("0.90", "0.90"), ("1E2", "100"), ("-1.25e-3", "-0.00125"), ("12.5E+1", "125"), ("1.10E-2", "0.0110"), ("-0.0", "0.0"),
+    ("-0", "0"), ("1.50e1", "15.0"), ("0e5", "0"), ("1e99999", "1e99999"), ("-7", "-7"),
+    ("123456789012345678901234567890.12345678901234567890", "123456789012345678901234567890.12345678901234567890"),
+    ('"7"', '"7"'), ("true", "true"), ('"true"', '"true"'), ("[]", "[]"), ("{}", "{}"), ('"\\\\\\"9, 8"', '"\\\\\\"9, 8"'),
+]
+
+
+def test_element_texts_of_the_json_type(spark):
+    text = "[" + ", ".join(j for j, _ in ELEMENT_TEXTS) + "]"
+    df = J.keep_last_of_repeated_keys(spark.createDataFrame([(text,), ("[null]",)], "j string"))
+    got = [r.t for r in df.select(F.explode(J.variant_elements("j")).alias("e")).select(J.element_json(F.col("e")).alias("t")).collect()]
+    assert got == [t for _, t in ELEMENT_TEXTS] + ["null"]
+    # As text, strings lose their quotes and escapes.
+    want = [json.loads(t) if t.startswith('"') else t for _, t in ELEMENT_TEXTS] + [None]
+    assert [r.t for r in df.select(F.explode(J.text_elements("j")).alias("t")).collect()] == want
+    fields = df.select(F.explode(J.variant_elements("j")).alias("e")).select(*[J.field_text(F.col("e"), k).alias(k) for k in ("a", "b", "aa")])
+    assert [tuple(r) for r in fields.collect()][:3] == [
+        ('{"y": true, "zz": 0.10}', "0.90", 'x\u00e9\n"q/ 5, 6'), (None, "[]", None), ('{"a": {"a": {"a": null, "b": [[[1.0]]]}}}', None, None)]
+
+
+def test_malformed_json_stays_malformed(spark):
+    bad = ["[01]", "{1:2}", "[{1:2}]", "[1 2]", "[1.]", "[.5]", "[+1]", "[1-2]", '["a"1]', "[1", "[\x01]", '["\x02"]', "[-]", "[1e]", "5", "", None]
+    df = spark.createDataFrame([(b,) for b in bad], "j string")
+    out = df.select(J.text_elements("j").alias("t"), J.variant_elements("j").alias("v")).collect()
+    assert all(r.t is None and r.v is None for r in out)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.recursive(st.none() | st.booleans() | st.integers(-10**30, 10**30) | st.text(alphabet="ab\"\\,:[]{}1\n\u001f\u00e9 ", max_size=6),
+                             lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(alphabet="ab1\"\\", max_size=3), x, max_size=3),
+                             max_leaves=12), max_size=20))
+def test_element_texts_on_random_json(spark, values):
+    def text(v):
+        if isinstance(v, dict):
+            keys = sorted(v, key=lambda k: (len(k.encode()), k.encode()))
+            return "{" + ", ".join(f"{text(k)}: {text(v[k])}" for k in keys) + "}"
+        if isinstance(v, list):
+            return "[" + ", ".join(map(text, v)) + "]"
+        return json.dumps(v, ensure_ascii=False)
+
+    df = spark.createDataFrame([(json.dumps(values),)], "j string")
+    got = df.select(F.explode(J.variant_elements("j")).alias("e")).select(J.element_json(F.col("e")).alias("t")).collect()
+    assert [r.t for r in got] == [text(v) for v in values]
