@@ -15,6 +15,8 @@ NUL, which that JSON type doesn't allow, then their text) before parsing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,18 +50,28 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _numbers_as_strings(c: Column) -> Column:
     """JSON text whose numbers are strings of NUL and the number in plain decimal form."""
     t = F.replace(F.replace(c, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
     t = F.replace(F.regexp_replace(t, _STRING_OR_NUMBER, f"$1{_OPEN}$2{_CLOSE}"), F.lit(_OPEN + _CLOSE), F.lit(""))
+    t = _let(t, _wrapped)
+    t = F.replace(F.replace(t, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
+    return F.when(c.rlike(f"[{_OPEN}-{_CLOSE}]"), c).otherwise(t)
+
+
+def _wrapped(t: Column) -> Column:
+    """Marked numbers as strings; only where one has an exponent or is zero with a sign are they taken one by one."""
     plain = F.regexp_replace(t, f"{_OPEN}([^{_CLOSE}]*+){_CLOSE}", r'"\\u0000$1"')
-    # Text and numbers take turns once an opening mark ends in a closing one.
+    # Text and numbers take turns once opening marks are closing ones too.
     parts = F.split(F.replace(t, F.lit(_OPEN), F.lit(_CLOSE)), _CLOSE)
     shifted = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, x).otherwise(
         F.concat(F.lit(r'"\u0000'), _plain_number(x), F.lit('"')))), "")
-    t = F.when(t.rlike(f"{_OPEN}(?:-0|[^{_CLOSE}]*[eE])"), shifted).otherwise(plain)
-    t = F.replace(F.replace(t, F.lit(_QUOTE), F.lit('\\"')), F.lit(_BACKSLASH), F.lit("\\\\"))
-    return F.when(c.rlike(f"[{_OPEN}-{_CLOSE}]"), c).otherwise(t)
+    return F.when(t.rlike(f"{_OPEN}(?:-0|[^{_CLOSE}]*[eE])"), shifted).otherwise(plain)
 
 
 def _elements(c: Column) -> Column:
@@ -126,9 +138,9 @@ def _json_text(v: Column) -> Column:
 
 def _text(v: Column) -> Column:
     """Strings as they are, numbers as written, JSON null as NULL, other values as JSON."""
-    text = F.try_variant_get(v, "$", "string")
-    return (F.when(F.is_variant_null(v), F.lit(None).cast("string"))
-            .when(F.schema_of_variant(v) == "STRING", F.ltrim(text, F.lit(_NUL))).otherwise(_json_text(v)))
+    kind = F.schema_of_variant(v)
+    return (F.when(kind == "STRING", F.ltrim(F.try_variant_get(v, "$", "string"), F.lit(_NUL)))
+            .when(kind != "VOID", _json_text(v)))
 
 
 def text_elements(col) -> Column:
@@ -157,15 +169,18 @@ def variant_elements(col, double_encoded: bool = False) -> Column:
     inner = F.when(F.schema_of_variant(parsed) == F.lit("STRING"),
                    F.try_variant_get(parsed, "$", "string"))
     unwrapped = F.when(inner.rlike(_BRACKETED), _elements(inner))
-    return F.coalesce(direct, F.when(direct.isNull(), unwrapped))
+    return F.coalesce(direct, unwrapped)
 
 
-def field_text(element: Column, key: str) -> Column:
-    """Text of one key of a JSON object; NULL for JSON null, a missing key or a
+def field_texts(element: Column, keys: list[str]) -> Column:
+    """Texts of keys of a JSON object, as an array; NULL for JSON null, a missing key or a
     non-object element."""
-    text = F.try_variant_get(element, f"$.{key}", "string")
-    simple = text.isNull() | ~text.rlike(r"^[\x00\[{]")  # neither a number nor, perhaps, an object or array
-    return F.when(simple, text).otherwise(_text(F.try_variant_get(element, f"$.{key}", "variant")))
+    return F.transform(F.array(*[F.try_variant_get(element, f"$.{k}", "variant") for k in keys]), _text)
+
+
+def field_text(element: Column, key: str) -> Column:
+    """Text of one key of a JSON object, see :func:`field_texts`."""
+    return F.element_at(field_texts(element, [key]), 1)
 
 
 def element_json(element: Column) -> Column:
@@ -174,8 +189,4 @@ def element_json(element: Column) -> Column:
 
 
 def is_object(element: Column) -> Column:
-    return F.startswith(F.to_json(element), F.lit("{"))
-
-
-def is_json_null(element: Column) -> Column:
-    return F.is_variant_null(element)
+    return F.try_variant_get(element, "$", "map<string,variant>").isNotNull()

@@ -149,13 +149,13 @@ def explode_ad_elements(with_account: DataFrame, json_col: str,
     """
     key, out_key, fields = AD_ELEMENT_KINDS[json_col]
     e = F.col("_e")
-    exploded = J.keep_last_of_repeated_keys(with_account).select(
-        "*", F.explode(J.variant_elements(json_col, double_encoded=True)).alias("_e"))
-    key_text = F.trim(J.field_text(e, key))
+    keys = [key, *[f for f, _, _ in fields]]
+    texts = F.transform(J.variant_elements(json_col, double_encoded=True), lambda x: J.field_texts(x, keys))
+    exploded = J.keep_last_of_repeated_keys(with_account).select("*", F.explode(texts).alias("_e"))
     projected = exploded.select(
         "cad_creative_analysis_id", "ad_analysis_id", "ads_meta_id", "ad_creative_id",
-        "ad_account_id", *extra, key_text.alias("_k"),
-        *[F.trim(J.field_text(e, f)).alias(f"_{out}") for f, out, _ in fields], "loaded_at")
+        "ad_account_id", *extra, F.trim(e[0]).alias("_k"),
+        *[F.trim(e[i]).alias(f"_{out}") for i, (_, out, _) in enumerate(fields, 1)], "loaded_at")
     k = F.col("_k")
     outs = []
     for _, out, kind in fields:
@@ -194,6 +194,16 @@ def ad_barriers(creative_analysis, ads_analysis, ads_meta, ads) -> DataFrame:
 
 # -------------------------------------------- review tool's analysis of ads
 
+def _persona_element(e: Column) -> Column:
+    """Name, value and confidence of an object; its JSON text where one of the first two is missing, or the element is no object."""
+    f = J.field_texts(e, ["persona", "attribute", "name", "value", "description", "confidence"])
+    read = F.transform(F.array(f), lambda t: F.struct(
+        F.coalesce(t[0], t[1], t[2]).alias("name"), F.coalesce(t[3], t[4]).alias("value"), t[5].alias("confidence"),
+        F.when(F.coalesce(t[0], t[1], t[2]).isNull() | F.coalesce(t[3], t[4]).isNull(), J.element_json(e)).alias("text"),
+        J.is_object(e).alias("is_object")))
+    return F.element_at(read, 1)
+
+
 def ad_persona_attributes_from_review_analysis(
         review_analysis: DataFrame, confidence: float = DEFAULT_REVIEW_CONFIDENCE) -> DataFrame:
     """NORM-9 (APR): persona elements of the review tool's ad analysis.
@@ -209,28 +219,18 @@ def ad_persona_attributes_from_review_analysis(
             .select("review_creative_analysis_id", "ad_account_id", "ad_id",
                     "persona_attributes", "hook_persona_attributes", "loaded_at"))
     e = F.col("_e")
-    txt = J.element_json(e)
-    obj = J.is_object(e)
-    conf = F.coalesce(loose_number(J.field_text(e, "confidence")), _num(confidence))
-    stripped = F.btrim(txt, F.lit('"'))
-    objects = (base.select("review_creative_analysis_id", "ad_account_id", "ad_id", "loaded_at",
-                           F.explode(J.variant_elements("persona_attributes")).alias("_e"))
-               .where(~J.is_json_null(e) & (stripped != "") & (stripped != "null"))
-               .select("review_creative_analysis_id", "ad_account_id", "ad_id", "loaded_at",
-                       F.when(obj, F.coalesce(J.field_text(e, "persona"),
-                                              J.field_text(e, "attribute"),
-                                              J.field_text(e, "name"), txt))
-                       .otherwise(txt).alias("persona_attribute"),
-                       F.when(obj, F.coalesce(J.field_text(e, "value"),
-                                              J.field_text(e, "description"), txt))
-                       .otherwise(txt).alias("persona_value"),
-                       F.when(obj, conf).otherwise(_num(confidence)).alias("confidence_score")))
+    ids = ["review_creative_analysis_id", "ad_account_id", "ad_id", "loaded_at"]
+    stripped = F.btrim(e["text"], F.lit('"'))
+    conf = F.coalesce(loose_number(e["confidence"]), _num(confidence))
+    objects = (base.select(*ids, F.explode(F.transform(J.variant_elements("persona_attributes"), _persona_element)).alias("_e"))
+               .where(e["is_object"] | ((stripped != "") & (stripped != "null")))
+               .select(*ids, F.coalesce(e["name"], e["text"]).alias("persona_attribute"),
+                       F.coalesce(e["value"], e["text"]).alias("persona_value"),
+                       F.when(e["is_object"], conf).otherwise(_num(confidence)).alias("confidence_score")))
     t = F.col("_t")
-    hooks = (base.select("review_creative_analysis_id", "ad_account_id", "ad_id", "loaded_at",
-                         F.explode(J.text_elements("hook_persona_attributes")).alias("_t"))
+    hooks = (base.select(*ids, F.explode(J.text_elements("hook_persona_attributes")).alias("_t"))
              .where(_keep_text(t))
-             .select("review_creative_analysis_id", "ad_account_id", "ad_id", "loaded_at",
-                     t.alias("persona_attribute"), t.alias("persona_value"),
+             .select(*ids, t.alias("persona_attribute"), t.alias("persona_value"),
                      _num(confidence).alias("confidence_score")))
     a = F.col("persona_attribute")
     return (objects.unionByName(hooks)
