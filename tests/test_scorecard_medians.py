@@ -2,7 +2,9 @@
 
 from collections import Counter
 
+import pytest
 from personalens.operators import scorecard
+from personalens.plans.registry import all_queries
 from pyspark.sql import functions as F
 
 
@@ -28,3 +30,9 @@ def test_medians_shuffle_no_value_before_it_is_weighed(spark):
     direct = scorecard.persona_performance_metrics_direct(apa, ins)
     got = Counter(fast.select(*medians).collect())
     assert len(got) == 4 and got == Counter(direct.select(*medians).collect())
+
+
+@pytest.mark.parametrize("name", ["scorecard_tiers", "scorecard"])
+def test_scorecard_reads_the_ad_personas_from_files(spark, name):
+    plan = all_queries()[name].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan and "variant" not in plan
