@@ -14,6 +14,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +98,20 @@ def in_chunks(texts: list[bytes], limit: int = 1 << 20) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `limit` bytes of text (one long text stands alone); memory is given back before and after."""
+    give_back_memory()
+    for batch in batches:
+        start = size = 0
+        for i, n in enumerate(pc.binary_length(batch.column(text_col)).fill_null(0).to_pylist()):
+            if i > start and size + n > limit:
+                yield batch.slice(start, i - start)
+                start, size = i, 0
+            size += n
+        yield batch.slice(start)
+    give_back_memory()
+
+
 def give_back_memory() -> None:
     """Hand a Python worker's freed memory back to the system; workers outlive their tasks."""
     gc.collect()

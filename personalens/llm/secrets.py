@@ -21,7 +21,7 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from personalens.llm.common import binary_texts, pick, read_table
+from personalens.llm.common import binary_texts, pick, read_table, small_batches
 
 # Fixed patterns of the base kinds, in the order that breaks ties.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -256,7 +256,7 @@ SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 str
 
 
 def _scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         rows = []
         for raw in binary_texts(batch.column("text")):
             base, spans = scan(raw.decode())
@@ -288,13 +288,10 @@ def redact(text: str, mark: str = "[SECRET]") -> str:
     return "".join(out) + text[at:] if out else text
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
-    """All columns of docs, secrets replaced in text_col; size_col (if given) is set to the new length where a text changed.
-
-    Clean, null and empty texts are kept as they are.
-    """
-    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
+def _redacted(text_col: str, size_col: str | None):
+    """Batches with their secrets replaced; a few texts at a time, as a worker holds both the old and the new ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, text_col):
             texts = batch.column(text_col).to_pylist()
             new = [t and redact(t) for t in texts]
             arrays = dict(zip(batch.schema.names, batch.columns, strict=True))
@@ -304,8 +301,15 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None
                 sizes = [n if a == b else len(b) for a, b, n in zip(texts, new, sizes, strict=True)]
                 arrays[size_col] = pa.array(sizes, batch.schema.field(size_col).type)
             yield pa.RecordBatch.from_arrays(list(arrays.values()), schema=batch.schema)
+    return run
+
 
-    return docs.mapInArrow(batches, docs.schema)
+def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str | None = "n_chars") -> DataFrame:
+    """All columns of docs, secrets replaced in text_col; size_col (if given) is set to the new length where a text changed.
+
+    Clean, null and empty texts are kept as they are.
+    """
+    return docs.mapInArrow(_redacted(text_col, size_col), docs.schema)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
