@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks, pick, read_table, span_hashes, stored
+from personalens.llm.common import BYTE_CODE, binary_texts, crc_fold, in_chunks, pick, read_table, small_batches, span_hashes, stored
 
 #: At most so many labelled documents of each class train the model: those with the least hash of their id.
 MAX_LABELLED = 20_000
@@ -268,7 +268,7 @@ def toxicity_scores(docs: DataFrame, model: Model) -> DataFrame:
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text_col: str = "text") -> DataFrame:
     """Rows of docs, with all their columns, whose score is below the threshold."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches, text_col):
             s, _ = model.apply(binary_texts(batch.column(text_col)))
             yield batch.filter(pa.array(s < threshold))
 
