@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from personalens.llm.common import give_back_memory, merged, mix64, pick, read_table, span_hashes, split_parts, stored
-from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, text_chunks, tokenizer_path
+from personalens.llm.pretoken import DEFAULT_TOKENIZER, counter, id_codes, text_chunks, tokenizer_path
 
 WINDOW, END_ID = 2048, 1
 # Words are told apart by this many bits of their hash, counted for document frequencies by fewer; homes are counted by bins.
@@ -29,12 +29,12 @@ TERM_BITS, DF_BITS, BIN_BITS = 28, 22, 16
 K1, B = 1.2, 0.75
 #: Tokens and documents under one index.
 BLOCK_TOKENS, BLOCK_DOCS = 1 << 23, 1 << 15
-#: Neighbours that are sorted at first.
-FIRST = 64
-#: Words in at least one of so many documents of a block have dense postings.
-DENSE = 8
+#: Neighbours that are sought one by one; then neighbours that are sorted at first.
+SOUGHT, FIRST = 16, 64
+#: Words in at least one of so many documents of a block have dense postings too, the most frequent ones up to so many bytes.
+DENSE, DENSE_BYTES = 16, 1 << 26
 #: Lists of at least so many postings are added as slices, shorter ones gathered.
-LONG = 512
+LONG = 128
 POSTING = np.dtype([("doc", np.int32), ("weight", np.float32)])
 
 
@@ -83,11 +83,10 @@ def plan_shards(bins: np.ndarray, size: int = BLOCK_TOKENS) -> tuple[np.ndarray,
 def word_hashes(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of every word from its ids; starts marks where words and end ids (at `ends`) stand among the ids of several documents."""
     first = np.flatnonzero(starts)
-    codes = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64))[ids] if ids.itemsize == 2 else mix64(ids.astype(np.uint64) + np.uint64(1))
     is_word = np.ones(len(ids), bool)
     is_word[ends] = False
     is_word = is_word[first]
-    return span_hashes(codes, first[is_word], np.append(first[1:], len(ids))[is_word])
+    return span_hashes(id_codes(ids), first[is_word], np.append(first[1:], len(ids))[is_word])
 
 
 def weighted_terms(ids: list[np.ndarray], starts: list[bytes], idf: np.ndarray, mean_words: float) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -133,12 +132,12 @@ def _tokenized(path: str):
             classes = batch.column("cls").to_numpy(zero_copy_only=False).astype(np.int64)
             _, texts = _texts(batch)
             for a, b in text_chunks(texts):
-                flat, begin, hashes, doc, length, size = c.encode_ended(texts[a:b], END_ID)
+                flat, begin, hashes, doc, length, size, words = c.encode_ended(texts[a:b], END_ID)
                 starts = np.zeros(len(flat), bool)
                 starts[(np.cumsum(size) - size + doc)[size > 0]] = True
                 starts[begin[1:] - 1] = True
-                d, term, _ = doc_terms(word_hashes(flat, starts, begin[1:] - 1), doc[size > 0])
-                cell = d << DF_BITS | term >> TERM_BITS - DF_BITS
+                cell = doc[size > 0] << DF_BITS | (words[size > 0] >> np.uint64(64 - DF_BITS)).view(np.int64)
+                cell.sort()
                 new = np.flatnonzero(np.diff(cell, prepend=-1))  # words of one cell are one word of a document
                 np.add.at(df, cell[new] & (1 << DF_BITS) - 1, np.uint64(1))
                 key, n = home_keys(hashes, doc, length, classes[a:b]), np.diff(begin)
@@ -151,8 +150,7 @@ def _tokenized(path: str):
                     pa.array(np.bincount(doc[size > 0], minlength=b - a)), pa.array(key.view(np.int64)), pa.nulls(b - a, pa.int32()), pa.nulls(b - a, pa.binary())], names=names)
         for part in split_parts(np.concatenate([df, bins]), ["part", "counts"]):
             yield pa.RecordBatch.from_arrays([*(pa.nulls(part.num_rows, t) for t in types), *part.columns], names=names)
-        c.forget()  # a worker outlives its task
-        give_back_memory()
+        give_back_memory()  # the counter stays: the worker's next task finds most pre-tokens in it
     return run
 
 
@@ -185,56 +183,89 @@ class Tokens:
 
 
 class Index:
-    """Inverted index of one block: postings by term, with BM25 weights."""
+    """Inverted index of one block: postings by term, with BM25 weights; terms of one document alone are left out, they find none."""
 
     def __init__(self, terms: list[np.ndarray], weights: list[np.ndarray]):
         self.size = len(terms)
-        self.begin = np.concatenate(([0], np.cumsum([len(t) for t in terms], dtype=np.int64)))
+        n = np.fromiter(map(len, terms), np.int64, len(terms))
         term = np.concatenate(terms) if terms else np.zeros(0, np.int32)
         weight = np.concatenate(weights) if weights else np.zeros(0, np.float32)
         code = term.astype(np.int64) << 32 | np.arange(len(term))  # sorted by term, then document
         code.sort()
         order = code & 0xFFFFFFFF
-        first = np.flatnonzero(np.diff(code >> 32, prepend=-1))
-        self.start, self.end = first, np.append(first[1:], len(term))
-        self.df = self.end - self.start
-        self.postings = np.empty(len(term), POSTING)
-        self.postings["doc"] = np.repeat(np.arange(len(terms)), np.diff(self.begin))[order]
-        self.postings["weight"] = weight[order]
-        word = np.repeat(np.arange(len(first), dtype=np.int32), self.df)
-        self.word = np.empty(len(term), np.int32)  # of each document's terms, in its order, the number of the word
-        self.word[order] = word
-        self.frequent = self.df * DENSE >= len(terms)
-        self.row = np.cumsum(self.frequent) - 1
-        common = self.frequent[word] if len(word) else np.zeros(0, bool)
-        self.dense = np.zeros((int(self.frequent.sum()), len(terms)), np.float32)
-        self.dense[self.row[word[common]], self.postings["doc"][common]] = self.postings["weight"][common]
+        df = np.diff(np.append(np.flatnonzero(np.diff(code >> 32, prepend=-1)), len(term)))
+        postings = np.empty(len(term), POSTING)
+        postings["doc"] = np.repeat(np.arange(len(terms)), n)[order]
+        postings["weight"] = weight[order]
+        word = np.empty(len(term), np.int32)  # of each document's terms, in its order, the number of the word
+        word[order] = np.repeat(np.arange(len(df), dtype=np.int32), df)
+        self._fill(n, word, df, postings)
+
+    def _fill(self, n: np.ndarray, word: np.ndarray, df: np.ndarray, postings: np.ndarray) -> None:
+        """From each document's number of words, their numbers, and the postings of every word in a row; shared words are numbered anew."""
+        shared = df > 1
+        number = np.cumsum(shared, dtype=np.int32) - np.int32(1)
+        has = shared[word]
+        self.begin = np.concatenate(([0], np.cumsum(np.bincount(np.repeat(np.arange(len(n)), n)[has], minlength=len(n)))))
+        self.word = number[word[has]]
+        self.postings, self.df = postings[np.repeat(shared, df)], df[shared]
+        self.end = np.cumsum(self.df)
+        self.start = self.end - self.df
+        rows = np.flatnonzero(self.df * DENSE >= self.size)
+        most = DENSE_BYTES // (4 * max(self.size, 1))
+        if len(rows) > most:
+            rows = rows[np.argsort(-self.df[rows], kind="stable")[:most]]
+        self.row = np.full(len(self.df), -1, np.int32)
+        self.row[rows] = np.arange(len(rows))
+        self.dense = list(np.zeros((len(rows), self.size), np.float32))
+        for r, a, b in zip(self.dense, self.start[rows].tolist(), self.end[rows].tolist(), strict=True):
+            r[self.postings["doc"][a:b]] = self.postings["weight"][a:b]
+
+    def of(self, member: np.ndarray) -> Index:
+        """The index of some of its documents, given in its order."""
+        out = object.__new__(Index)
+        out.size = len(member)
+        place = np.full(self.size, -1, np.int32)
+        place[member] = np.arange(len(member))
+        doc = place[self.postings["doc"]]
+        kept = doc >= 0
+        postings = self.postings[kept]
+        postings["doc"] = doc[kept]
+        df = np.add.reduceat(kept, self.start, dtype=np.int64) if len(self.df) else self.df
+        n = np.diff(self.begin)
+        out._fill(n[member], self.word[np.repeat(place >= 0, n)], df, postings)
+        return out
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 score of every other document by all words of the seed."""
         q = self.word[self.begin[seed]:self.begin[seed + 1]]
-        dense = self.frequent[q]
-        chosen = np.zeros(len(self.dense), np.float32)
-        chosen[self.row[q[dense]]] = 1
-        score = chosen @ self.dense
-        rare = q[~dense]
-        rare = rare[self.df[rare] > 1]  # the others are the seed's alone
+        row = self.row[q]
+        score = np.zeros(self.size, np.float32)
+        for r in row[row >= 0].tolist():
+            np.add(score, self.dense[r], score)
+        rare = q[row < 0]
         if len(rare):
-            long = self.df[rare] >= LONG
+            df = self.df[rare]
+            long = df >= LONG
             spans = zip(self.start[rare[long]].tolist(), self.end[rare[long]].tolist(), strict=True)
-            short = rare[~long]
-            df = self.df[short]
+            short, df = rare[~long], df[~long]
             at = np.repeat(self.start[short] - np.cumsum(df) + df, df) + np.arange(df.sum())
             raw = self.postings.view(np.int64)  # copied as whole numbers
-            found = np.concatenate([*(raw[a:b] for a, b in spans), raw[at]]).view(POSTING)
+            found = np.concatenate([*(raw[a:b] for a, b in spans), raw.take(at)]).view(POSTING)
             score += np.bincount(found["doc"], found["weight"], self.size).astype(np.float32)
         return score
 
     def neighbours(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a word with the seed, best first; ties in order of the block."""
         score = self.scores(seed) * unused
+        for _ in range(SOUGHT):  # most windows take few
+            best = int(score.argmax())
+            if score[best] <= 0:
+                return
+            yield best
+            score[best] = 0
         found = np.flatnonzero(score > 0)
-        if len(found) > 4 * FIRST:  # a window takes few: the best are sorted alone
+        if len(found) > 4 * FIRST:  # the best are sorted alone
             least = np.partition(score[found], len(found) - FIRST)[len(found) - FIRST]
             best = found[score[found] >= least]
             yield from best[np.argsort(-score[best], kind="stable")].tolist()
@@ -259,30 +290,35 @@ class Packer:
 
     def block(self, ids: list, sizes: list[int], terms: list[np.ndarray], weights: list[np.ndarray]) -> Iterator[tuple[int, int, int, int, int]]:
         """(document, start, length, sequence, offset): every token of the block once."""
-        unused, index = np.ones(len(sizes), bool), Index(terms, weights)
-        member, place = np.arange(len(sizes)), np.arange(len(sizes))  # indexed documents, and where each stands in the index
+        index = Index(terms, weights)
+        member, place = np.arange(len(sizes)), list(range(len(sizes)))  # indexed documents, and where each stands in the index
+        unused, left = np.ones(len(sizes), bool), len(sizes)  # by place in the index, and their number
+        used = bytearray(len(sizes))
         order = iter(range(len(sizes)))
         seed = None
         while True:
             if seed is None:
-                seed = next((i for i in order if unused[i]), None)
+                seed = next((i for i in order if not used[i]), None)
                 if seed is None:
                     return
-                unused[seed] = False
+                used[seed], unused[place[seed]], left = 1, False, left - 1
                 for piece in self.place(0, sizes[seed]):
                     yield seed, *piece
             query, seed = seed, None
             if self.used == 0:
                 continue
-            if 3 * (unused[member].sum() + 1) < 2 * len(member) and len(member) > 4 * FIRST:  # index what is left
-                member = np.flatnonzero(unused)
-                member = np.unique(np.append(member, query))
-                place[member] = np.arange(len(member))
-                index = Index([terms[i] for i in member], [weights[i] for i in member])
-            for i in map(member.item, index.neighbours(place[query], unused[member])):
+            if 4 * (left + 1) < 3 * len(member) and len(member) > 4 * FIRST:  # index what is left
+                unused[place[query]] = True
+                kept = np.flatnonzero(unused)
+                index, member, unused = index.of(kept), member[kept], np.ones(len(kept), bool)
+                for k, i in enumerate(member.tolist()):
+                    place[i] = k
+                unused[place[query]] = False
+            for k in index.neighbours(place[query], unused):
+                i = int(member[k])
                 if ids[i] == ids[query]:
                     continue  # another row of the same document goes elsewhere
-                unused[i] = False
+                used[i], unused[k], left = 1, False, left - 1
                 before = self.sequence
                 for piece in self.place(0, sizes[i]):
                     yield i, *piece
@@ -309,6 +345,7 @@ def size_chunks(sizes: list[int], limit: int = 1 << 20) -> Iterator[tuple[int, i
 def _packed(window: int, wide: bool, shared_idf, mean_words: float, block_tokens: int, block_docs: int):
     """Sequences of each task, from rows sorted by shard and key; ids as little-endian unsigned 32-bit numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter.cache_clear()  # of the token pass in this worker
         give_back_memory()
         packer, unpack = Packer(TaskContext.get().partitionId() << 32, window), zstandard.ZstdDecompressor()
         idf = shared_idf.value
@@ -317,29 +354,28 @@ def _packed(window: int, wide: bool, shared_idf, mean_words: float, block_tokens
         for batch in batches:
             doc_ids, sizes, blobs, starts = (batch.column(c).to_pylist() for c in ("doc_id", "n", "ids", "starts"))
             for x, y in size_chunks(sizes):
-                terms, weights = weighted_terms([unpacked_ids(unpack, b, wide) for b in blobs[x:y]], starts[x:y], idf, mean_words)
-                for row in zip(doc_ids[x:y], sizes[x:y], blobs[x:y], terms, weights, strict=True):
+                ids = [unpacked_ids(unpack, b, wide) for b in blobs[x:y]]
+                terms, weights = weighted_terms(ids, starts[x:y], idf, mean_words)
+                for row in zip(doc_ids[x:y], sizes[x:y], ids, terms, weights, strict=True):
                     rows.append(row)
                     tokens += row[1]
                     if tokens >= block_tokens or len(rows) >= block_docs:
-                        yield from _block(packer, unpack, rows, wide)
+                        yield from _block(packer, rows)
                         rows, tokens = [], 0
-        yield from _block(packer, unpack, rows, wide)
+        yield from _block(packer, rows)
         rows.clear()
         give_back_memory()
     return run
 
 
-def _block(packer: Packer, unpack, rows: list[tuple], wide: bool) -> Iterator[pa.RecordBatch]:
+def _block(packer: Packer, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     if not rows:
         return
-    ids, sizes, blobs, terms, weights = zip(*rows, strict=True)
-    out, held = [], (None, None)
-    for i, start, length, sequence, offset in packer.block(list(ids), list(sizes), list(terms), list(weights)):
-        if held[0] != i:
-            held = (i, unpacked_ids(unpack, blobs[i], wide))
-        piece = held[1][start:start + length].astype("<u4").tobytes()
-        out.append((ids[i], start, length, piece, sizes[i], sequence, offset))
+    doc_ids, sizes, ids, terms, weights = zip(*rows, strict=True)
+    out = []
+    for i, start, length, sequence, offset in packer.block(list(doc_ids), list(sizes), list(terms), list(weights)):
+        piece = ids[i][start:start + length].astype("<u4").tobytes()
+        out.append((doc_ids[i], start, length, piece, sizes[i], sequence, offset))
         if len(out) >= 512:
             yield _pieces(out)
             out = []

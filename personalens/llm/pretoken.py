@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import unicodedata
 from functools import lru_cache
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 
@@ -30,18 +30,19 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(1)
-def code_classes() -> np.ndarray:
-    """Class of every code point."""
-    c = np.full(0x110000, OTHER, np.uint8)
-    for i in range(0x110000):
-        kind = unicodedata.category(chr(i))[0]
-        if kind == "L":
-            c[i] = LETTER
-        elif kind == "N":
-            c[i] = NUMBER
-    c[WHITE_SPACE] = SPACE
-    return c
+_classes = np.zeros(0, np.uint8)
+
+
+def code_classes(top: int = 0x10FFFF) -> np.ndarray:
+    """Class of every code point up to top at least; a worker makes them as far as its texts go."""
+    global _classes
+    if len(_classes) <= top:
+        size = min(0x110000, max(0x4000, 1 << int(top).bit_length()))
+        kind = {"L": LETTER, "N": NUMBER}
+        c = np.fromiter((kind.get(unicodedata.category(chr(i))[0], OTHER) for i in range(size)), np.uint8, size)
+        c[[w for w in WHITE_SPACE if w < size]] = SPACE
+        _classes = c
+    return _classes
 
 
 @lru_cache(1)
@@ -50,6 +51,16 @@ def code_hashes() -> np.ndarray:
     return mix64(np.arange(1, 0x110001, dtype=np.uint64))
 
 
+@lru_cache(1)
+def _short_id_codes() -> np.ndarray:
+    return mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def id_codes(ids: np.ndarray) -> np.ndarray:
+    """The 64-bit code by which every id enters the hash of a word's ids."""
+    return _short_id_codes()[ids] if ids.itemsize == 2 else mix64(ids.astype(np.uint64) + np.uint64(1))
+
+
 def contraction_ends(code: np.ndarray, at: np.ndarray, limit: np.ndarray) -> np.ndarray:
     """Length of the contraction ('s 't 'm 'd 're 've 'll) that starts at each apostrophe, or 0. limit: where its text ends."""
     pad = np.concatenate([code, np.zeros(3, code.dtype)])
@@ -64,7 +75,7 @@ def boundaries(code: np.ndarray, text_start: np.ndarray) -> np.ndarray:
     n = len(code)
     if not n:
         return np.zeros(0, np.int64)
-    kind = code_classes()[code]
+    kind = code_classes(int(code.max()))[code]
     first = np.zeros(n + 1, bool)
     first[text_start[text_start < n]] = True
     change = np.empty(n + 1, bool)
@@ -93,6 +104,49 @@ def boundaries(code: np.ndarray, text_start: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+class Numbers:
+    """Numbers of distinct 64-bit hashes in the order in which they were added, by open addressing."""
+
+    def __init__(self):
+        self.bits, self.n, self.key = 18, 0, np.zeros(1 << 15, np.uint64)
+        self.table = np.full(1 << self.bits, -1, np.int32)
+
+    def __len__(self) -> int:
+        return self.n
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of each hash, -1 where it was never added."""
+        place = self._places(hashes)
+        number = self.table[place]
+        left = np.flatnonzero((self.key[number] != hashes) & (number >= 0))
+        while len(left):  # another hash has the place: look at the next one
+            place[left] = place[left] + 1 & len(self.table) - 1
+            number[left] = found = self.table[place[left]]
+            left = left[(self.key[found] != hashes[left]) & (found >= 0)]
+        return number
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Number hashes that are distinct and new."""
+        n = self.n + len(hashes)
+        while n > len(self.key):
+            self.key = np.resize(self.key, 2 * len(self.key))
+        self.key[self.n:n] = hashes
+        first, self.n = self.n, n
+        if 2 * n > len(self.table):  # at most half full, so that searches end soon
+            self.bits = (4 * n - 1).bit_length()
+            self.table, first = np.full(1 << self.bits, -1, np.int32), 0
+        number = np.arange(first, n, dtype=np.int32)
+        place = self._places(self.key[first:n])
+        while len(number):
+            free = self.table[place] < 0
+            self.table[place[free]] = number[free]
+            left = self.table[place] != number  # another one was there before, or came at the same time
+            number, place = number[left], place[left] + 1 & len(self.table) - 1
+
+
 class PieceCounter:
     """Pre-tokens of texts and their ids by one tokenizer file; remembers the ids of distinct pre-tokens."""
 
@@ -110,22 +164,36 @@ class PieceCounter:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.table, self.key = np.full(1 << 22, -1, np.int32), np.zeros(1 << 15, np.uint64)
+        self.known = Numbers()
         self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
         self.first, self.size = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        self.id_hash = np.zeros(1 << 15, np.uint64)
 
     def pieces(self, pretokens: list[str]) -> list[list[int]]:
         """Ids of each pre-token, by the library's merges."""
+        flat, size = self.flat_pieces(pretokens)
+        end = np.cumsum(size, dtype=np.int64)
+        return [flat[a:b] for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
+
+    def flat_pieces(self, pretokens: list[str]) -> tuple[list[int], list[int]]:
+        """The ids of all pre-tokens in a row, and how many each has."""
         raw = [p.encode() for p in pretokens]
         chars = b"".join(raw).decode("latin-1").translate(self.to_chars)  # one character a byte
-        tokenize, out, at = self.model.tokenize, [], 0
-        for r in raw:
-            out.append([t.id for t in tokenize(chars[at:at + len(r)])])
-            at += len(r)
-        if self.special and not self.special.keys().isdisjoint(pretokens):
-            out = [[self.special[p]] if p in self.special else ids for p, ids in zip(pretokens, out, strict=True)]
-        return out
+        special = set(self.special.keys() & pretokens) if self.special else ()
+        tokenize, token_id, at = self.model.tokenize, attrgetter("id"), 0
+        flat: list[int] = []
+        size: list[int] = []
+        for r, p in zip(raw, pretokens, strict=True):
+            end = at + len(r)
+            if p in special:
+                flat.append(self.special[p])
+                size.append(1)
+            else:
+                tokens = tokenize(chars[at:end])
+                flat.extend(map(token_id, tokens))
+                size.append(len(tokens))
+            at = end
+        return flat, size
 
     def split(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(joined text, starts, ends, hash and text index of every pre-token); special strings are pre-tokens of their own."""
@@ -155,57 +223,46 @@ class PieceCounter:
         return re.split(pattern, text)
 
     def look_up(self, joined: str, start, end, hashes) -> np.ndarray:
-        """Index into the memory of every pre-token; new ones are put through the library.
-
-        Most are found by one look at a table of 2**22 places, where the first
-        comer of a place stays; the others go through a dictionary, once per distinct one.
-        """
-        place = (hashes >> np.uint64(42)).astype(np.int64)
-        slot = self.table[place].astype(np.int64)
-        miss = np.flatnonzero((slot < 0) | (self.key[slot] != hashes))
-        if not len(miss):
-            return slot
-        distinct, at, which = np.unique(hashes[miss], return_index=True, return_inverse=True)
-        if len(self.known) + len(distinct) > REMEMBERED and self.known:
-            self.forget()
-            return self.look_up(joined, start, end, hashes)
-        where, known = miss[at], self.known
-        found = np.fromiter((known.get(h, -1) for h in distinct.tolist()), np.int64, len(distinct))
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            places = zip(start[where[missing]].tolist(), end[where[missing]].tolist(), strict=True)
-            new = self.pieces([joined[a:b] for a, b in places])
-            found[missing] = len(known) + np.arange(len(missing))
-            self._remember(distinct[missing], new)
-        slot[miss] = found[which]
-        free = self.table[place[where]] < 0
-        self.table[place[where[free]]] = found[free]
-        return slot
-
-    def _remember(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
+        """Index into the memory of every pre-token; new ones are put through the library, once per distinct one."""
+        slot = self.known.find(hashes)
+        miss = np.flatnonzero(slot < 0)
+        if len(miss):
+            distinct, at, which = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            if len(self.known) + len(distinct) > REMEMBERED and len(self.known):
+                self.forget()
+                return self.look_up(joined, start, end, hashes)
+            slot[miss] = len(self.known) + which
+            where = miss[at]
+            places = zip(start[where].tolist(), end[where].tolist(), strict=True)
+            self._remember(distinct, *self.flat_pieces([joined[a:b] for a, b in places]))
+        return slot.astype(np.int64)
+
+    def _remember(self, hashes: np.ndarray, ids: list[int], sizes: list[int]) -> None:
         """Add distinct pre-tokens and their ids to the memory, all at once."""
-        k, size = len(self.known), np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), self.dtype, int(size.sum()))
-        self.known.update(zip(hashes.tolist(), range(k, k + len(ids)), strict=True))
-        while k + len(ids) > len(self.first):
-            self.key, self.first, self.size = (np.resize(x, 2 * len(x)) for x in (self.key, self.first, self.size))
+        k, size, flat = len(self.known), np.array(sizes, np.int32), np.array(ids, self.dtype)
+        n = k + len(size)
+        self.known.add(hashes)
+        while n > len(self.first):
+            self.first, self.size, self.id_hash = (np.resize(x, 2 * len(x)) for x in (self.first, self.size, self.id_hash))
         while self.n_ids + len(flat) > len(self.ids):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.key[k:k + len(ids)], self.size[k:k + len(ids)] = hashes, size
-        self.first[k:k + len(ids)] = self.n_ids + np.cumsum(size) - size
+        end = np.cumsum(size, dtype=np.int64)
+        self.size[k:n] = size
+        self.first[k:n] = self.n_ids + end - size
+        self.id_hash[k:n] = span_hashes(id_codes(flat), end - size, end)
         self.ids[self.n_ids:self.n_ids + len(flat)] = flat
         self.n_ids += len(flat)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, where each text's begin (one more than texts), then of every
-        pre-token its hash, its text's index, its length in code points and its number of ids)."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """(ids of all texts in a row, where each text's begin (one more than texts), then of every pre-token
+        its hash, its text's index, its length in code points, its number of ids and the hash of its ids)."""
         joined, start, end, hashes, doc = self.split(texts)
         slot = self.look_up(joined, start, end, hashes)
         size = self.size[slot].astype(np.int64)
         begin = np.cumsum(size) - size
         flat = self.ids[np.arange(size.sum()) + np.repeat(self.first[slot] - begin, size)]
         total = np.bincount(doc, size, len(texts)).astype(np.int64)
-        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start, size
+        return flat, np.concatenate(([0], np.cumsum(total))), hashes, doc, end - start, size, self.id_hash[slot]
 
     def encode_ended(self, texts: list[str], end_id: int):
         """encode() with end_id after each text's ids."""
