@@ -206,7 +206,7 @@ class Index:
         shared = df > 1
         number = np.cumsum(shared, dtype=np.int32) - np.int32(1)
         has = shared[word]
-        self.begin = np.concatenate(([0], np.cumsum(np.bincount(np.repeat(np.arange(len(n)), n)[has], minlength=len(n)))))
+        self.begin = np.concatenate(([0], np.cumsum(has)))[np.concatenate(([0], np.cumsum(n)))]
         self.word = number[word[has]]
         self.postings, self.df = postings[np.repeat(shared, df)], df[shared]
         self.end = np.cumsum(self.df)
@@ -374,8 +374,7 @@ def _block(packer: Packer, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     doc_ids, sizes, ids, terms, weights = zip(*rows, strict=True)
     out = []
     for i, start, length, sequence, offset in packer.block(list(doc_ids), list(sizes), list(terms), list(weights)):
-        piece = ids[i][start:start + length].astype("<u4").tobytes()
-        out.append((doc_ids[i], start, length, piece, sizes[i], sequence, offset))
+        out.append((doc_ids[i], start, length, ids[i][start:start + length], sizes[i], sequence, offset))
         if len(out) >= 512:
             yield _pieces(out)
             out = []
@@ -385,7 +384,9 @@ def _block(packer: Packer, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 
 def _pieces(rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if i == 3 else pa.int64()) for i, x in enumerate(cols)],
+    end = np.concatenate(([0], np.cumsum([4 * len(x) for x in cols[3]]))).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(end), pa.py_buffer(np.concatenate(cols[3], dtype="<u4"))])
+    return pa.RecordBatch.from_arrays([ids if i == 3 else pa.array(x, pa.int64()) for i, x in enumerate(cols)],
                                       names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
 

@@ -160,7 +160,7 @@ class PieceCounter:
         self.dtype = np.uint16 if whole.get_vocab_size() <= 1 << 16 else np.uint32
         with open(path) as f:
             self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
-        self.to_chars = {b: chr(c) for b, c in enumerate(_byte_chars())}
+        self.to_chars = np.array(_byte_chars(), "<u4")
         self.forget()
 
     def forget(self) -> None:
@@ -178,7 +178,7 @@ class PieceCounter:
     def flat_pieces(self, pretokens: list[str]) -> tuple[list[int], list[int]]:
         """The ids of all pre-tokens in a row, and how many each has."""
         raw = [p.encode() for p in pretokens]
-        chars = b"".join(raw).decode("latin-1").translate(self.to_chars)  # one character a byte
+        chars = self.to_chars[np.frombuffer(b"".join(raw), np.uint8)].tobytes().decode("utf-32-le")  # one character a byte
         special = set(self.special.keys() & pretokens) if self.special else ()
         tokenize, token_id, at = self.model.tokenize, attrgetter("id"), 0
         flat: list[int] = []
@@ -269,7 +269,9 @@ class PieceCounter:
         flat, begin, *words = self.encode(texts)
         k = np.arange(len(texts))
         out = np.empty(len(flat) + len(texts), self.ids.dtype)
-        out[np.arange(len(flat)) + np.repeat(k, np.diff(begin))] = flat
+        text = np.ones(len(out), bool)
+        text[begin[1:] + k] = False
+        out[text] = flat
         out[begin[1:] + k] = end_id
         return out, begin + np.append(k, len(texts)), *words
 
